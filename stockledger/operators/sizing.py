@@ -1,0 +1,29 @@
+"""Measured sizes behind every broadcast the library asks for."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest table a lookup may broadcast, in bytes as held by each executor.
+BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def held_bytes(df: DataFrame) -> Column:
+    """Aggregate: an upper estimate of the bytes of ``df`` as a hashed relation.
+
+    Sixteen bytes of row header plus twice the row (it is held as key and as
+    value), eight bytes a field and the text it carries.
+    """
+    text = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            text = text + F.coalesce(F.octet_length(name), F.lit(0))
+    return F.coalesce(
+        F.sum(F.lit(16 + 16 * len(df.columns)).cast("bigint") + 2 * text), F.lit(0)
+    )
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Count the table (one small job) and compare it with the limit."""
+    return df.agg(held_bytes(df).alias("bytes")).first()["bytes"] <= limit

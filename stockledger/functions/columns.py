@@ -39,8 +39,8 @@ def required(column: Column | str, what: str = "value") -> Column:
 
 
 def non_negative(column: Column | str, what: str = "quantity") -> Column:
-    """Null and negative values fail the query."""
-    value = required(column, what)
+    """Negative values fail the query; nulls pass (see :func:`required`)."""
+    value = _col(column)
     return F.when(value < 0, _fail(f"{what} must not be negative")).otherwise(value)
 
 

@@ -28,9 +28,12 @@ def sum_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def latest_by_key(df: DataFrame, key: str, values: Sequence[str], order: str = "seq") -> DataFrame:
-    """Newest values per key by arrival order, which must be unique within a key."""
-    newest = F.max_by(F.struct(*values), order).alias("newest")
-    return df.groupBy(key).agg(newest).select(key, *[F.col(f"newest.{v}") for v in values])
+    """Newest values per key by arrival order, which must be unique within a key.
+
+    One aggregate per column rather than one of a struct: buffers of fixed-width
+    columns can be updated in place, so the aggregate hashes instead of sorting.
+    """
+    return df.groupBy(key).agg(*[F.max_by(v, order).alias(v) for v in values])
 
 
 def reduce_by_key(

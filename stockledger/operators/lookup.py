@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,15 +30,7 @@ def snapshot_lookup(
     """
     side = F.broadcast(latest) if fits_broadcast(latest, limit) else latest
     joined = facts.join(side, key, "left")
-    if default is None:
-        return joined
-    return joined.withColumns(
-        {
-            c: F.coalesce(F.col(c), F.lit(default).cast(t))
-            for c, t in latest.dtypes
-            if c != key
-        }
-    )
+    return _defaulted(joined, {c: default for c in latest.columns if c != key})
 
 
 def asof_lookup(
@@ -46,21 +38,24 @@ def asof_lookup(
     changes: DataFrame,
     key: str,
     value: str,
+    default: int | None = None,
     ts: str = "ts",
     seq: str = "seq",
     bucket: timedelta = timedelta(hours=1),
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Each fact with the ``value`` its key had at the fact's time, null before the first.
+    """Each fact with the ``value`` its key had at the fact's time, ``default`` before the first.
 
     A change at the same instant as a fact counts as before it; of several
     changes at one instant the largest ``seq`` wins.
     """
     if _few_versions(changes, key, limit):
-        return _asof_broadcast(facts, changes, key, value, ts, seq)
-    points = facts.select(key, ts)
-    resolved = _resolve(points, changes, key, value, ts, seq, (), bucket)
-    return facts.join(resolved.select(key, ts, value), [key, ts], "left")
+        rows = _asof_broadcast(facts, changes, key, value, ts, seq)
+    else:
+        points = facts.select(key, ts)
+        resolved = _resolve(points, changes, key, value, ts, seq, (), bucket)
+        rows = facts.join(resolved.select(key, ts, value), [key, ts], "left")
+    return _defaulted(rows, {value: default})
 
 
 def asof_totals(
@@ -69,17 +64,30 @@ def asof_totals(
     key: str,
     value: str,
     measures: Sequence[str],
+    default: int | None = None,
     ts: str = "ts",
     seq: str = "seq",
     bucket: timedelta = timedelta(hours=1),
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Sums of the measures per looked-up ``value``, null for facts before the first change."""
+    """Sums of the measures per looked-up ``value``, see :func:`asof_lookup`."""
     if _few_versions(changes, key, limit):
         rows = _asof_broadcast(facts, changes, key, value, ts, seq)
     else:
         rows = _resolve(facts, changes, key, value, ts, seq, measures, bucket)
-    return rows.groupBy(value).agg(*[F.sum(m).alias(m) for m in measures])
+    known = _defaulted(rows, {value: default})
+    return known.groupBy(value).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def _defaulted(rows: DataFrame, defaults: Mapping[str, int | None]) -> DataFrame:
+    types = dict(rows.dtypes)
+    return rows.withColumns(
+        {
+            c: F.coalesce(F.col(c), F.lit(default).cast(types[c]))
+            for c, default in defaults.items()
+            if default is not None
+        }
+    )
 
 
 def _few_versions(changes: DataFrame, key: str, limit: int) -> bool:

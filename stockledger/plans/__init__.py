@@ -1,4 +1,4 @@
-from stockledger.plans.feeds import Feeds
+from stockledger.plans.feeds import Feeds, GivenFeeds
 from stockledger.plans.ledger import Ledger
 
-__all__ = ["Feeds", "Ledger"]
+__all__ = ["Feeds", "GivenFeeds", "Ledger"]

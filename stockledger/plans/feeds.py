@@ -14,7 +14,6 @@ from stockledger.functions import required
 KINDS = ("replenished", "sold", "returned")
 
 
-@dataclass(frozen=True)
 class Feeds:
     """Change feeds as DataFrames, all batch or all streaming.
 
@@ -36,9 +35,9 @@ class Feeds:
         A column is null on rows that are not of its kind. A null quantity fails
         the query.
         """
-        feeds = {"replenished": self.replenishment, "sold": self.sale, "returned": self.ret}
+        feeds = {"replenished": "replenishment", "sold": "sale", "returned": "ret"}
         parts = [
-            feeds[kind].select(
+            getattr(self, feeds[kind]).select(
                 key,
                 *[
                     (required("quantity", "quantity") if k == kind else F.lit(None).cast("bigint"))
@@ -49,3 +48,15 @@ class Feeds:
             for kind in kinds
         ]
         return reduce(DataFrame.unionByName, parts)
+
+
+@dataclass(frozen=True)
+class GivenFeeds(Feeds):
+    """Feeds handed over as they are."""
+
+    item: DataFrame
+    customer: DataFrame
+    category: DataFrame
+    replenishment: DataFrame
+    sale: DataFrame
+    ret: DataFrame

@@ -39,7 +39,7 @@ class Ledger:
     def category_moves(self, kinds: Sequence[str] = KINDS) -> DataFrame:
         """Item totals under their item's latest category, unknown ones under the sentinel."""
         moves = self.feeds.moves("item_id", kinds).select(
-            "item_id", *[_non_negative_or_null(k).alias(k) for k in kinds]
+            "item_id", *[non_negative(k).alias(k) for k in kinds]
         )
         items = spine_totals(self.feeds.item, moves, "item_id", kinds, ["category_id"])
         return items.select(or_unknown("category_id").alias("category_id"), *kinds)
@@ -146,10 +146,6 @@ def held() -> Column:
     return zero_fill("sold") - zero_fill("returned")
 
 
-def _non_negative_or_null(kind: str) -> Column:
-    return F.when(F.col(kind).isNotNull(), non_negative(kind, "quantity"))
-
-
 def _filled(totals: DataFrame, key: str, kind: str) -> DataFrame:
     return zero_filled(totals, key, [kind]).withColumnRenamed(kind, "quantity")
 

@@ -6,17 +6,34 @@ first lines also replenish. Parts are items and their size is the category.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger.functions import required
 from stockledger.plans.feeds import Feeds
 
 
+# Column types of the tables read here, so that reading one opens no file to find out.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 @dataclass(frozen=True)
 class OrderTables:
     """The parquet tables of one directory, each ``<dir>/<name>.parquet``."""
@@ -25,60 +42,80 @@ class OrderTables:
     path: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}.parquet")
 
     def stream(self, name: str, files_per_batch: int | None = None) -> DataFrame:
         """The table as a stream of its files. The trailing glob also takes a lone file."""
-        reader = self.spark.readStream.schema(self.table(name).schema)
+        reader = self.spark.readStream.schema(SCHEMAS[name])
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         return reader.parquet(f"{self.path}/{name}.parquet*")
 
-    def feeds(self) -> Feeds:
-        return OrderFeeds(
-            item=items(self.table("part")),
-            customer=customers(self.table("customer")),
-            category=categories(self.table("part")),
-            replenishment=replenishments(self.table("lineitem")),
-            sale=sales(self.table("lineitem"), self.table("orders")),
-            ret=returns(self.table("lineitem"), self.table("orders")),
-            traded=traded(self.table("lineitem"), self.table("orders")),
-        )
-
-    @cached_property
+    def feeds(self) -> OrderFeeds:
+        return OrderFeeds(self.table)
+
     def item_changes(self) -> DataFrame:
         return item_changes(self.table("part"))
 
-    @cached_property
     def timed_sales(self) -> DataFrame:
         return timed_sales(self.table("lineitem"), self.table("orders"))
 
 
-@dataclass(frozen=True)
 class OrderFeeds(Feeds):
     """Feeds whose sales and returns are two readings of the same rows.
 
     Plans that need both take them from ``traded`` (item_id, customer_id, sold,
     returned), so lineitem is scanned and joined to its order once, not twice.
+    Lineitem and orders may come from different readers: a stream of lines joins
+    a static table of orders.
     """
 
-    traded: DataFrame
+    def __init__(
+        self,
+        table: Callable[[str], DataFrame],
+        orders: Callable[[str], DataFrame] | None = None,
+    ):
+        self._table = table
+        self._orders = orders or table
+
+    @property
+    def item(self) -> DataFrame:
+        return items(self._table("part"))
+
+    @property
+    def customer(self) -> DataFrame:
+        return customers(self._table("customer"))
+
+    @property
+    def category(self) -> DataFrame:
+        return categories(self._orders("part"))
+
+    @property
+    def replenishment(self) -> DataFrame:
+        return replenishments(self._table("lineitem"))
+
+    @property
+    def sale(self) -> DataFrame:
+        return sales(self._table("lineitem"), self._orders("orders"))
+
+    @property
+    def ret(self) -> DataFrame:
+        return returns(self._table("lineitem"), self._orders("orders"))
+
+    @property
+    def traded(self) -> DataFrame:
+        return traded(self._table("lineitem"), self._orders("orders"))
 
     def moves(self, key: str, kinds: Sequence[str]) -> DataFrame:
         both = [k for k in kinds if k in ("sold", "returned")]
         if len(both) < 2:
             return super().moves(key, kinds)
-        rows = self.traded.select(
-            key,
-            *[
-                F.col(k) if k in both else F.lit(None).cast("bigint").alias(k)
-                for k in kinds
-            ],
-        )
+        rows = self.traded.select(key, *both)
         others = [k for k in kinds if k not in both]
         if not others:
             return rows
-        return rows.unionByName(super().moves(key, others), allowMissingColumns=True)
+        others = super().moves(key, others)
+        return rows.unionByName(others, allowMissingColumns=True).select(key, *kinds)
 
 
 def _once(df: DataFrame, *columns: str) -> DataFrame:
@@ -114,43 +151,35 @@ def replenishments(lineitem: DataFrame) -> DataFrame:
 
 
 def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    return _lines(lineitem, orders).select("item_id", "customer_id", "quantity")
+    return _lines(lineitem, orders)
 
 
 def returns(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    returned = lineitem.where(F.col("l_returnflag") == "R")
-    return _lines(returned, orders).select("item_id", "customer_id", "quantity")
+    return _lines(lineitem.where(F.col("l_returnflag") == "R"), orders)
 
 
 def traded(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    quantity = required("quantity", "quantity")
-    return _lines(lineitem, orders).select(
-        "item_id",
-        "customer_id",
-        quantity.alias("sold"),
-        F.when(F.col("l_returnflag") == "R", quantity).alias("returned"),
-    )
+    quantity = required("l_quantity", "quantity")
+    back = F.when(F.col("l_returnflag") == "R", quantity)
+    return _lines(lineitem, orders, quantity.alias("sold"), back.alias("returned"))
 
 
 def timed_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    return _lines(lineitem, orders).select(
-        "item_id",
-        "customer_id",
-        "quantity",
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
-    )
+    seq = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    shipped = F.col("l_shipdate").cast("timestamp")
+    return _lines(lineitem, orders, _quantity(), shipped.alias("ts"), seq.alias("seq"))
+
+
+def _quantity() -> Column:
+    return F.col("l_quantity").cast("bigint").alias("quantity")
 
 
-def _lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def _lines(lineitem: DataFrame, orders: DataFrame, *columns: Column) -> DataFrame:
+    """Lines with their order's customer, and the given columns of the line."""
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("item_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        "l_orderkey",
-        "l_linenumber",
-        "l_returnflag",
-        "l_shipdate",
+        *(columns or [_quantity()]),
     )
 
 

@@ -1,0 +1,8 @@
+from stockledger.streaming.arrival import category_at_arrival
+from stockledger.streaming.totals import (
+    category_totals_at_arrival,
+    customer_names,
+    keep,
+)
+
+__all__ = ["category_at_arrival", "category_totals_at_arrival", "customer_names", "keep"]

@@ -505,6 +505,8 @@ _PAGE_NUMBERS = r"""SELECT page_id, regexp_extract(url, '([^/?#]*)(?:[?#].*)?$',
     FROM pages"""
 _LONG_TEXT = "regexp_full_match(number, '[+-]?[0-9]+') AND TRY_CAST(number AS BIGINT) IS NOT NULL"
 _LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents"
+# Full case mapping, as on the JVM: the upper case of sharp s is SS, not the capital letter.
+_UPPER = "upper(replace(value, 'ß', 'ss'))"
 _PAIRED = """FROM (SELECT * FROM ev WHERE event_type = 'click') l
     LEFT JOIN (SELECT * FROM ev WHERE event_type = 'purchase') r
     ON l.user_id = r.user_id AND r.ts >= l.ts - INTERVAL 50 MINUTE
@@ -629,8 +631,8 @@ ORACLES = {
         CAST(floor(c_acctbal) AS BIGINT) AS quantity FROM customer WHERE floor(c_acctbal) < 0""",
     "non_negative_total": """SELECT CAST(SUM(CAST(floor(c_acctbal) AS BIGINT)) AS BIGINT)
         AS quantity, COUNT(*) AS n FROM customer WHERE floor(c_acctbal) >= 0""",
-    "uppercase_lines": f"SELECT doc_id, upper(value) AS value FROM ({_LINES}) x",
-    "original_and_upper": f"SELECT value, upper(value) AS upper_value FROM ({_LINES}) x",
+    "uppercase_lines": f"SELECT doc_id, {_UPPER} AS value FROM ({_LINES}) x",
+    "original_and_upper": f"SELECT value, {_UPPER} AS upper_value FROM ({_LINES}) x",
     "sale_snapshot_category": _with(
         f"""SELECT s.item_id, s.customer_id, s.quantity,
             COALESCE(i.category_id, 999999) AS category_id

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stockledger.functions import (
     long_from_bytes,
@@ -34,13 +37,18 @@ from stockledger.plans import Ledger
 from stockledger.schemas import UNKNOWN_CATEGORY
 from stockledger.sources import reads
 from stockledger.sources.changes import pull_after
+from stockledger.sources.kept import KeptTables, shared_dir
 from stockledger.sources.sinks import json_documents, latest_of_changes, topic_records
 from stockledger.sources.tables import (
+    OrderFeeds,
     OrderTables,
     category_changes,
     customer_changes,
     event_stream,
+    item_changes,
+    timed_sales,
 )
+from stockledger.streaming import category_at_arrival, keep, keep_windows
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -204,7 +212,7 @@ def asof_sale_by_category_unbounded(t: OrderTables) -> DataFrame:
     """The same with no broadcast allowed: the path for changes of any size."""
     return asof_totals(
         t.timed_sales(), t.item_changes(), "item_id", "category_id", ["quantity"], UNKNOWN_CATEGORY,
-        bucket=timedelta(days=30), limit=0,
+        bucket=timedelta(days=365), limit=0,
     )
 
 
@@ -216,7 +224,7 @@ def asof_sale_rows(t: OrderTables) -> DataFrame:
 def asof_sale_rows_unbounded(t: OrderTables) -> DataFrame:
     rows = asof_lookup(
         t.timed_sales(), t.item_changes(), "item_id", "category_id", UNKNOWN_CATEGORY,
-        bucket=timedelta(days=30), limit=0,
+        bucket=timedelta(days=365), limit=0,
     )
     return rows.select("item_id", "customer_id", "quantity", "category_id")
 
@@ -343,6 +351,60 @@ def window_fetch(t: OrderTables) -> DataFrame:
     return reads.window_fetch(daily, "event_type", "click", 1704153600000, 1705276800000)
 
 
+# Streams: the tables' files as one micro-batch after another, kept as a table, then read.
+
+
+def _work_dir(t: OrderTables) -> str:
+    """A new folder under the shared one; only a local session may leave that unset."""
+    unset = not t.spark.conf.get("spark.checkpoint.dir", None)
+    if unset and t.spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="run-")
+    return f"{shared_dir(t.spark)}/registered/{uuid.uuid4().hex}"
+
+
+def _streamed(t: OrderTables, start: Callable[..., StreamingQuery], *args) -> KeptTables:
+    work = _work_dir(t)
+    tables = KeptTables(t.spark, f"{work}/kept")
+    *head, table, key = args
+    start(*head, tables, table, key, f"{work}/checkpoint", availableNow=True).awaitTermination()
+    return tables
+
+
+def stream_items_at_hand(t: OrderTables) -> DataFrame:
+    live = Ledger(OrderFeeds(t.stream, t.table)).item_totals()
+    tables = _streamed(t, keep, live, "item_totals", "item_id")
+    return tables.named("items-at-hand-store")
+
+
+def stream_items_with_customer(t: OrderTables) -> DataFrame:
+    live = Ledger(OrderFeeds(t.stream, t.table)).customer_totals()
+    tables = _streamed(t, keep, live, "customer_totals", "customer_id")
+    return tables.named("items-with-cust-store")
+
+
+def stream_sale_by_category_at_arrival(t: OrderTables) -> DataFrame:
+    """Sales in order of their time, each under the category its item then had."""
+    sold = timed_sales(t.stream("lineitem"), t.table("orders"))
+    changes = item_changes(t.stream("part"))
+    order = F.unix_micros("ts").alias("seq")
+    live = category_at_arrival(
+        sold.select("item_id", F.lit("sold").alias("kind"), "quantity", order),
+        changes.select("item_id", "category_id", order),
+    )
+    tables = _streamed(
+        t, keep, sum_by_key(live, "category_id", "quantity"), "sold", "category_id"
+    )
+    return tables.view("sold").withColumnRenamed("key", "category_id")
+
+
+def stream_windowed_count(t: OrderTables) -> DataFrame:
+    live = windowed_total(
+        event_stream(t.stream("events")), "event_type", "ts", "2 days", "1 day", late="1 day"
+    )
+    windows = _streamed(t, keep_windows, live, "counts", "event_type").windows("counts")
+    return _windows(windows.withColumnRenamed("key", "event_type"))
+
+
 QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "q1_replenished_by_item": _ledger(Ledger.replenished_by_item),
     "q2_sold_by_item": _ledger(Ledger.sold_by_item),
@@ -405,6 +467,10 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "scan_all": scan_all,
     "key_range": key_range,
     "window_fetch": window_fetch,
+    "stream_items_at_hand": stream_items_at_hand,
+    "stream_items_with_customer": stream_items_with_customer,
+    "stream_sale_by_category_at_arrival": stream_sale_by_category_at_arrival,
+    "stream_windowed_count": stream_windowed_count,
 }
 
 
@@ -500,6 +566,11 @@ _HAND_SQL = _combined_sql(
     ("-", _filled_sql("item", "item_id", "sale")),
     ("+", _filled_sql("item", "item_id", "ret")),
 )
+_HELD_SQL = _combined_sql(
+    "customer_id",
+    _filled_sql("cust", "customer_id", "sale"),
+    ("-", _filled_sql("cust", "customer_id", "ret")),
+)
 _PAIRS_SQL = f"SELECT item_id AS key, quantity AS value FROM ({_HAND_SQL}) h"
 _PAGE_NUMBERS = r"""SELECT page_id, regexp_extract(url, '([^/?#]*)(?:[?#].*)?$', 1) AS number
     FROM pages"""
@@ -543,13 +614,7 @@ ORACLES = {
     "q7_sold_by_category": _with(_category_sql("sale")),
     "q8_returned_by_category": _with(_category_sql("ret")),
     "q9_items_at_hand": _with(_HAND_SQL),
-    "q10_items_with_customer": _with(
-        _combined_sql(
-            "customer_id",
-            _filled_sql("cust", "customer_id", "sale"),
-            ("-", _filled_sql("cust", "customer_id", "ret")),
-        )
-    ),
+    "q10_items_with_customer": _with(_HELD_SQL),
     "q11_items_at_hand_by_category": _with(
         _combined_sql(
             "category_id",
@@ -684,6 +749,12 @@ ORACLES = {
         f"""SELECT window_start_ms AS key, total AS value FROM ({_windows_sql("COUNT(*)", 1)}) w
         WHERE event_type = 'click' AND window_start_ms BETWEEN 1704153600000 AND 1705276800000"""
     ),
+    "stream_items_at_hand": _with(_PAIRS_SQL),
+    "stream_items_with_customer": _with(
+        f"SELECT customer_id AS key, quantity AS value FROM ({_HELD_SQL}) h"
+    ),
+    "stream_sale_by_category_at_arrival": _with(_ASOF_TOTALS),
+    "stream_windowed_count": _with(_windows_sql("COUNT(*)", 2)),
 }
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from stockledger.operators.sizing import BROADCAST_LIMIT, fits_broadcast, held_bytes
 
+HOUR = timedelta(hours=1)
+
 # Versions of one key a broadcast as-of join may try per fact.
 VERSIONS_LIMIT = 64
 
@@ -41,20 +43,19 @@ def asof_lookup(
     default: int | None = None,
     ts: str = "ts",
     seq: str = "seq",
-    bucket: timedelta = timedelta(hours=1),
+    bucket: timedelta | int = HOUR,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Each fact with the ``value`` its key had at the fact's time, ``default`` before the first.
 
     A change at the same instant as a fact counts as before it; of several
-    changes at one instant the largest ``seq`` wins.
+    changes at one instant the largest ``seq`` wins. ``ts`` may also be a bigint
+    order, with ``bucket`` a number of its units.
     """
     if _few_versions(changes, key, limit):
         rows = _asof_broadcast(facts, changes, key, value, ts, seq)
     else:
-        points = facts.select(key, ts)
-        resolved = _resolve(points, changes, key, value, ts, seq, (), bucket)
-        rows = facts.join(resolved.select(key, ts, value), [key, ts], "left")
+        rows = _asof_rows(facts, changes, key, value, ts, seq, bucket)
     return _defaulted(rows, {value: default})
 
 
@@ -67,14 +68,14 @@ def asof_totals(
     default: int | None = None,
     ts: str = "ts",
     seq: str = "seq",
-    bucket: timedelta = timedelta(hours=1),
+    bucket: timedelta | int = HOUR,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Sums of the measures per looked-up ``value``, see :func:`asof_lookup`."""
     if _few_versions(changes, key, limit):
         rows = _asof_broadcast(facts, changes, key, value, ts, seq)
     else:
-        rows = _resolve(facts, changes, key, value, ts, seq, measures, bucket)
+        rows = _asof_sums(facts, changes, key, value, measures, ts, seq, bucket)
     known = _defaulted(rows, {value: default})
     return known.groupBy(value).agg(*[F.sum(m).alias(m) for m in measures])
 
@@ -92,6 +93,8 @@ def _defaulted(rows: DataFrame, defaults: Mapping[str, int | None]) -> DataFrame
 
 def _few_versions(changes: DataFrame, key: str, limit: int) -> bool:
     """One job over the changes: do they fit a broadcast, with few versions of each key?"""
+    if limit <= 0:
+        return False
     per_key = changes.groupBy(key).agg(
         F.count(F.lit(1)).alias("versions"), held_bytes(changes).alias("bytes")
     )
@@ -103,13 +106,11 @@ def _asof_broadcast(
     facts: DataFrame, changes: DataFrame, key: str, value: str, ts: str, seq: str
 ) -> DataFrame:
     """Versions as [from, until) intervals, broadcast; the facts are not shuffled."""
-    ordered = Window.partitionBy(key).orderBy("valid_from")
+    ordered = Window.partitionBy("version_key").orderBy("valid_from")
     versions = (
         changes.groupBy(F.col(key).alias("version_key"), F.col(ts).alias("valid_from"))
         .agg(F.max_by(value, seq).alias(value))
-        .withColumnRenamed("version_key", key)
         .withColumn("valid_until", F.lead("valid_from").over(ordered))
-        .withColumnRenamed(key, "version_key")
     )
     holds = (
         (F.col(key) == F.col("version_key"))
@@ -121,75 +122,139 @@ def _asof_broadcast(
     )
 
 
-def _bin(ts: str, bucket: timedelta) -> Column:
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    return F.floor(micros / F.lit(int(bucket.total_seconds() * 1_000_000)))
+# As-of for changes of any size. Facts and changes are unioned and aggregated to one
+# row per key and instant, which the answer is a function of: copies of an instant
+# collapse before the exchange. The last change seen is then carried forward inside
+# each (key, time bucket), and from bucket to bucket over rows of whole buckets. No
+# task ever orders a whole key: a group holds at most the instants of one bucket, or
+# the buckets of one key. ``bucket`` sets how a long history divides between the two.
+
+
+def _at(df: DataFrame, ts: str) -> Column:
+    return F.col(ts) if dict(df.dtypes)[ts] == "bigint" else F.unix_micros(F.col(ts).cast("timestamp"))
+
 
+def _width(bucket: timedelta | int) -> int:
+    return bucket if isinstance(bucket, int) else int(bucket.total_seconds() * 1_000_000)
+
+
+def _instants(asked: DataFrame, told: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
+    """asked (key, bin, at, measures) and told (key, bin, at, value, seq), per (key, bin, at)."""
+    rows = asked.withColumn("asked", F.lit(True)).unionByName(told, allowMissingColumns=True)
+    return rows.groupBy(key, "bin", "at").agg(
+        F.max_by("value", "seq").alias("told"),
+        F.max("asked").alias("asked"),
+        *[F.sum(m).alias(m) for m in measures],
+    )
 
-def _resolve(
+
+def _asked_and_told(
     facts: DataFrame,
     changes: DataFrame,
     key: str,
     value: str,
+    measures: Sequence[str],
     ts: str,
     seq: str,
-    measures: Sequence[str],
-    bucket: timedelta,
-) -> DataFrame:
-    """As-of by union and carry-forward, for changes too large to broadcast.
-
-    Facts and changes are first aggregated to one row per key and instant, which
-    the answer is a function of, so copies of an instant collapse before the
-    exchange. The last change seen is then carried forward inside each (key, time
-    bucket), and from bucket to bucket over one row per (key, bucket). No task
-    ever orders a whole key: a group holds at most the instants of one bucket, or
-    the buckets of one key.
-    """
-    nothing = F.lit(None)
-    kinds = dict(changes.dtypes)
-    asked = facts.select(
-        key,
-        ts,
-        nothing.cast(kinds[value]).alias(value),
-        nothing.cast(kinds[seq]).alias(seq),
-        F.lit(True).alias("asked"),
-        *measures,
-    )
+    width: int,
+) -> tuple[DataFrame, DataFrame]:
+    asked = facts.select(key, _at(facts, ts).alias("at"), *measures)
     told = changes.select(
         key,
-        ts,
-        value,
-        seq,
-        nothing.cast("boolean").alias("asked"),
-        *[nothing.cast(t).alias(m) for m, t in facts.dtypes if m in measures],
+        _at(changes, ts).alias("at"),
+        F.col(value).alias("value"),
+        F.col(seq).cast("bigint").alias("seq"),
     )
-    instants = (
-        asked.unionByName(told)
-        .withColumn("bin", _bin(ts, bucket))
-        .groupBy(key, "bin", ts)
+    bin_of = F.expr(f"floor(at / {width})")
+    return asked.withColumn("bin", bin_of), told.withColumn("bin", bin_of)
+
+
+def _so_far(key: str):
+    ordered = Window.partitionBy(key, "bin").orderBy("at")
+    return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _earlier_bins(key: str):
+    ordered = Window.partitionBy(key).orderBy("bin")
+    return ordered.rangeBetween(Window.unboundedPreceding, -1)
+
+
+def _asof_sums(
+    facts: DataFrame,
+    changes: DataFrame,
+    key: str,
+    value: str,
+    measures: Sequence[str],
+    ts: str,
+    seq: str,
+    bucket: timedelta | int,
+) -> DataFrame:
+    """(value, measures) summed as far as one key goes; one pass over the facts.
+
+    Facts a bucket cannot answer itself all have the same answer, the last change of
+    the buckets before, so they are one row of sums by the time it is looked for.
+    """
+    asked, told = _asked_and_told(facts, changes, key, value, measures, ts, seq, _width(bucket))
+    within = (
+        _instants(asked, told, key, measures)
+        .withColumn("own", F.last("told", ignorenulls=True).over(_so_far(key)))
+        .groupBy(key, "bin", "own")
         .agg(
-            F.max_by(value, seq).alias("told"),
             F.max("asked").alias("asked"),
+            F.max(F.when(F.col("own").isNotNull(), F.col("at"))).alias("held_until"),
             *[F.sum(m).alias(m) for m in measures],
         )
     )
-    tails = instants.groupBy(key, "bin").agg(
-        F.max_by("told", F.when(F.col("told").isNotNull(), F.col(ts))).alias("tail")
-    )
-    earlier_bins = (
-        Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.max_by("own", "held_until").over(_earlier_bins(key))
+    return (
+        within.withColumn("carried", carried)
+        .where("asked")
+        .select(F.coalesce("own", "carried").alias(value), *measures)
     )
-    carried = tails.select(
-        key, "bin", F.last("tail", ignorenulls=True).over(earlier_bins).alias("carried")
+
+
+def _asof_rows(
+    facts: DataFrame,
+    changes: DataFrame,
+    key: str,
+    value: str,
+    ts: str,
+    seq: str,
+    bucket: timedelta | int,
+) -> DataFrame:
+    """The facts with their value, by way of the distinct (key, instant) they ask about.
+
+    What a bucket inherits is worked out first, from the changes and the buckets
+    asked about, and goes in as one more change at the bucket's start. The facts
+    then meet the answers on (key, instant); copies of one instant are left to
+    adaptive execution, which may split them as they are the left side.
+    """
+    width = _width(bucket)
+    asked, told = _asked_and_told(facts, changes, key, value, (), ts, seq, width)
+    bins = (
+        _instants(asked.select(key, "bin", F.lit(None).cast("bigint").alias("at")), told, key, ())
+        .groupBy(key, "bin")
+        .agg(
+            F.max_by("told", F.when(F.col("told").isNotNull(), F.col("at"))).alias("tail"),
+            F.max("asked").alias("asked"),
+        )
     )
-    so_far = (
-        Window.partitionBy(key, "bin")
-        .orderBy(ts)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inherited = (
+        bins.withColumn("value", F.last("tail", ignorenulls=True).over(_earlier_bins(key)))
+        .where("asked AND value IS NOT NULL")
+        .select(
+            key,
+            "bin",
+            (F.col("bin") * width).alias("at"),
+            "value",
+            F.lit(-(2**63)).cast("bigint").alias("seq"),
+        )
     )
-    return (
-        instants.withColumn("own", F.last("told", ignorenulls=True).over(so_far))
+    answers = (
+        _instants(asked, told.unionByName(inherited), key, ())
+        .withColumn(value, F.last("told", ignorenulls=True).over(_so_far(key)))
         .where("asked")
-        .join(carried, [key, "bin"], "left")
-        .select(key, ts, F.coalesce("own", "carried").alias(value), *measures)
+        .select(F.col(key).alias("asked_key"), F.col("at").alias("asked_at"), value)
     )
+    same = (F.col(key) == F.col("asked_key")) & (_at(facts, ts) == F.col("asked_at"))
+    return facts.join(answers, same, "left").drop("asked_key", "asked_at")

@@ -105,6 +105,12 @@ class KeptTables:
         value = DERIVED[column]() if column in DERIVED else zero_fill(column)
         return rows.where(F.col("seq").isNotNull()).select("key", value.alias("value"))
 
+    def windows(self, table: str) -> DataFrame:
+        """A kept windowed total as (key, window_start, window_end, total)."""
+        return self.view(table).select(
+            F.col("key.of").alias("key"), "key.window_start", "window_end", "total"
+        )
+
     # Paths.
 
     @staticmethod

@@ -3,6 +3,13 @@ from stockledger.streaming.totals import (
     category_totals_at_arrival,
     customer_names,
     keep,
+    keep_windows,
 )
 
-__all__ = ["category_at_arrival", "category_totals_at_arrival", "customer_names", "keep"]
+__all__ = [
+    "category_at_arrival",
+    "category_totals_at_arrival",
+    "customer_names",
+    "keep",
+    "keep_windows",
+]

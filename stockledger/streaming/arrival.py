@@ -29,28 +29,30 @@ class _CurrentCategory(StatefulProcessor):
         self._category = handle.getValueState("category", "category_id bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        batch = pd.concat(list(rows), ignore_index=True)
-        # Changes before facts that came in at the same moment.
-        batch = batch.sort_values(["seq", "is_change"], ascending=[True, False], kind="stable")
-        is_change = batch["is_change"].to_numpy()
-        category = batch["category_id"].to_numpy()
-
-        kept = self._category.get() if self._category.exists() else None
-        before = kept[0] if kept else UNKNOWN_CATEGORY
+        chunks = list(rows)
+        seq, is_change, category, kind, quantity = (
+            np.concatenate([c[name].to_numpy() for c in chunks])
+            for name in ("seq", "is_change", "category_id", "kind", "quantity")
+        )
+        # In order of arrival, changes before facts that came in at the same moment.
+        order = np.lexsort((~is_change, seq))
+        is_change, category = is_change[order], category[order]
         # Index of the newest change at each row, -1 before the first.
-        newest = np.maximum.accumulate(np.where(is_change, np.arange(len(batch)), -1))
-        if newest[-1] >= 0:
-            self._category.update((int(category[newest[-1]]),))
-        at_arrival = np.where(newest >= 0, category[newest], before)
+        newest = np.maximum.accumulate(np.where(is_change, np.arange(len(order)), -1))
         facts = ~is_change
         if facts.any():
+            before = self._category.get() if newest[0] < 0 else None
+            known = category[newest]
+            at_arrival = np.where(newest >= 0, known, before[0] if before else UNKNOWN_CATEGORY)
             yield pd.DataFrame(
                 {
                     "category_id": at_arrival[facts],
-                    "kind": batch["kind"].to_numpy()[facts],
-                    "quantity": batch["quantity"].to_numpy()[facts],
+                    "kind": kind[order][facts],
+                    "quantity": quantity[order][facts],
                 }
             )
+        if newest[-1] >= 0:
+            self._category.update((int(category[newest[-1]]),))
 
     def close(self) -> None:
         pass

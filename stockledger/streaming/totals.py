@@ -34,6 +34,16 @@ def keep(
     )
 
 
+def keep_windows(
+    windows: DataFrame, tables: KeptTables, table: str, key: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Keep a streaming ``windowed_total`` as a table, read back with ``tables.windows``."""
+    keyed = windows.select(
+        F.struct(F.col(key).alias("of"), "window_start").alias("key"), "window_end", "total"
+    )
+    return keep(keyed, tables, table, "key", checkpoint, **trigger)
+
+
 def category_totals_at_arrival(feeds: Feeds, order: str = "seq", salts: int = 8) -> DataFrame:
     """By-category totals of streaming feeds, each fact under its category at arrival."""
     sources = dict(zip(KINDS, (feeds.replenishment, feeds.sale, feeds.ret), strict=True))

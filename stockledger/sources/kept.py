@@ -77,13 +77,25 @@ class KeptTables:
 
     def view(self, table: str) -> DataFrame:
         """The latest row of every key."""
-        through = max(self._finished(table, "snapshot"), default=None)
-        later = [
-            n for n in self._finished(table, "changes") if through is None or n > through
-        ]
-        if through is None and not later:
+        rows = self._view(table, None)
+        if rows is None:
             raise ValueError(f"nothing has been published to {table}")
-        if through is None:
+        return rows
+
+    def view_before(self, table: str, batch_id: int, schema: str) -> DataFrame:
+        """The table as it was before a batch; empty, with the given schema, before the first."""
+        rows = self._view(table, batch_id)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
+
+    def _view(self, table: str, before: int | None) -> DataFrame | None:
+        def earlier(part: str) -> list[int]:
+            return [n for n in self._finished(table, part) if before is None or n < before]
+
+        through = max(earlier("snapshot"), default=-1)
+        later = [n for n in earlier("changes") if n > through]
+        if through < 0 and not later:
+            return None
+        if through < 0:
             return self._latest(self._read_changes(table, later))
         snapshot = self.spark.read.parquet(self._snapshot(table, through))
         if not later:

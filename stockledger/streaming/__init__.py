@@ -1,4 +1,5 @@
 from stockledger.streaming.arrival import category_at_arrival
+from stockledger.streaming.batches import keep_category_totals
 from stockledger.streaming.totals import (
     category_totals_at_arrival,
     customer_names,
@@ -11,5 +12,6 @@ __all__ = [
     "category_totals_at_arrival",
     "customer_names",
     "keep",
+    "keep_category_totals",
     "keep_windows",
 ]

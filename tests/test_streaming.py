@@ -16,7 +16,12 @@ from stockledger.schemas import CATEGORY, CUSTOMER, ITEM, REPLENISHMENT, RETURN,
 from stockledger.sources.changes import read_changes
 from stockledger.sources.kept import KeptTables
 from stockledger.sources.sinks import json_documents, to_index
-from stockledger.streaming import category_totals_at_arrival, customer_names, keep
+from stockledger.streaming import (
+    category_totals_at_arrival,
+    customer_names,
+    keep,
+    keep_category_totals,
+)
 from tests.conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -116,15 +121,31 @@ def test_item_and_customer_totals_equal_batch(spark, log, run_dir, files_per_bat
     assert dict(rows(tables.named("customer-store"))) == newest
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_category_at_arrival_equals_replay(spark, log, run_dir, salts):
-    tables = KeptTables(spark, f"{run_dir}/kept")
-    live = category_totals_at_arrival(log.stream(), salts=salts)
+def _keyed_state(log, tables, run_dir):
+    live = category_totals_at_arrival(log.stream(), salts=3)
     _finish(keep(live, tables, "category_totals", "category_id", f"{run_dir}/c", availableNow=True))
+
+
+def _whole_batches(log, tables, run_dir):
+    _finish(
+        keep_category_totals(
+            log.stream(), tables, f"{run_dir}/c", bucket=2, compact_every=2, availableNow=True
+        )
+    )
+
+
+BOTH_WAYS = pytest.mark.parametrize("run", [_keyed_state, _whole_batches])
+
+
+@BOTH_WAYS
+def test_category_at_arrival_equals_replay(spark, log, run_dir, run):
+    tables = KeptTables(spark, f"{run_dir}/kept")
+    run(log, tables, run_dir)
     assert _totals(tables) == _replayed(log)
 
 
-def test_category_at_arrival_over_several_batches(spark, run_dir):
+@BOTH_WAYS
+def test_category_at_arrival_over_several_batches(spark, run_dir, run):
     """The hand case: sales before, between and after an item's changes, a batch each."""
     log, tables = Log(spark, f"{run_dir}/feeds"), KeptTables(spark, f"{run_dir}/kept")
     steps = [
@@ -135,14 +156,31 @@ def test_category_at_arrival_over_several_batches(spark, run_dir):
     ]
     for step in steps:
         log.add(**step)
-        live = category_totals_at_arrival(log.stream(), salts=2)
-        _finish(keep(live, tables, "category_totals", "category_id", f"{run_dir}/c", availableNow=True))
+        run(log, tables, run_dir)
     assert _totals(tables) == _replayed(log)
     assert dict(rows(tables.named("sale-qty-by-cat-store"))) == {10: 7, 20: 9, 999999: 9}
     snapshot = Ledger(log.batch()).sold_by_category()
     assert dict(rows(snapshot)) == {10: 0, 20: 21, 999999: 4}
 
 
+def test_a_repeated_batch_of_category_totals_adds_nothing(spark, log, run_dir):
+    tables = KeptTables(spark, f"{run_dir}/kept")
+    _whole_batches(log, tables, run_dir)
+    log.add(sale=[(1, 0, 5)], item=[(1, 30)])
+    _whole_batches(log, tables, run_dir)
+    _lose_last_commit(f"{run_dir}/c")
+    _whole_batches(log, tables, run_dir)
+    assert _totals(tables) == _replayed(log)
+
+
+def _lose_last_commit(checkpoint):
+    commits = [n for n in os.listdir(f"{checkpoint}/commits") if n.isdigit()]
+    last = max(commits, key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(f"{checkpoint}/commits/{name}"):
+            os.remove(f"{checkpoint}/commits/{name}")
+
+
 def _totals(tables):
     view = tables.view("category_totals").where("seq IS NOT NULL")
     return rows(view.na.fill(0), "key", "replenished", "sold", "returned")
@@ -174,12 +212,7 @@ def test_restart_counts_nothing_twice(spark, log, run_dir):
 
     go_on()
     before = rows(tables.named("items-at-hand-store"))
-    commits = [n for n in os.listdir(f"{run_dir}/c/commits") if n.isdigit()]
-    last = max(commits, key=int)
-    os.remove(f"{run_dir}/c/commits/{last}")
-    crc = f"{run_dir}/c/commits/.{last}.crc"
-    if os.path.exists(crc):
-        os.remove(crc)
+    _lose_last_commit(f"{run_dir}/c")
     go_on()
     assert rows(tables.named("items-at-hand-store")) == before
     log.add(sale=[(1, 0, 1000)], item=[(1, 10)])

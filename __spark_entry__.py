@@ -9,6 +9,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stockledger.functions import (
@@ -36,7 +37,7 @@ from stockledger.operators import (
 from stockledger.plans import Ledger
 from stockledger.schemas import UNKNOWN_CATEGORY
 from stockledger.sources import reads
-from stockledger.sources.changes import pull_after
+from stockledger.sources.changes import json_changes, pull_after
 from stockledger.sources.kept import KeptTables, shared_dir
 from stockledger.sources.sinks import json_documents, latest_of_changes, topic_records
 from stockledger.sources.tables import (
@@ -88,6 +89,14 @@ def read_changes_count(t: OrderTables) -> DataFrame:
     return all_counts
 
 
+def json_changes_sale(t: OrderTables) -> DataFrame:
+    """Sales as JSON records, decoded field by field and totalled by item."""
+    sold = t.timed_sales()
+    records = sold.select(F.to_json(F.struct("item_id", "quantity")).alias("value"), "ts", "seq")
+    fields = "item_id bigint, quantity bigint"
+    return sum_by_key(json_changes(records, T.StructType.fromDDL(fields)), "item_id", "quantity")
+
+
 def incremental_pull(t: OrderTables) -> DataFrame:
     """Lines of orders newer than all orders dated before 1995-01-03."""
     orders = t.table("orders")
@@ -212,7 +221,7 @@ def asof_sale_by_category_unbounded(t: OrderTables) -> DataFrame:
     """The same with no broadcast allowed: the path for changes of any size."""
     return asof_totals(
         t.timed_sales(), t.item_changes(), "item_id", "category_id", ["quantity"], UNKNOWN_CATEGORY,
-        bucket=timedelta(days=365), limit=0,
+        bucket=timedelta(days=1), limit=0,
     )
 
 
@@ -224,7 +233,7 @@ def asof_sale_rows(t: OrderTables) -> DataFrame:
 def asof_sale_rows_unbounded(t: OrderTables) -> DataFrame:
     rows = asof_lookup(
         t.timed_sales(), t.item_changes(), "item_id", "category_id", UNKNOWN_CATEGORY,
-        bucket=timedelta(days=365), limit=0,
+        bucket=timedelta(days=1), limit=0,
     )
     return rows.select("item_id", "customer_id", "quantity", "category_id")
 
@@ -432,6 +441,7 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "stock_by_category_no_spine": _ledger(Ledger.stock_by_category_no_spine),
     "read_changes_count": read_changes_count,
     "incremental_pull": incremental_pull,
+    "json_changes_sale": json_changes_sale,
     "changelog_changes": changelog_changes,
     "changelog_latest": changelog_latest,
     "json_documents": items_json,
@@ -669,6 +679,7 @@ ORACLES = {
     ),
     "incremental_pull": """SELECT o_orderkey, o_custkey FROM orders
         WHERE o_orderkey > (SELECT MAX(o_orderkey) FROM orders WHERE o_orderdate < '1995-01-03')""",
+    "json_changes_sale": _with(_raw_sql("item_id", "sale")),
     "changelog_changes": _with(
         """SELECT item_id AS key, CAST(SUM(q) OVER (PARTITION BY item_id ORDER BY batch_id)
             AS BIGINT) AS value, batch_id

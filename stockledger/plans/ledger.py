@@ -29,8 +29,11 @@ class Ledger:
 
     # Wide totals: one row per key on either side, seq null off the spine.
 
-    def item_totals(self, kinds: Sequence[str] = KINDS) -> DataFrame:
-        return spine_totals(self.feeds.item, self.feeds.moves("item_id", kinds), "item_id", kinds)
+    def item_totals(
+        self, kinds: Sequence[str] = KINDS, attributes: Sequence[str] = ()
+    ) -> DataFrame:
+        moves = self.feeds.moves("item_id", kinds)
+        return spine_totals(self.feeds.item, moves, "item_id", kinds, attributes)
 
     def customer_totals(self, kinds: Sequence[str] = ("sold", "returned")) -> DataFrame:
         moves = self.feeds.moves("customer_id", kinds)

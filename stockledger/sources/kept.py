@@ -51,23 +51,33 @@ class KeptTables:
         rows.write.mode("overwrite").parquet(self._batch(table, batch_id))
 
     def compact(self, table: str) -> int:
-        """Write the table's present state as a sorted snapshot; returns its last batch."""
-        last = max([*self._finished(table, "changes"), *self._finished(table, "snapshot")])
-        self.view(table).repartitionByRange("key").sortWithinPartitions("key").write.mode(
-            "overwrite"
-        ).parquet(f"{self.root}/{table}/snapshot/through={last}")
+        """Write the table's present state as a sorted snapshot; returns its last batch.
+
+        A snapshot that is there already stands: repeating its batch gave the same rows.
+        """
+        done = self._finished(table, "snapshot")
+        last = max([*self._finished(table, "changes"), *done])
+        if last not in done:
+            self.view(table).repartitionByRange("key").sortWithinPartitions("key").write.mode(
+                "overwrite"
+            ).parquet(self._snapshot(table, last))
         return last
 
     def vacuum(self, table: str) -> None:
-        """Delete what the newest snapshot covers. Queries still reading it would fail."""
-        snapshots = self._finished(table, "snapshot")
-        if not snapshots:
+        """Delete what the last snapshot but one covers.
+
+        The newest snapshot's own batch may still be run again, and reads the table
+        as it was before, so what lies between the two is kept.
+        """
+        snapshots = sorted(self._finished(table, "snapshot"))
+        if len(snapshots) < 2:
             return
-        newest = max(snapshots)
-        covered = [self._batch(table, n) for n in self._finished(table, "changes") if n <= newest]
-        covered += [self._snapshot(table, n) for n in snapshots if n < newest]
-        for path in covered:
-            self._fs(path)[0].delete(self._fs(path)[1], True)
+        covered = snapshots[-2]
+        gone = [self._batch(table, n) for n in self._finished(table, "changes") if n <= covered]
+        gone += [self._snapshot(table, n) for n in snapshots if n < covered]
+        for path in gone:
+            fs, directory = self._fs(path)
+            fs.delete(directory, True)
 
     # Reading.
 

@@ -2,16 +2,16 @@ from stockledger.streaming.arrival import category_at_arrival
 from stockledger.streaming.batches import keep_category_totals
 from stockledger.streaming.totals import (
     category_totals_at_arrival,
-    customer_names,
     keep,
     keep_windows,
+    latest_names,
 )
 
 __all__ = [
     "category_at_arrival",
     "category_totals_at_arrival",
-    "customer_names",
     "keep",
     "keep_category_totals",
     "keep_windows",
+    "latest_names",
 ]

@@ -1,6 +1,7 @@
 """Totals kept up to date from streams.
 
-``Ledger(feeds).item_totals()`` and ``customer_totals()`` run as they are on
+``Ledger(feeds).item_totals()`` (with ``attributes=["category_id"]`` where the latest
+category is to be kept too) and ``customer_totals()`` run as they are on
 streaming feeds: one union and one update-mode aggregate. By-category totals need
 the category of each fact first, which is the keyed state of ``category_at_arrival``.
 """
@@ -59,8 +60,6 @@ def category_totals_at_arrival(feeds: Feeds, order: str = "seq", salts: int = 8)
     return spine_totals(feeds.category, moves, "category_id", KINDS)
 
 
-def customer_names(feeds: Feeds) -> DataFrame:
-    """Latest name per customer, with the arrival order it came at."""
-    return feeds.customer.groupBy("customer_id").agg(
-        F.max_by("name", "seq").alias("name"), F.max("seq").alias("seq")
-    )
+def latest_names(feed: DataFrame, key: str) -> DataFrame:
+    """Latest name per key of a customer or category feed, with the arrival order it came at."""
+    return feed.groupBy(key).agg(F.max_by("name", "seq").alias("name"), F.max("seq").alias("seq"))

@@ -49,9 +49,14 @@ def test_snapshot_then_later_changes(spark, tables):
     assert rows(tables.view("item_totals")) == before
     _publish(spark, tables, 2, [(2, 1, None, 6, None)])
     assert rows(reads.by_key(tables.view("item_totals"), 2), "sold") == [(6,)]
-    assert tables.compact("item_totals") == 2
+    now = [(1, 4), (2, 6), (9, None)]
+    assert tables.compact("item_totals") == tables.compact("item_totals") == 2
     tables.vacuum("item_totals")
-    assert rows(tables.view("item_totals"), "key", "sold") == [(1, 4), (2, 6), (9, None)]
+    assert rows(tables.view("item_totals"), "key", "sold") == now
+    assert rows(tables.view_before("item_totals", 2, WIDE)) == before
+    _publish(spark, tables, 2, [(2, 1, None, 6, None)])
+    assert rows(tables.view("item_totals"), "key", "sold") == now
+    assert tables.changes("item_totals").count() == 1
 
 
 def test_named_reads(spark, tables):

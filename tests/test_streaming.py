@@ -18,9 +18,9 @@ from stockledger.sources.kept import KeptTables
 from stockledger.sources.sinks import json_documents, to_index
 from stockledger.streaming import (
     category_totals_at_arrival,
-    customer_names,
     keep,
     keep_category_totals,
+    latest_names,
 )
 from tests.conftest import rows
 
@@ -103,15 +103,13 @@ def log(spark, run_dir):
 def test_item_and_customer_totals_equal_batch(spark, log, run_dir, files_per_batch):
     tables = KeptTables(spark, f"{run_dir}/kept")
     live, batch = Ledger(log.stream(files_per_batch)), Ledger(log.batch())
-    _finish(keep(live.item_totals(), tables, "item_totals", "item_id", f"{run_dir}/c1", availableNow=True))
-    _finish(
-        keep(live.customer_totals(), tables, "customer_totals", "customer_id", f"{run_dir}/c2",
-             availableNow=True)
-    )
-    _finish(
-        keep(customer_names(live.feeds), tables, "customer_latest", "customer_id", f"{run_dir}/c3",
-             availableNow=True)
-    )
+    kept = [
+        (live.item_totals(attributes=["category_id"]), "item_totals", "item_id"),
+        (live.customer_totals(), "customer_totals", "customer_id"),
+        (latest_names(live.feeds.customer, "customer_id"), "customer_latest", "customer_id"),
+    ]
+    for total, table, key in kept:
+        _finish(keep(total, tables, table, key, f"{run_dir}/{table}", availableNow=True))
     assert rows(tables.named("refill-qty-by-item-store")) == rows(batch.replenished_by_item())
     assert rows(tables.named("sale-qty-by-item-store")) == rows(batch.sold_by_item())
     assert rows(tables.named("items-at-hand-store")) == rows(batch.items_at_hand())
@@ -119,6 +117,7 @@ def test_item_and_customer_totals_equal_batch(spark, log, run_dir, files_per_bat
     assert rows(tables.named("items-with-cust-store")) == rows(batch.items_with_customer())
     newest = {c: n for c, n, _, _ in log.rows["customer"]}
     assert dict(rows(tables.named("customer-store"))) == newest
+    assert dict(rows(tables.named("item-store"))) == {i: c for i, c, _, _ in log.rows["item"]}
 
 
 def _keyed_state(log, tables, run_dir):

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,10 +47,9 @@ from stockledger.sources.tables import (
     category_changes,
     customer_changes,
     event_stream,
-    item_changes,
-    timed_sales,
+    timed_feeds,
 )
-from stockledger.streaming import category_at_arrival, keep, keep_windows
+from stockledger.streaming import keep, keep_category_totals, keep_windows
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -391,19 +391,20 @@ def stream_items_with_customer(t: OrderTables) -> DataFrame:
     return tables.named("items-with-cust-store")
 
 
-def stream_sale_by_category_at_arrival(t: OrderTables) -> DataFrame:
-    """Sales in order of their time, each under the category its item then had."""
-    sold = timed_sales(t.stream("lineitem"), t.table("orders"))
-    changes = item_changes(t.stream("part"))
-    order = F.unix_micros("ts").alias("seq")
-    live = category_at_arrival(
-        sold.select("item_id", F.lit("sold").alias("kind"), "quantity", order),
-        changes.select("item_id", "category_id", order),
-    )
-    tables = _streamed(
-        t, keep, sum_by_key(live, "category_id", "quantity"), "sold", "category_id"
-    )
-    return tables.view("sold").withColumnRenamed("key", "category_id")
+def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
+    """All facts in order of their time, each under the category its item then had."""
+    feeds = timed_feeds(t.stream, t.table)
+    work = _work_dir(t)
+    tables = KeptTables(t.spark, f"{work}/kept")
+    day = 24 * 3600 * 1_000_000
+    keep_category_totals(
+        feeds, tables, f"{work}/checkpoint", bucket=day, availableNow=True
+    ).awaitTermination()
+    names = ("refill-qty-by-cat", "sale-qty-by-cat", "rets-qty-by-cat", "items-at-hand-per-cat")
+    stores = [
+        tables.named(f"{n}-store").select(F.lit(n).alias("name"), "key", "value") for n in names
+    ]
+    return reduce(DataFrame.unionByName, stores)
 
 
 def stream_windowed_count(t: OrderTables) -> DataFrame:
@@ -479,7 +480,7 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "window_fetch": window_fetch,
     "stream_items_at_hand": stream_items_at_hand,
     "stream_items_with_customer": stream_items_with_customer,
-    "stream_sale_by_category_at_arrival": stream_sale_by_category_at_arrival,
+    "stream_category_totals_at_arrival": stream_category_totals_at_arrival,
     "stream_windowed_count": stream_windowed_count,
 }
 
@@ -596,6 +597,12 @@ _INTERVAL = f"""SELECT l.user_id, l.event_id AS click_id, r.event_id AS purchase
     {_PAIRED}"""
 _ASOF = """FROM sale_ts f ASOF LEFT JOIN item_changes i
     ON f.item_id = i.item_id AND f.ts >= i.ts"""
+_TIMED_FACTS = """SELECT 'r' AS kind, l_partkey AS item_id, l_shipdate AS ts,
+        CAST(l_quantity AS BIGINT) * 2 AS quantity
+        FROM lineitem WHERE l_linenumber = 1 AND l_partkey % 7 <> 0
+    UNION ALL SELECT 's', item_id, ts, quantity FROM sale_ts
+    UNION ALL SELECT 'b', l_partkey, l_shipdate, CAST(l_quantity AS BIGINT)
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""
 _ASOF_TOTALS = f"""SELECT COALESCE(i.category_id, 999999) AS category_id,
     CAST(SUM(f.quantity) AS BIGINT) AS quantity {_ASOF} GROUP BY 1"""
 _ASOF_ROWS = f"""SELECT f.item_id, f.customer_id, f.quantity,
@@ -764,7 +771,21 @@ ORACLES = {
     "stream_items_with_customer": _with(
         f"SELECT customer_id AS key, quantity AS value FROM ({_HELD_SQL}) h"
     ),
-    "stream_sale_by_category_at_arrival": _with(_ASOF_TOTALS),
+    "stream_category_totals_at_arrival": _with(
+        f"""SELECT n.name, c.category_id AS key, CAST(COALESCE(CASE n.name
+            WHEN 'refill-qty-by-cat' THEN a.r WHEN 'sale-qty-by-cat' THEN a.s
+            WHEN 'rets-qty-by-cat' THEN a.b ELSE a.r - a.s + a.b END, 0) AS BIGINT) AS value
+        FROM category c
+        CROSS JOIN (VALUES ('refill-qty-by-cat'), ('sale-qty-by-cat'), ('rets-qty-by-cat'),
+            ('items-at-hand-per-cat')) n(name)
+        LEFT JOIN (SELECT COALESCE(i.category_id, 999999) AS category_id,
+            SUM(CASE WHEN f.kind = 'r' THEN f.quantity ELSE 0 END) AS r,
+            SUM(CASE WHEN f.kind = 's' THEN f.quantity ELSE 0 END) AS s,
+            SUM(CASE WHEN f.kind = 'b' THEN f.quantity ELSE 0 END) AS b
+            FROM ({_TIMED_FACTS}) f ASOF LEFT JOIN item_changes i
+            ON f.item_id = i.item_id AND f.ts >= i.ts GROUP BY 1) a
+        ON c.category_id = a.category_id"""
+    ),
     "stream_windowed_count": _with(_windows_sql("COUNT(*)", 2)),
 }
 

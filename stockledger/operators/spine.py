@@ -33,22 +33,10 @@ def spine_totals(
     does not carry one. In the result ``seq`` is null for keys the spine lacks,
     and a measure is null for keys without a fact that carries it.
     """
-    types = dict(spine.dtypes)
-    nothing = F.lit(None)
-    marks = spine.select(
-        key,
-        F.col("seq").cast("bigint").alias("seq"),
-        *attributes,
-        *[nothing.cast("bigint").alias(m) for m in measures],
-    )
-    rows = facts.select(
-        key,
-        nothing.cast("bigint").alias("seq"),
-        *[nothing.cast(types[a]).alias(a) for a in attributes],
-        *measures,
-    )
+    marks = spine.select(key, "seq", *attributes)
+    rows = facts.select(key, *measures)
     return (
-        marks.unionByName(rows)
+        marks.unionByName(rows, allowMissingColumns=True)
         .groupBy(key)
         .agg(
             F.max("seq").alias("seq"),
@@ -73,14 +61,13 @@ def signed_join(
     Equals the left join chain first ⟕ other₁ ⟕ other₂ … on tables with unique
     keys, as one union and one aggregate: keys that ``first`` lacks are dropped.
     """
-    rows = first.select(key, F.lit(1).alias("mine"), F.col(value))
+    rows = first.select(key, value, F.lit(1).alias("mine"))
     for sign, other in others:
         if sign not in (1, -1):
             raise ValueError("sign must be 1 or -1")
         addend = F.col(value) if sign == 1 else -F.col(value)
-        rows = rows.unionByName(
-            other.select(key, F.lit(None).cast("int").alias("mine"), addend.alias(value))
-        )
+        added = other.select(key, addend.alias(value))
+        rows = rows.unionByName(added, allowMissingColumns=True)
     return (
         rows.groupBy(key)
         .agg(F.max("mine").alias("mine"), F.sum(value).alias(value))

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stockledger.functions import required
 
@@ -36,18 +35,9 @@ class Feeds:
         the query.
         """
         feeds = {"replenished": "replenishment", "sold": "sale", "returned": "ret"}
-        parts = [
-            getattr(self, feeds[kind]).select(
-                key,
-                *[
-                    (required("quantity", "quantity") if k == kind else F.lit(None).cast("bigint"))
-                    .alias(k)
-                    for k in kinds
-                ],
-            )
-            for kind in kinds
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        quantity = required("quantity", "quantity")
+        parts = [getattr(self, feeds[k]).select(key, quantity.alias(k)) for k in kinds]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 @dataclass(frozen=True)

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger.functions import required
-from stockledger.plans.feeds import Feeds
+from stockledger.plans.feeds import Feeds, GivenFeeds
 
 
 # Column types of the tables read here, so that reading one opens no file to find out.
@@ -114,127 +114,129 @@ class OrderFeeds(Feeds):
         others = [k for k in kinds if k not in both]
         if not others:
             return rows
-        others = super().moves(key, others)
-        return rows.unionByName(others, allowMissingColumns=True).select(key, *kinds)
+        return rows.unionByName(super().moves(key, others), allowMissingColumns=True)
 
 
-def _once(df: DataFrame, *columns: str) -> DataFrame:
-    """A feed that sends every key once, so any arrival order will do."""
-    return df.select(*columns, F.lit(0).cast("bigint").alias("seq"))
+# A feed that sends every key once takes any arrival order.
+_ONCE = "CAST(0 AS BIGINT) AS seq"
+_QUANTITY = "CAST(l_quantity AS BIGINT) AS quantity"
+_SHIPPED = "CAST(l_shipdate AS TIMESTAMP)"
 
 
 def items(part: DataFrame) -> DataFrame:
     """Every 50th part is left out; its facts have no category."""
-    known = part.where(F.col("p_partkey") % 50 != 0).select(
-        F.col("p_partkey").alias("item_id"), F.col("p_size").cast("bigint").alias("category_id")
+    return part.where("p_partkey % 50 <> 0").selectExpr(
+        "p_partkey AS item_id", "CAST(p_size AS BIGINT) AS category_id", _ONCE
     )
-    return _once(known, "item_id", "category_id")
 
 
 def customers(customer: DataFrame) -> DataFrame:
-    named = customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
-    return _once(named, "customer_id", "name")
+    return customer.selectExpr("c_custkey AS customer_id", "c_name AS name", _ONCE)
 
 
 def categories(part: DataFrame) -> DataFrame:
-    sizes = part.select(F.col("p_size").cast("bigint").alias("category_id")).distinct()
-    named = sizes.withColumn("name", F.concat(F.lit("CATEGORY_"), F.col("category_id")))
-    return _once(named, "category_id", "name")
+    sizes = part.selectExpr("CAST(p_size AS BIGINT) AS category_id").distinct()
+    return sizes.selectExpr("category_id", "concat('CATEGORY_', category_id) AS name", _ONCE)
 
 
-def replenishments(lineitem: DataFrame) -> DataFrame:
+def replenishments(lineitem: DataFrame, *more: str) -> DataFrame:
     """First lines, twice the quantity; items divisible by seven are never replenished."""
-    return lineitem.where((F.col("l_linenumber") == 1) & (F.col("l_partkey") % 7 != 0)).select(
-        F.col("l_partkey").alias("item_id"),
-        (F.col("l_quantity").cast("bigint") * 2).alias("quantity"),
+    return lineitem.where("l_linenumber = 1 AND l_partkey % 7 <> 0").selectExpr(
+        "l_partkey AS item_id", "CAST(l_quantity AS BIGINT) * 2 AS quantity", *more
     )
 
 
-def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    return _lines(lineitem, orders)
+def sales(lineitem: DataFrame, orders: DataFrame, *more: str) -> DataFrame:
+    return _lines(lineitem, orders).selectExpr("item_id", "customer_id", _QUANTITY, *more)
 
 
-def returns(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    return _lines(lineitem.where(F.col("l_returnflag") == "R"), orders)
+def returns(lineitem: DataFrame, orders: DataFrame, *more: str) -> DataFrame:
+    return sales(lineitem.where("l_returnflag = 'R'"), orders, *more)
 
 
 def traded(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Sold, and returned where the line was, of every line."""
     quantity = required("l_quantity", "quantity")
-    back = F.when(F.col("l_returnflag") == "R", quantity)
-    return _lines(lineitem, orders, quantity.alias("sold"), back.alias("returned"))
+    lines = _lines(lineitem, orders).select(
+        "item_id", "customer_id", quantity.alias("sold"), "l_returnflag"
+    )
+    return lines.selectExpr(
+        "item_id", "customer_id", "sold", "IF(l_returnflag = 'R', sold, NULL) AS returned"
+    )
 
 
 def timed_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    seq = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    shipped = F.col("l_shipdate").cast("timestamp")
-    return _lines(lineitem, orders, _quantity(), shipped.alias("ts"), seq.alias("seq"))
+    return sales(
+        lineitem, orders, f"{_SHIPPED} AS ts", "l_orderkey * 10 + l_linenumber AS seq"
+    )
 
 
-def _quantity() -> Column:
-    return F.col("l_quantity").cast("bigint").alias("quantity")
+def timed_feeds(
+    table: Callable[[str], DataFrame], orders: Callable[[str], DataFrame] | None = None
+) -> GivenFeeds:
+    """All feeds with their arrival order: the microseconds of the ship date or change."""
+    lines, orders = table("lineitem"), (orders or table)("orders")
+    shipped = f"unix_micros({_SHIPPED}) AS seq"
+    return GivenFeeds(
+        item=item_changes(table("part")).withColumn("seq", F.unix_micros("ts")),
+        customer=customers(table("customer")),
+        category=category_changes(table("part")),
+        replenishment=replenishments(lines, shipped),
+        sale=sales(lines, orders, shipped),
+        ret=returns(lines, orders, shipped),
+    )
 
 
-def _lines(lineitem: DataFrame, orders: DataFrame, *columns: Column) -> DataFrame:
-    """Lines with their order's customer, and the given columns of the line."""
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_partkey").alias("item_id"),
-        F.col("o_custkey").alias("customer_id"),
-        *(columns or [_quantity()]),
-    )
+def _lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines with their order's customer."""
+    joined = lineitem.join(orders, F.expr("l_orderkey = o_orderkey"))
+    return joined.selectExpr("*", "l_partkey AS item_id", "o_custkey AS customer_id")
 
 
 def item_changes(part: DataFrame) -> DataFrame:
     """Versions of the items: every 11th appears late, every third changes category."""
-    known = part.where(F.col("p_partkey") % 50 != 0)
-    key, size = F.col("p_partkey"), F.col("p_size")
-    first = known.select(
-        key.alias("item_id"),
-        size.cast("bigint").alias("category_id"),
-        F.when(key % 11 == 0, F.lit("1996-01-01 00:00:00"))
-        .otherwise(F.lit("1990-01-01 00:00:00"))
-        .cast("timestamp")
-        .alias("ts"),
-        (key * 2).alias("seq"),
+    known = part.where("p_partkey % 50 <> 0")
+    first = known.selectExpr(
+        "p_partkey AS item_id",
+        "CAST(p_size AS BIGINT) AS category_id",
+        "CAST(IF(p_partkey % 11 = 0, '1996-01-01', '1990-01-01') AS TIMESTAMP) AS ts",
+        "p_partkey * 2 AS seq",
     )
-    moved = known.where(key % 3 == 0).select(
-        key.alias("item_id"),
-        (size % 50 + 1).cast("bigint").alias("category_id"),
-        F.lit("1998-01-01 00:00:00").cast("timestamp").alias("ts"),
-        (key * 2 + 1).alias("seq"),
+    moved = known.where("p_partkey % 3 = 0").selectExpr(
+        "p_partkey AS item_id",
+        "CAST(p_size % 50 + 1 AS BIGINT) AS category_id",
+        "TIMESTAMP '1998-01-01' AS ts",
+        "p_partkey * 2 + 1 AS seq",
     )
     return first.unionByName(moved)
 
 
 def customer_changes(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """A customer's name as first entered, then as each order re-sends it with its priority."""
-    entered = customer.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.lit(-1).cast("bigint").alias("seq"),
+    entered = customer.selectExpr(
+        "c_custkey AS customer_id", "c_name AS name", "CAST(-1 AS BIGINT) AS seq"
     )
-    resent = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.concat_ws(" ", "c_name", "o_orderpriority").alias("name"),
-        F.col("o_orderkey").alias("seq"),
+    resent = orders.join(customer, F.expr("o_custkey = c_custkey")).selectExpr(
+        "c_custkey AS customer_id",
+        "concat_ws(' ', c_name, o_orderpriority) AS name",
+        "o_orderkey AS seq",
     )
     return entered.unionByName(resent)
 
 
 def category_changes(part: DataFrame) -> DataFrame:
     """Each part names its category anew."""
-    return part.select(
-        F.col("p_size").cast("bigint").alias("category_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_partkey").alias("seq"),
+    return part.selectExpr(
+        "CAST(p_size AS BIGINT) AS category_id", "p_name AS name", "p_partkey AS seq"
     )
 
 
 def event_stream(events: DataFrame) -> DataFrame:
     """Events with a time Spark can set a watermark on, and the value in cents."""
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "CAST(ts AS TIMESTAMP) AS ts",
         "user_id",
         "event_type",
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+        "CAST(round(value * 100) AS BIGINT) AS cents",
     )

@@ -18,8 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from stockledger.functions import required
 from stockledger.schemas import UNKNOWN_CATEGORY
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from stockledger.streaming.state import use_rocksdb
 
 _OUT = "category_id bigint, kind string, quantity bigint"
 
@@ -65,12 +64,11 @@ def category_at_arrival(
 
     ``facts`` is (item_id, kind, quantity, <order>), ``item_changes`` (item_id,
     category_id, <order>); ``order`` must be comparable across both: a common
-    arrival number, or the record time in microseconds. What one group holds at
-    a time is bounded by the batch: set maxFilesPerTrigger or maxOffsetsPerTrigger
-    on the sources.
+    arrival number, or the record time in microseconds. A group takes its rows of
+    one micro-batch into memory, so bound the batch with maxFilesPerTrigger or
+    maxOffsetsPerTrigger on the sources; ``keep_category_totals`` has no such need.
     """
-    spark = facts.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(facts.sparkSession)
     zero = F.lit(0).cast("bigint")
     order_column = F.col(order).cast("bigint").alias("seq")
     mine = facts.select(

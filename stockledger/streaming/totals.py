@@ -19,12 +19,14 @@ from stockledger.operators.spine import spine_totals
 from stockledger.plans.feeds import KINDS, Feeds
 from stockledger.sources.kept import KeptTables
 from stockledger.streaming.arrival import category_at_arrival
+from stockledger.streaming.state import use_rocksdb
 
 
 def keep(
     rows: DataFrame, tables: KeptTables, table: str, key: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Keep a streaming total as a table, its key column renamed to ``key``."""
+    use_rocksdb(tables.spark)
     return (
         rows.withColumnRenamed(key, "key")
         .writeStream.outputMode("update")

@@ -40,7 +40,7 @@ from stockledger.schemas import UNKNOWN_CATEGORY
 from stockledger.sources import reads
 from stockledger.sources.changes import json_changes, pull_after
 from stockledger.sources.kept import KeptTables, shared_dir
-from stockledger.sources.sinks import json_documents, latest_of_changes, topic_records
+from stockledger.sources.sinks import json_documents, latest_of_changes, published, topic_records
 from stockledger.sources.tables import (
     OrderFeeds,
     OrderTables,
@@ -124,6 +124,17 @@ def changelog_latest(t: OrderTables) -> DataFrame:
     return latest_of_changes(_yearly_changes(t), "key", ["value"])
 
 
+def published_topics(t: OrderTables) -> DataFrame:
+    """All eleven totals as the rows of their topics."""
+    ledger = Ledger(t.feeds())
+    wide = [
+        (ledger.item_totals(), "item_totals", "item_id"),
+        (ledger.customer_totals(), "customer_totals", "customer_id"),
+        (ledger.category_totals(), "category_totals", "category_id"),
+    ]
+    return reduce(DataFrame.unionByName, [published(*w) for w in wide])
+
+
 def items_json(t: OrderTables) -> DataFrame:
     return json_documents(_hand(t))
 
@@ -401,10 +412,11 @@ def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
         feeds, tables, f"{work}/checkpoint", bucket=day, availableNow=True
     ).awaitTermination()
     names = ("refill-qty-by-cat", "sale-qty-by-cat", "rets-qty-by-cat", "items-at-hand-per-cat")
-    stores = [
-        tables.named(f"{n}-store").select(F.lit(n).alias("name"), "key", "value") for n in names
-    ]
-    return reduce(DataFrame.unionByName, stores)
+    stores = [f"{n}-store" for n in names] + [f"{n}-store-0.8" for n in names[:3]]
+    return reduce(
+        DataFrame.unionByName,
+        [tables.named(s).select(F.lit(s).alias("name"), "key", "value") for s in stores],
+    )
 
 
 def stream_windowed_count(t: OrderTables) -> DataFrame:
@@ -445,6 +457,7 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "json_changes_sale": json_changes_sale,
     "changelog_changes": changelog_changes,
     "changelog_latest": changelog_latest,
+    "published_topics": published_topics,
     "json_documents": items_json,
     "long_topic_records": long_topic_records,
     "rekey_sale_item": rekey_sale_item,
@@ -529,7 +542,7 @@ _VIEWS = {
 
 
 def _with(sql: str, **more: str) -> str:
-    """The statement with the views it names (and those they name) in front."""
+    """The statement with all views, and any more it needs, in front."""
     views = {**_VIEWS, **more}
     ctes = ",\n".join(f"{name} AS ({body})" for name, body in views.items())
     return f"WITH {ctes}\n{sql}"
@@ -582,6 +595,25 @@ _HELD_SQL = _combined_sql(
     _filled_sql("cust", "customer_id", "sale"),
     ("-", _filled_sql("cust", "customer_id", "ret")),
 )
+_CATEGORY_HAND_SQL = _combined_sql(
+    "category_id",
+    _category_sql("replenishment"),
+    ("-", _category_sql("sale")),
+    ("+", _category_sql("ret")),
+)
+_TOPICS = {
+    "refill-qty-by-item": _filled_sql("item", "item_id", "replenishment"),
+    "sale-qty-by-item": _filled_sql("item", "item_id", "sale"),
+    "rets-qty-by-item": _filled_sql("item", "item_id", "ret"),
+    "sale-qty-by-cust": _filled_sql("cust", "customer_id", "sale"),
+    "rets-qty-by-cust": _filled_sql("cust", "customer_id", "ret"),
+    "refill-qty-by-cat": _category_sql("replenishment"),
+    "sale-qty-by-cat": _category_sql("sale"),
+    "rets-qty-by-cat": _category_sql("ret"),
+    "items-at-hand": _HAND_SQL,
+    "items-with-cust": _HELD_SQL,
+    "items-at-hand-per-cat": _CATEGORY_HAND_SQL,
+}
 _PAIRS_SQL = f"SELECT item_id AS key, quantity AS value FROM ({_HAND_SQL}) h"
 _PAGE_NUMBERS = r"""SELECT page_id, regexp_extract(url, '([^/?#]*)(?:[?#].*)?$', 1) AS number
     FROM pages"""
@@ -603,6 +635,12 @@ _TIMED_FACTS = """SELECT 'r' AS kind, l_partkey AS item_id, l_shipdate AS ts,
     UNION ALL SELECT 's', item_id, ts, quantity FROM sale_ts
     UNION ALL SELECT 'b', l_partkey, l_shipdate, CAST(l_quantity AS BIGINT)
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""
+_ARRIVED = f"""SELECT COALESCE(i.category_id, 999999) AS category_id,
+    SUM(CASE WHEN f.kind = 'r' THEN f.quantity END) AS r,
+    SUM(CASE WHEN f.kind = 's' THEN f.quantity END) AS s,
+    SUM(CASE WHEN f.kind = 'b' THEN f.quantity END) AS b
+    FROM ({_TIMED_FACTS}) f ASOF LEFT JOIN item_changes i
+    ON f.item_id = i.item_id AND f.ts >= i.ts GROUP BY 1"""
 _ASOF_TOTALS = f"""SELECT COALESCE(i.category_id, 999999) AS category_id,
     CAST(SUM(f.quantity) AS BIGINT) AS quantity {_ASOF} GROUP BY 1"""
 _ASOF_ROWS = f"""SELECT f.item_id, f.customer_id, f.quantity,
@@ -632,14 +670,7 @@ ORACLES = {
     "q8_returned_by_category": _with(_category_sql("ret")),
     "q9_items_at_hand": _with(_HAND_SQL),
     "q10_items_with_customer": _with(_HELD_SQL),
-    "q11_items_at_hand_by_category": _with(
-        _combined_sql(
-            "category_id",
-            _category_sql("replenishment"),
-            ("-", _category_sql("sale")),
-            ("+", _category_sql("ret")),
-        )
-    ),
+    "q11_items_at_hand_by_category": _with(_CATEGORY_HAND_SQL),
     "q6_as_wired": _with(_as_wired_sql("replenishment")),
     "q8_as_wired": _with(_as_wired_sql("ret")),
     "q11_as_wired": _with(
@@ -695,6 +726,12 @@ ORACLES = {
     "changelog_latest": _with(
         "SELECT item_id AS key, CAST(SUM(quantity) AS BIGINT) AS value FROM sale_ts GROUP BY 1"
     ),
+    "published_topics": _with(
+        " UNION ALL ".join(
+            f"SELECT '{name}-topic' AS topic, * FROM ({sql}) t(key, value)"
+            for name, sql in _TOPICS.items()
+        )
+    ),
     "json_documents": _with(
         f"""SELECT concat('{{"key":', key, ',"value":', value, '}}') AS document
         FROM ({_PAIRS_SQL}) p"""
@@ -772,19 +809,29 @@ ORACLES = {
         f"SELECT customer_id AS key, quantity AS value FROM ({_HELD_SQL}) h"
     ),
     "stream_category_totals_at_arrival": _with(
-        f"""SELECT n.name, c.category_id AS key, CAST(COALESCE(CASE n.name
-            WHEN 'refill-qty-by-cat' THEN a.r WHEN 'sale-qty-by-cat' THEN a.s
-            WHEN 'rets-qty-by-cat' THEN a.b ELSE a.r - a.s + a.b END, 0) AS BIGINT) AS value
-        FROM category c
-        CROSS JOIN (VALUES ('refill-qty-by-cat'), ('sale-qty-by-cat'), ('rets-qty-by-cat'),
-            ('items-at-hand-per-cat')) n(name)
-        LEFT JOIN (SELECT COALESCE(i.category_id, 999999) AS category_id,
-            SUM(CASE WHEN f.kind = 'r' THEN f.quantity ELSE 0 END) AS r,
-            SUM(CASE WHEN f.kind = 's' THEN f.quantity ELSE 0 END) AS s,
-            SUM(CASE WHEN f.kind = 'b' THEN f.quantity ELSE 0 END) AS b
-            FROM ({_TIMED_FACTS}) f ASOF LEFT JOIN item_changes i
-            ON f.item_id = i.item_id AND f.ts >= i.ts GROUP BY 1) a
-        ON c.category_id = a.category_id"""
+        " UNION ALL ".join(
+            [
+                f"""SELECT '{name}-store' AS name, c.category_id AS key,
+                CAST(COALESCE({value}, 0) AS BIGINT) AS value
+                FROM category c LEFT JOIN arrived a ON c.category_id = a.category_id"""
+                for name, value in (
+                    ("refill-qty-by-cat", "r"),
+                    ("sale-qty-by-cat", "s"),
+                    ("rets-qty-by-cat", "b"),
+                    ("items-at-hand-per-cat", "COALESCE(r, 0) - COALESCE(s, 0) + COALESCE(b, 0)"),
+                )
+            ]
+            + [
+                f"""SELECT '{name}-store-0.8', category_id, CAST({value} AS BIGINT)
+                FROM arrived WHERE {value} IS NOT NULL"""
+                for name, value in (
+                    ("refill-qty-by-cat", "r"),
+                    ("sale-qty-by-cat", "s"),
+                    ("rets-qty-by-cat", "b"),
+                )
+            ]
+        ),
+        arrived=_ARRIVED,
     ),
     "stream_windowed_count": _with(_windows_sql("COUNT(*)", 2)),
 }

@@ -149,6 +149,12 @@ def held() -> Column:
     return zero_fill("sold") - zero_fill("returned")
 
 
+def total_value(column: str) -> Column:
+    """A column of the wide totals by name, zero filled, those that combine others included."""
+    combined = {"at_hand": at_hand, "held": held}
+    return combined[column]() if column in combined else zero_fill(column)
+
+
 def _filled(totals: DataFrame, key: str, kind: str) -> DataFrame:
     return zero_filled(totals, key, [kind]).withColumnRenamed(kind, "quantity")
 

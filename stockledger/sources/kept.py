@@ -14,14 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.functions import zero_fill
-from stockledger.plans.ledger import at_hand, held
+from stockledger.plans.ledger import total_value
 from stockledger.schemas import LATEST_NAMES, TOTAL_NAMES
 from stockledger.sources.sinks import latest_of_changes
 
-# Columns that are computed when a table is read.
-DERIVED = {"at_hand": at_hand, "held": held}
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``."""
@@ -38,11 +34,19 @@ class KeptTables:
 
     # Writing.
 
-    def writer(self, table: str) -> Callable[[DataFrame, int], None]:
-        """For ``foreachBatch``: append the batch's changed rows to the table's log."""
+    def writer(
+        self, table: str, compact_every: int | None = None
+    ) -> Callable[[DataFrame, int], None]:
+        """For ``foreachBatch``: append the batch's changed rows to the table's log.
+
+        A view reads the log since the last snapshot, so a stream that runs for long
+        should write one every so many batches.
+        """
 
         def write(rows: DataFrame, batch_id: int) -> None:
             self.publish(table, rows, batch_id)
+            if compact_every and batch_id and batch_id % compact_every == 0:
+                self.compact(table)
 
         return write
 
@@ -119,13 +123,13 @@ class KeptTables:
             table, column = LATEST_NAMES[name]
             rows = self.view(table)
             return rows.where(F.col("seq").isNotNull()).select("key", F.col(column).alias("value"))
-        base, _, raw = _split_name(name)
+        base, raw = _split_name(name)
         table, column = TOTAL_NAMES[base]
         rows = self.view(table)
         if raw:
             return rows.where(F.col(column).isNotNull()).select("key", F.col(column).alias("value"))
-        value = DERIVED[column]() if column in DERIVED else zero_fill(column)
-        return rows.where(F.col("seq").isNotNull()).select("key", value.alias("value"))
+        known = rows.where(F.col("seq").isNotNull())
+        return known.select("key", total_value(column).alias("value"))
 
     def windows(self, table: str) -> DataFrame:
         """A kept windowed total as (key, window_start, window_end, total)."""
@@ -164,12 +168,12 @@ class KeptTables:
         return [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
 
 
-def _split_name(name: str) -> tuple[str, str, bool]:
-    for end, raw in (("-store-0.8", True), ("-store-0.9", False), ("-store", False),
-                     ("-topic", False), ("-0.9", False)):
-        base = name.removesuffix(end)
+def _split_name(name: str) -> tuple[str, bool]:
+    """The total a public name stands for, and whether it means its raw form."""
+    for ending in ("-store-0.8", "-store-0.9", "-store", "-topic", "-0.9"):
+        base, raw = name.removesuffix(ending), ending == "-store-0.8"
         if base != name and base in TOTAL_NAMES:
-            if raw and TOTAL_NAMES[base][1] in DERIVED:
+            if raw and TOTAL_NAMES[base][1] in ("at_hand", "held"):
                 break
-            return base, end, raw
+            return base, raw
     raise KeyError(name)

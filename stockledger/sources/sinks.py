@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stockledger.functions import long_to_bytes
 from stockledger.operators.keyed import latest_by_key
+from stockledger.plans.ledger import total_value
+from stockledger.schemas import TOTAL_NAMES
 
 
 def latest_of_changes(changes: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
@@ -18,8 +20,27 @@ def latest_of_changes(changes: DataFrame, key: str, values: Sequence[str]) -> Da
 
 
 def topic_records(pairs: DataFrame) -> DataFrame:
-    """(key, value) longs as the bytes a topic of longs carries."""
-    return pairs.select(long_to_bytes("key").alias("key"), long_to_bytes("value").alias("value"))
+    """(key, value) longs as the bytes a topic of longs carries; a topic column is kept."""
+    topic = [c for c in pairs.columns if c == "topic"]
+    coded = [long_to_bytes(c).alias(c) for c in ("key", "value")]
+    return pairs.select(*topic, *coded)
+
+
+def published(totals: DataFrame, table: str, key: str) -> DataFrame:
+    """Wide totals, batch or stream, as (topic, key, value) rows of their public topics.
+
+    One pass over the totals feeds all topics of the table. Keys the dimension lacks
+    are not published.
+    """
+    entries = [
+        F.struct(F.lit(f"{name}-topic").alias("topic"), total_value(column).alias("value"))
+        for name, (of, column) in TOTAL_NAMES.items()
+        if of == table
+    ]
+    known = totals.where(F.col("seq").isNotNull())
+    return known.select(F.col(key).alias("key"), F.explode(F.array(*entries)).alias("entry")).select(
+        "entry.topic", "key", "entry.value"
+    )
 
 
 def json_documents(rows: DataFrame) -> DataFrame:
@@ -27,16 +48,20 @@ def json_documents(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("document"))
 
 
-def to_topic(
-    pairs: DataFrame, servers: str, topic: str, checkpoint: str, **trigger
+def to_topics(
+    pairs: DataFrame, servers: str, checkpoint: str, topic: str | None = None, **trigger
 ) -> StreamingQuery:
-    """Publish a stream of changed (key, value) rows to Kafka (needs spark-sql-kafka)."""
+    """Publish a stream of changed (key, value) rows to Kafka (needs spark-sql-kafka).
+
+    All to one ``topic``, or each to the one its topic column names.
+    """
+    named = {"topic": topic} if topic else {}
     return (
         topic_records(pairs)
         .writeStream.format("kafka")
         .outputMode("update")
         .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
+        .options(**named)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()

@@ -23,7 +23,13 @@ from stockledger.streaming.state import use_rocksdb
 
 
 def keep(
-    rows: DataFrame, tables: KeptTables, table: str, key: str, checkpoint: str, **trigger
+    rows: DataFrame,
+    tables: KeptTables,
+    table: str,
+    key: str,
+    checkpoint: str,
+    compact_every: int | None = 100,
+    **trigger,
 ) -> StreamingQuery:
     """Keep a streaming total as a table, its key column renamed to ``key``."""
     use_rocksdb(tables.spark)
@@ -31,7 +37,7 @@ def keep(
         rows.withColumnRenamed(key, "key")
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(tables.writer(table))
+        .foreachBatch(tables.writer(table, compact_every))
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )

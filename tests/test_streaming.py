@@ -2,7 +2,7 @@
 
 import os
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,16 +10,19 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from stockledger.functions import long_from_bytes
 from stockledger.operators import interval_left_join, windowed_total
 from stockledger.plans import GivenFeeds, Ledger
 from stockledger.schemas import CATEGORY, CUSTOMER, ITEM, REPLENISHMENT, RETURN, SALE
+from stockledger.sources import reads
 from stockledger.sources.changes import read_changes
 from stockledger.sources.kept import KeptTables
-from stockledger.sources.sinks import json_documents, to_index
+from stockledger.sources.sinks import json_documents, published, to_index, topic_records
 from stockledger.streaming import (
     category_totals_at_arrival,
     keep,
     keep_category_totals,
+    keep_windows,
     latest_names,
 )
 from tests.conftest import rows
@@ -109,7 +112,9 @@ def test_item_and_customer_totals_equal_batch(spark, log, run_dir, files_per_bat
         (latest_names(live.feeds.customer, "customer_id"), "customer_latest", "customer_id"),
     ]
     for total, table, key in kept:
-        _finish(keep(total, tables, table, key, f"{run_dir}/{table}", availableNow=True))
+        _finish(
+            keep(total, tables, table, key, f"{run_dir}/{table}", compact_every=2, availableNow=True)
+        )
     assert rows(tables.named("refill-qty-by-item-store")) == rows(batch.replenished_by_item())
     assert rows(tables.named("sale-qty-by-item-store")) == rows(batch.sold_by_item())
     assert rows(tables.named("items-at-hand-store")) == rows(batch.items_at_hand())
@@ -247,9 +252,11 @@ def test_windows_with_a_watermark_drop_late_rows(spark, run_dir):
     )
     tables = KeptTables(spark, f"{run_dir}/kept")
     live = windowed_total(stream(), "k", "ts", "1 hour", value="v", late="30 minutes")
-    keyed = live.select(F.unix_millis("window_start").alias("start"), "total")
-    _finish(keep(keyed, tables, "w", "start", f"{run_dir}/c", availableNow=True))
-    assert rows(tables.view("w"), "total") == [(1,), (9,)]
+    _finish(keep_windows(live, tables, "w", "k", f"{run_dir}/c", availableNow=True))
+    windows = tables.windows("w")
+    assert rows(windows, "key", "window_start", "total") == [(1, _at(0), 1), (1, _at(300), 9)]
+    start = int(T0.replace(tzinfo=timezone.utc).timestamp() * 1000)
+    assert rows(reads.window_fetch(windows, "key", 1, start, start + 1)) == [(start, 1)]
 
 
 @pytest.mark.parametrize("salts", [1, 3])
@@ -286,5 +293,25 @@ def test_every_change_becomes_a_document(spark, log, run_dir):
     assert lines > live_keys(log)
 
 
+def test_changes_are_published_to_their_topics(spark, log, run_dir):
+    """The rows a Kafka sink would be given, written to files instead."""
+    live = Ledger(log.stream()).customer_totals()
+    records = topic_records(published(live, "customer_totals", "customer_id"))
+    _finish(to_index(records, f"{run_dir}/out", f"{run_dir}/c", fmt="parquet", availableNow=True))
+    sent = spark.read.parquet(f"{run_dir}/out")
+    got = sent.select("topic", long_from_bytes("key"), long_from_bytes("value"))
+    batch = Ledger(log.batch())
+    want = [
+        (f"{name}-topic", *r)
+        for name, total in (
+            ("sale-qty-by-cust", batch.sold_by_customer()),
+            ("rets-qty-by-cust", batch.returned_by_customer()),
+            ("items-with-cust", batch.items_with_customer()),
+        )
+        for r in rows(total)
+    ]
+    assert rows(got) == sorted(want)
+
+
 def live_keys(log):
     return len({r[0] for n in ("item", "sale") for r in log.rows[n]})

@@ -22,16 +22,23 @@ def snapshot_lookup(
     key: str,
     default: int | None = None,
     limit: int = BROADCAST_LIMIT,
+    salts: int = 8,
 ) -> DataFrame:
     """facts ⟕ the latest table (one row per key), row by row, facts batch or stream.
 
     A latest table counted to fit ``limit`` is broadcast and the facts stay where
-    they are; a larger one is a plain join, which shuffles both sides and leaves
-    hot fact keys to adaptive execution (facts are the left side, so they may be split).
+    they are. A larger one is copied ``salts`` times and joined on (key, salt), which
+    splits every hot fact key that many ways. The salt also keeps the join from
+    taking over the partitioning of an aggregate that made ``latest``: only a join
+    right on its own exchanges is split further by adaptive execution.
     For totals rather than rows, aggregate first: see ``spine_totals``.
     """
-    side = F.broadcast(latest) if fits_broadcast(latest, limit) else latest
-    joined = facts.join(side, key, "left")
+    if fits_broadcast(latest, limit):
+        joined = facts.join(F.broadcast(latest), key, "left")
+    else:
+        salted = facts.withColumn("salt", F.floor(F.rand(7) * salts).cast("int"))
+        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+        joined = salted.join(latest.select("*", copies), [key, "salt"], "left").drop("salt")
     return _defaulted(joined, {c: default for c in latest.columns if c != key})
 
 

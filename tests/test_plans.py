@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as registered
+from stockledger.operators import latest_by_key, snapshot_lookup
 from stockledger.plans import Ledger
 from stockledger.sources.tables import OrderTables
 
@@ -81,6 +82,15 @@ def test_facts_are_not_shuffled_by_a_small_lookup(spark, data):
     assert "l_partkey" not in "".join(re.findall(r"Exchange hashpartitioning.*", shown))
 
 
+def test_a_large_lookup_joins_on_its_own_exchanges(spark, data, no_auto_broadcast):
+    """Right above both exchanges, where adaptive execution may split what is still hot."""
+    tables = OrderTables(spark, data)
+    latest = latest_by_key(tables.item_changes(), "item_id", ["category_id"])
+    shown = plan(snapshot_lookup(tables.table("lineitem").withColumnRenamed("l_partkey", "item_id"),
+                                 latest, "item_id", limit=0))
+    assert len(re.findall(r"Exchange hashpartitioning\(item_id#\w+, salt#\w+", shown)) == 2
+
+
 def test_library_collects_nothing():
     for path in LIBRARY.rglob("*.py"):
         text = path.read_text()

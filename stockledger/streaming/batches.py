@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stockledger.functions import non_negative, required
 from stockledger.operators.keyed import latest_by_key
 from stockledger.operators.lookup import asof_totals
+from stockledger.operators.sizing import BROADCAST_LIMIT
 from stockledger.plans.feeds import KINDS, Feeds
 from stockledger.schemas import UNKNOWN_CATEGORY
 from stockledger.sources.kept import KeptTables
@@ -25,6 +26,9 @@ from stockledger.sources.kept import KeptTables
 ITEMS = "item_latest"
 TOTALS = "category_totals"
 
+# Arrival number of what was known before a batch: below all others, with room to count down.
+BEFORE_ALL = -(2**62)
+
 _ITEM_ROW = "key bigint, category_id bigint, seq bigint"
 _TOTAL_ROW = "key bigint, seq bigint, " + ", ".join(f"{k} bigint" for k in KINDS)
 
@@ -36,13 +40,14 @@ def keep_category_totals(
     order: str = "seq",
     bucket: int = 1_000_000,
     compact_every: int = 100,
+    limit: int = BROADCAST_LIMIT,
     **trigger,
 ) -> StreamingQuery:
     """Keep ``category_totals`` up to date from streaming feeds.
 
     ``order`` must be comparable across the feeds, see ``category_at_arrival``;
-    ``bucket`` is how many of its units the as-of join treats as one piece. The
-    item table kept along the way is ``item_latest``.
+    ``bucket`` is how many of its units the as-of join treats as one piece, ``limit``
+    what it may broadcast. The item table kept along the way is ``item_latest``.
     """
     facts = dict(zip(KINDS, (feeds.replenishment, feeds.sale, feeds.ret), strict=True))
     seq = F.col(order).cast("bigint").alias("seq")
@@ -59,7 +64,7 @@ def keep_category_totals(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            _add(batch, batch_id, tables, bucket)
+            _add(batch, batch_id, tables, bucket, limit)
             if batch_id and batch_id % compact_every == 0:
                 tables.compact(ITEMS)
                 tables.compact(TOTALS)
@@ -75,25 +80,33 @@ def keep_category_totals(
     )
 
 
-def _add(batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int) -> None:
+def _add(
+    batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int, limit: int
+) -> None:
     """Both tables are read as they were before this batch, so repeating it changes nothing."""
     changes = batch.where("kind = 'item'").select("item_id", "category_id", "seq")
-    known = tables.view_before(ITEMS, batch_id, _ITEM_ROW).select(
-        F.col("key").alias("item_id"), "category_id", F.lit(-(2**63)).cast("bigint").alias("seq")
-    )
     checked = non_negative("quantity")
     facts = batch.where(F.col("kind").isin(*KINDS)).select(
         "item_id", "seq", *[F.when(F.col("kind") == k, checked).alias(k) for k in KINDS]
     )
+    # Of the items kept, only those the batch has facts of are looked at any further.
+    known = (
+        tables.view_before(ITEMS, batch_id, _ITEM_ROW)
+        .select(F.col("key").alias("item_id"), "category_id")
+        .join(facts.select("item_id").distinct(), "item_id", "left_semi")
+        .withColumn("seq", F.lit(BEFORE_ALL).cast("bigint"))
+    )
+    versions = changes.unionByName(known).persist()
     sums = asof_totals(
         facts,
-        changes.unionByName(known),
+        versions,
         "item_id",
         "category_id",
         list(KINDS),
         UNKNOWN_CATEGORY,
         ts="seq",
         bucket=bucket,
+        limit=limit,
     )
 
     before = tables.view_before(TOTALS, batch_id, _TOTAL_ROW)
@@ -119,3 +132,4 @@ def _add(batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int) -> No
         ITEMS, newest.select(F.col("item_id").alias("key"), "category_id", F.col("at").alias("seq")),
         batch_id,
     )
+    versions.unpersist()

@@ -130,25 +130,28 @@ def _keyed_state(log, tables, run_dir):
     _finish(keep(live, tables, "category_totals", "category_id", f"{run_dir}/c", availableNow=True))
 
 
-def _whole_batches(log, tables, run_dir):
-    _finish(
-        keep_category_totals(
-            log.stream(), tables, f"{run_dir}/c", bucket=2, compact_every=2, availableNow=True
-        )
+def _whole_batches(log, tables, run_dir, **more):
+    live = keep_category_totals(
+        log.stream(), tables, f"{run_dir}/c", compact_every=2, availableNow=True, **more
     )
+    _finish(live)
+
+
+def _without_broadcast(log, tables, run_dir):
+    _whole_batches(log, tables, run_dir, limit=0, bucket=2)
 
 
-BOTH_WAYS = pytest.mark.parametrize("run", [_keyed_state, _whole_batches])
+ALL_WAYS = pytest.mark.parametrize("run", [_keyed_state, _whole_batches, _without_broadcast])
 
 
-@BOTH_WAYS
+@ALL_WAYS
 def test_category_at_arrival_equals_replay(spark, log, run_dir, run):
     tables = KeptTables(spark, f"{run_dir}/kept")
     run(log, tables, run_dir)
     assert _totals(tables) == _replayed(log)
 
 
-@BOTH_WAYS
+@ALL_WAYS
 def test_category_at_arrival_over_several_batches(spark, run_dir, run):
     """The hand case: sales before, between and after an item's changes, a batch each."""
     log, tables = Log(spark, f"{run_dir}/feeds"), KeptTables(spark, f"{run_dir}/kept")

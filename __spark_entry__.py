@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,14 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stockledger.functions import (
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # however this file is loaded
+
+from stockledger.functions import (  # noqa: E402
     long_from_bytes,
     long_to_bytes,
     non_negative,
     strict_long,
     upper_line,
 )
-from stockledger.operators import (
+from stockledger.operators import (  # noqa: E402
     asof_lookup,
     asof_totals,
     interval_left_join,
@@ -35,13 +39,13 @@ from stockledger.operators import (
     sum_by_key,
     windowed_total,
 )
-from stockledger.plans import Ledger
-from stockledger.schemas import UNKNOWN_CATEGORY
-from stockledger.sources import reads
-from stockledger.sources.changes import json_changes, pull_after
-from stockledger.sources.kept import KeptTables, shared_dir
-from stockledger.sources.sinks import json_documents, latest_of_changes, published, topic_records
-from stockledger.sources.tables import (
+from stockledger.plans import Ledger  # noqa: E402
+from stockledger.schemas import UNKNOWN_CATEGORY  # noqa: E402
+from stockledger.sources import reads  # noqa: E402
+from stockledger.sources.changes import json_changes, pull_after  # noqa: E402
+from stockledger.sources.kept import KeptTables, shared_dir  # noqa: E402
+from stockledger.sources.sinks import json_documents, latest_of_changes, published, topic_records  # noqa: E402
+from stockledger.sources.tables import (  # noqa: E402
     OrderFeeds,
     OrderTables,
     category_changes,
@@ -49,7 +53,7 @@ from stockledger.sources.tables import (
     event_stream,
     timed_feeds,
 )
-from stockledger.streaming import keep, keep_category_totals, keep_windows
+from stockledger.streaming import keep, keep_category_totals, keep_windows  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 

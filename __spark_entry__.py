@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 import tempfile
@@ -510,7 +512,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    return {name: bind(build) for name, build in QUERIES.items()} | _llm_queries()
+
+
+# The text operators and their pipeline, where their subpackage is there.
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if not importlib.util.find_spec("stockledger.llm"):
+        return {}
+    found = dict(importlib.import_module("stockledger.llm.queries").QUERIES)
+    if importlib.util.find_spec("corpus_pipeline"):
+        found["pipeline"] = importlib.import_module("corpus_pipeline").run
+    return found
+
+
+def _llm_oracles() -> dict[str, str]:
+    if not importlib.util.find_spec("stockledger.llm"):
+        return {}
+    found = dict(importlib.import_module("stockledger.llm.queries").ORACLES)
+    if importlib.util.find_spec("corpus_pipeline"):
+        sql = importlib.import_module("corpus_pipeline").ORACLE_SQL
+        found |= {} if sql is None else {"pipeline": sql}
+    return found
 
 
 # The same questions in SQL, written as the join chains they are usually asked as.
@@ -842,4 +866,4 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | _llm_oracles()

@@ -8,10 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import chat
+from stockledger.llm import chat, pii
+from stockledger.llm.jaccard import jaccard_join
 from stockledger.llm.lines import quality_rules
 from stockledger.llm.pieces import encode_decode
+from stockledger.llm.quality import quality_scores
 from stockledger.llm.shards import shard_by_bytes
+from stockledger.llm.tiling import contaminated
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,34 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op6_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), piece_model())
 
@@ -65,10 +96,14 @@ def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_boosted_pii": op1_boosted_pii,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_random_indexing": op6_random_indexing,
     "op7_line_frequency": op7_line_frequency,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_histogram_sort": op9_histogram_sort,
+    "op10_string_tiling": op10_string_tiling,
 }
 
 ORACLES: dict[str, str] = {}

@@ -78,7 +78,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 line_key = xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
                 own[line_key] = own.get(line_key, 0) + len(words)
             kept.append([{"line": k, "words": v} for k, v in own.items()])
-        keys = [xxhash.xxh64_intdigest(t) - 2**63 for t in texts]
+        keys = np.array([xxhash.xxh64_intdigest(t, seed=42) for t in texts], np.uint64).view(np.int64)
         columns = [
             part.column("host"), part.column("doc_id"), pa.array(keys, pa.int64()),
             pa.array(np.diff(starts)), pa.array(chars, pa.int64()), pa.array(symbols, pa.int64()),
@@ -95,11 +95,12 @@ def quality_rules(
     min_share: float = MIN_SHARE,
     min_kept_share: float = MIN_KEPT_SHARE,
 ) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, host): its counts, base_failed, n_removed_words, kept.
+    """Per row of ``docs`` (doc_id, text, host): its counts, base_failed, kept, n_removed_words, text_key.
 
     A null text has no words and fails; a null host is a host of its own. Rows with equal
     text are one document in the counts of lines; every row is judged by itself and repeated
-    rows give repeated rows. An empty table gives an empty one. Other columns do not matter.
+    rows give repeated rows. An empty table gives an empty one. text_key is xxhash64 of the text (null: empty). Other
+    columns do not matter.
     """
     own = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -137,6 +138,6 @@ def quality_rules(
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             (~F.col("base_failed") & (F.col("n_words") - F.col("n_removed_words") >= min_kept_share * F.col("n_words"))).alias("kept"),
-            "n_removed_words",
+            "n_removed_words", "text_key",
         )
     )

@@ -46,9 +46,12 @@ def semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, key, "left_semi")
 
 
-def clash_free(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only the columns an operator needs, so that other columns cannot clash with its own."""
-    return docs.select(*columns)
+def without(rows: DataFrame, gone: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` whose keys (null as a value) are not in ``gone``, a written table of a few longs; see :func:`semi`."""
+    few = gone.count() <= BROADCAST_ROWS
+    named = gone.select(*[F.col(k).alias(f"gone_{k}") for k in keys])
+    same = [rows[k].eqNullSafe(named[f"gone_{k}"]) for k in keys]
+    return rows.join(F.broadcast(named) if few else named, same, "left_anti")
 
 
 def as_bytes(docs: DataFrame, *columns: str) -> DataFrame:

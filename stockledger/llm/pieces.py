@@ -22,7 +22,7 @@ from stockledger.llm.shared import as_bytes
 MARKER = "▁"
 
 # Characters of chunks a task keeps in its table before it starts a new one.
-TABLE_CHARS = 4_000_000
+TABLE_CHARS = 20_000_000
 
 _RUNS = re.compile(" +[^ ]*")
 

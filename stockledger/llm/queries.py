@@ -14,6 +14,7 @@ from stockledger.llm.lines import quality_rules
 from stockledger.llm.pieces import encode_decode
 from stockledger.llm.quality import quality_scores
 from stockledger.llm.shards import shard_by_bytes
+from stockledger.llm.suffixes import substring_dedup
 from stockledger.llm.tiling import contaminated
 
 
@@ -55,6 +56,10 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), piece_model())
 
@@ -97,6 +102,7 @@ def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_boosted_pii": op1_boosted_pii,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_random_indexing": op6_random_indexing,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stockledger.llm import chat, pii
 from stockledger.llm.jaccard import jaccard_join
 from stockledger.llm.lines import quality_rules
+from stockledger.llm.passages import near_passages
 from stockledger.llm.pieces import encode_decode
 from stockledger.llm.quality import quality_scores
 from stockledger.llm.shards import shard_by_bytes
@@ -60,6 +61,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_passages(table(spark, sf_dir, "documents")).withColumnsRenamed({"a": "doc_id", "b": "other_doc_id"})
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), piece_model())
 
@@ -103,6 +108,7 @@ def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_boosted_pii": op1_boosted_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_compact_windows": op3_compact_windows,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_random_indexing": op6_random_indexing,

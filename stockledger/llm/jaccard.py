@@ -1,14 +1,17 @@
 """N-gram Jaccard join by partitioning the universe of shingles.
 
-Documents are sets of five-word shingles; two link when 100 * intersection >= 75 * union. Sizes
-are cut into bands so that linked sets lie in one band or in neighbours, and every pair of bands has
-a bound h on the shingles in which linked sets differ. Shingles are hashed into m > h
-segments. A segment may be indexed as it is, and then at least m - h segments agree,
-or with its one-deletion neighbourhood, and then at least m - h // 2 segments agree but for one shingle. The cheaper
-of the two is chosen for each band. What a hash cannot promise is counted: empty segments and
-crowded ones (more than ``CROWD`` sets of different groups) cost a set its slack, and sets that
-run out of it are joined by a prefix of their rarest shingles instead. Candidates
-are verified on the sets themselves.
+Documents are sets of five-word shingles; two link when 100 * intersection >= 75 * union. Sizes are cut into bands
+so that linked sets lie in one band or in neighbours, and every band has a bound h on the shingles in which a set of it
+and a linked set at least as large differ. Shingles are hashed into m > h segments. A segment is indexed as it is, and
+then at least m - h segments agree, or with its one-deletion neighbourhood, and then at least m - h // 2 agree
+but for one shingle; the cheaper of the two that rarely fails is chosen for each band.
+
+Empty segments agree but are not indexed. So a set knows how many signatures a linked set shares with it at
+least: those that must agree less its empty segments. Groups of a signature yield all their pairs if
+they are small, and pairs with one of them if they are crowded; a pair is a candidate if the signatures it was seen
+to share, and the crowded groups its sets are in, can reach that number. Sets whose crowded groups
+alone could reach it, or that can promise nothing, are joined by a prefix of their rarest shingles too. Candidates
+are verified on the texts.
 """
 
 from __future__ import annotations
@@ -25,11 +28,11 @@ from pyspark.sql import functions as F
 from stockledger.llm.components import components
 from stockledger.llm.shared import WordHashes, as_bytes, mixed, semi, shingles, slices, word_hashes, written
 
-# Sets of one segment all of whose pairs are candidates; in larger groups all pair with one first.
-CROWD = 4
+# Sets with one signature all of whose pairs are looked at; in larger groups all pair with the first.
+CROWD = 8
 
 # Signatures one reducer sorts at once.
-BUCKET_SIGNATURES = 1_000_000
+BUCKET_SIGNATURES = 3_000_000
 
 
 def _distinct(texts: list[bytes], cache: WordHashes) -> list[np.ndarray]:
@@ -68,37 +71,34 @@ def band_starts(largest: int) -> list[int]:
 
 
 class Plan:
-    """How sets of a band and the one above are signed.
-
-    ``segments`` many; with or without one-deletion neighbourhoods; ``empty`` and ``crowded`` are how many
-    segments of each sort a set may have and still be found: together fewer than the agreeing ones.
-    """
+    """How sets of a band, and larger ones of the band above, are signed: into how many segments, with deletions or without."""
 
     def __init__(self, low: int, high: int):
         self.h = (high - 1) // 3
-        self.crowded = max(1, self.h // 16)
-        exact, near = self._sized(low, self.h, 0), self._sized(low, self.h // 2, 1)
-        cost = {False: exact * (1 - math.exp(-low / exact)), True: near + low}
-        self.deletions = cost[True] < cost[False]
-        self.segments = near if self.deletions else exact
-        agreeing = self.segments - (self.h // 2 if self.deletions else self.h)
-        self.crowded = min(self.crowded, agreeing - 1)
-        self.empty = agreeing - 1 - self.crowded
-
-    def _sized(self, low: int, differing: int, least: int) -> int:
-        """Segments so that few sets have too many empty ones, or for deletions, ones below two shingles."""
+        options = []
+        for deletions, differing in ((False, self.h), (True, self.h // 2)):
+            m, sure = self._sized(low, differing, deletions)
+            options.append((sure, -(low + m if deletions else m), m, deletions, m - differing))
+        _, _, self.segments, self.deletions, self.agreeing = max(options)
+
+    def _sized(self, low: int, differing: int, deletions: bool) -> tuple[int, float]:
+        """Fewest segments of which some say something in nearly all sets; how sure that is, 3 at most."""
         if differing == 0:
-            return 1
-        for m in range(differing + self.crowded + 1, 8 * differing + 16):
+            return 1, 3.0
+        best = (1, -math.inf)
+        for m in range(differing + 1, 8 * differing + 16):
             load = low / m
-            lost = m * math.exp(-load) * (1 + least * load)
-            if m - differing - 1 - self.crowded >= lost + 3 * math.sqrt(lost):
-                return m
-        return 8 * differing + 16
+            lost = m * math.exp(-load) * (1 + deletions * load)
+            sure = min((m - differing - 1 - self.h / 16 - lost) / math.sqrt(lost), 3.0)
+            if sure > best[1]:
+                best = (m, sure)
+            if sure == 3:
+                break
+        return best
 
 
-def _signatures(tokens: np.ndarray, band: int, plan: Plan) -> tuple[np.ndarray, bool]:
-    """Hashes of the segments of a set, and whether it has too many that say nothing."""
+def _signatures(tokens: np.ndarray, band: int, plan: Plan) -> tuple[np.ndarray, int]:
+    """Hashes of the segments of a set, and how many of them a linked set has as well, at least."""
     salt = np.uint64((band + 1) * 0xC2B2AE3D27D4EB4F % 2**64)
     # Segments by the high bits of a hash of their own: no order of the shingles is favoured.
     spread = mixed(tokens + salt)
@@ -109,137 +109,156 @@ def _signatures(tokens: np.ndarray, band: int, plan: Plan) -> tuple[np.ndarray,
     sums = np.add.reduceat(weight, starts)
     names = mixed(salt + segment[starts].astype(np.uint64))
     whole = mixed(sums + names)
-    counts = np.diff(np.append(starts, len(segment)))
     if not plan.deletions:
-        return whole, plan.segments - len(starts) > plan.empty
+        return whole, plan.agreeing - (plan.segments - len(starts))
+    counts = np.diff(np.append(starts, len(segment)))
     at = np.repeat(np.arange(len(starts)), counts)
-    less = mixed(sums[at] - weight + names[at])[counts[at] > 1]  # the last shingle of a segment is not deleted
-    short = plan.segments - len(starts) + int((counts < 2).sum())
-    return np.concatenate([whole, less]), plan.segments > 1 and short > plan.empty
+    less = mixed(sums[at] - weight + names[at])[counts[at] > 1]  # a segment's last shingle is not deleted
+    if plan.segments == 1:
+        return np.concatenate([whole, less]), 1
+    return np.concatenate([whole, less]), plan.agreeing - (plan.segments - len(starts)) - int((counts < 2).sum())
+
+
+# Labels are 63 bits of a set's key and, lowest, whether the set signs for the band below its own.
+
+
+def _label_of(tokens: np.ndarray) -> int:
+    return int.from_bytes(_set_key(tokens)[:8], "big") & ~1
+
+
+_SIGNED = "bucket bigint, owners binary, needed binary, counts binary, signs binary, ends binary"
 
 
-def _signed(sets: Iterator[tuple[np.ndarray, list[np.ndarray]]], bands: list[int], plans: list[Plan], buckets: int):
-    """Blobs of (signature, label) sorted by signature, one for each bucket and slice; labels of sets that ran out."""
-    for labels, tokens in sets:
-        signs, owners, out = [], [], []
-        for label, own in zip(labels.tolist(), tokens):
+def _signed(sets: Iterator[list[np.ndarray]], bands: list[int], plans: list[Plan], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Per slice and bucket: labels, what each needs, how many signatures each has there, and the signatures."""
+    for found in sets:
+        signs, labels, needs = [], [], []
+        for own in found:
             if not len(own):
                 continue
-            band = int(np.searchsorted(bands, len(own), side="right")) - 1
-            for b in (band, band - 1):
+            label, band = _label_of(own), int(np.searchsorted(bands, len(own), side="right")) - 1
+            for above, b in ((0, band), (1, band - 1)):
                 if b >= 0:
-                    found, short = _signatures(own, b, plans[b])
-                    signs.append(found)
-                    owners.append(np.full(len(found), label, np.uint64))
-                    if short:
-                        out.append(label)
+                    sign, need = _signatures(own, b, plans[b])
+                    signs.append(sign)
+                    labels.append(label | above)
+                    needs.append(need)
         if not signs:
             continue
-        sign, owner = np.concatenate(signs), np.concatenate(owners)
-        order = np.argsort(sign)
-        sign, owner = sign[order], owner[order]
-        bucket = (sign >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        ends = np.append(starts[1:], len(sign))
+        sign, owner = np.concatenate(signs), np.repeat(np.arange(len(signs)), [len(x) for x in signs])
+        label, need = np.array(labels, np.uint64), np.array(needs, np.int32)
+        bucket = ((sign >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        sign, owner, bucket = sign[order], owner[order], bucket[order]
+        bounds = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+        told = np.zeros(len(label), bool)
+        out = []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            firsts = np.flatnonzero(np.concatenate([[True], owner[a + 1 : b] != owner[a : b - 1]]))
+            own = owner[a:b][firsts]
+            # A set tells what it needs once, in the first bucket it is in.
+            need_here = np.where(told[own], -(2**31), need[own]).astype(np.int32)
+            told[own] = True
+            out.append((
+                int(bucket[a]), label[own].tobytes(), need_here.tobytes(), np.diff(np.append(firsts, b - a)).astype(np.uint32).tobytes(),
+                sign[a:b].astype(np.uint32).tobytes(), (sign[a:b] >> np.uint64(32)).astype(np.uint8).tobytes(),
+            ))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket[starts].astype(np.int64)),
-                pa.array([sign[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                pa.array([owner[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                pa.array([np.array(out if i == 0 else [], np.uint64).tobytes() for i in range(len(starts))], pa.binary()),
-            ],
-            names=["bucket", "signs", "owners", "short"],
+            [pa.array([x[i] for x in out], pa.int64() if i == 0 else pa.binary()) for i in range(6)],
+            names=[x.split()[0] for x in _SIGNED.split(", ")],
         )
 
 
+# kind 0: x and y share n signatures seen; 1: x is in n crowded groups; 2: x needs n.
+_GROUPED = "kind int, x bigint, y bigint, n bigint"
+
+
 def _grouped(table: pa.Table) -> pa.Table:
-    """kind 0: candidate pair (x, y); kind 1: y is in the crowded group x; kind 2: x ran out of slack."""
-    join = lambda name: np.frombuffer(b"".join(table.column(name).to_pylist()), np.uint64)
-    sign, owner, short = join("signs"), join("owners"), np.unique(join("short"))
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+    labels, needed, counts = joined("owners", np.uint64), joined("needed", np.int32), joined("counts", np.uint32)
+    owner = np.repeat(labels, counts)
+    sign = joined("signs", np.uint32).astype(np.uint64) | joined("ends", np.uint8).astype(np.uint64) << np.uint64(32)
     order = np.lexsort((owner, sign))
     sign, owner = sign[order], owner[order]
     again = np.concatenate([[False], (sign[1:] == sign[:-1]) & (owner[1:] == owner[:-1])])[: len(sign)]
     sign, owner = sign[~again], owner[~again]
-    starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]])) if len(sign) else np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
     counts = np.diff(np.append(starts, len(sign)))
+    # Sets above the band do not pair with each other here, so the group's first is one of the band.
+    lower = (owner & np.uint64(1)) == 0
+    several = np.repeat((counts > 1) & np.logical_or.reduceat(lower, starts), counts)
+    sign, owner, lower = sign[several], owner[several], lower[several]
+    if len(sign):
+        order = np.lexsort((owner, ~lower, sign))
+        sign, owner, lower = sign[order], owner[order], lower[order]
+        starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
+        counts = np.diff(np.append(starts, len(sign)))
+    else:
+        starts = counts = np.zeros(0, np.int64)
     rank = np.arange(len(sign)) - np.repeat(starts, counts)
     size, first = np.repeat(counts, counts), np.repeat(starts, counts)
     pairs = [np.stack([owner[first[rank > 0]], owner[rank > 0]])]
-    for back in range(1, CROWD):  # the pairs of small groups that do not hold the first
+    for back in range(1, CROWD - 1):  # pairs of small groups without the first
         at = np.flatnonzero((rank > back) & (size <= CROWD))
+        at = at[lower[at - back]]
         pairs.append(np.stack([owner[at - back], owner[at]]))
-    pair = np.unique(np.concatenate(pairs, axis=1), axis=1)
-    crowded = size > CROWD
-    kinds = [np.zeros(pair.shape[1]), np.ones(int(crowded.sum())), np.full(len(short), 2)]
-    x = np.concatenate([pair[0], sign[crowded], short])
-    y = np.concatenate([pair[1], owner[crowded], short])
+    pair = np.sort(np.concatenate(pairs, axis=1).view(np.int64), axis=0)
+    order = np.lexsort((pair[1], pair[0]))
+    pair = pair[:, order]
+    fresh = np.flatnonzero(np.concatenate([[True], (pair[:, 1:] != pair[:, :-1]).any(0)])) if pair.shape[1] else np.zeros(0, np.int64)
+    seen = np.diff(np.append(fresh, pair.shape[1]))
+    crowded, times = np.unique(owner[(size > CROWD) & (rank > 0)], return_counts=True)
+    told = needed > -(2**31)
+    x = np.concatenate([pair[0, fresh], crowded.view(np.int64), labels[told].view(np.int64)])
     return pa.table({
-        "kind": pa.array(np.concatenate(kinds).astype(np.int64)),
-        "x": pa.array(x.view(np.int64)), "y": pa.array(y.view(np.int64)),
+        "kind": pa.array(np.repeat([0, 1, 2], [len(fresh), len(crowded), int(told.sum())]).astype(np.int32)),
+        "x": pa.array(x), "y": pa.array(np.concatenate([pair[1, fresh], x[len(fresh) :]])),
+        "n": pa.array(np.concatenate([seen, times, needed[told]]).astype(np.int64)),
     })
 
 
 # The join.
 
 
-def _label(key: str = "set_key"):
-    """The first eight bytes of a set's key: what signatures carry in place of it."""
-    return F.conv(F.hex(F.substring(key, 1, 8)), 16, -10).cast("bigint")
-
-
-def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The pairs (x, y) of sets that link; tokens has label, doc_id, tokens."""
-    left = tokens.select(F.col("label").alias("x"), F.col("doc_id").alias("a"), F.col("tokens").alias("p"))
-    right = tokens.select(F.col("label").alias("y"), F.col("doc_id").alias("b"), F.col("tokens").alias("q"))
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of documents whose sets link, from their texts."""
+    ids = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    texts = as_bytes(semi(docs, ids, "doc_id"), "doc_id")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("p"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("q"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
         for batch in batches:
             keep = []
             for p, q in zip(batch.column("p"), batch.column("q")):
-                p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-                if 4 * min(len(p), len(q)) < 3 * max(len(p), len(q)):
-                    keep.append(False)
-                    continue
+                p, q = _distinct([p.as_py(), q.as_py()], cache)
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= 75 * (len(p) + len(q) - both))
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield kept.select(["a", "b"])
+                keep.append(both > 0 and 100 * both >= 75 * (len(p) + len(q) - both))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    met = pairs.join(left, "x").join(right, "y").select("a", "b", "p", "q")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "p", "q")
     return met.mapInArrow(run, "a bigint, b bigint")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """label, doc_id and tokens of the documents in ``wanted`` (doc_id), at their representative rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for part, texts in slices(batches):
-            sets = _distinct(texts, cache)
-            labels = np.array([int.from_bytes(_set_key(s)[:8], "big") for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(labels), part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["label", "doc_id", "tokens"],
-            )
-
-    return as_bytes(semi(docs, wanted, "doc_id"), "doc_id").mapInArrow(run, "label bigint, doc_id bigint, tokens binary")
-
-
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` doc_id, n_shingles, component_id and n_links.
 
-    component_id is the smallest doc_id reachable by links, itself included; n_links counts the
-    links that were found between different sets and that hold the components together, and is 0 for the other copies of a set.
-    Null and empty texts have no shingles and link with nothing. Rows with equal sets link whatever their
-    ids; rows that repeat an id count as that one document. Other columns do not matter.
+    component_id is the smallest doc_id reachable by links, itself included. n_links counts the verified links between
+    different sets that hold the components together; it is 0 for later copies of a set. Null and empty texts have no
+    shingles and link with nothing. Rows with equal sets link whatever their ids; rows that repeat an id
+    count as one document with all their sets. A row without an id is its own component, null. Other columns do not matter.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sets = written(shingle_sets(docs))
     # One document stands for all with its set.
+    label = F.conv(F.hex(F.substring("set_key", 1, 8)), 16, -10).cast("bigint")
     firsts = written(
-        sets.where("n_shingles > 0").groupBy("set_key").agg(
+        sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(
             F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")
-        ).select("doc_id", _label().alias("label"), "n", "set_key")
+        ).select("doc_id", label.bitwiseAND(F.lit(-2)).alias("label"), "n", "set_key")
     )
     bounds = firsts.agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
     if not bounds["all"]:
@@ -250,87 +269,72 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-
-        def own():
-            for _, texts in slices(batches):
-                found = _distinct(texts, cache)
-                yield np.array([int.from_bytes(_set_key(s)[:8], "big") for s in found], np.uint64), found
-
-        yield from _signed(own(), bands, plans, buckets)
-
-    signed = as_bytes(docs).mapInArrow(sign, "bucket bigint, signs binary, owners binary, short binary")
-    grouped = written(signed.groupBy("bucket").applyInArrow(_grouped, "kind bigint, x bigint, y bigint"))
-    pairs = grouped.where("kind = 0").select("x", "y").distinct()
-    pairs = written(pairs)
-    wanted = pairs.select(F.col("x").alias("label")).unionByName(pairs.select(F.col("y").alias("label"))).distinct()
-    ids = written(firsts.join(wanted, "label", "left_semi").select("doc_id").distinct())
-    tokens = written(_sets_of(docs, ids).dropDuplicates(["label", "doc_id"]))
-    tokens = tokens.join(firsts.select("label", "doc_id"), ["label", "doc_id"], "left_semi")
-    links = written(_verified(pairs, tokens))
-    links = _crowds(docs, firsts, grouped, links, plans, bands)
-    return _classes(sets, firsts, links)
-
-
-def _crowds(docs: DataFrame, firsts: DataFrame, grouped: DataFrame, links: DataFrame, plans: list[Plan], bands: list[int]) -> DataFrame:
-    """Links that crowded and empty segments may have hidden, added to the links found."""
-    found = components(links)
-    named = firsts.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", "label", "n", F.coalesce("component", "doc_id").alias("component")
+        yield from _signed((_distinct(texts, cache) for _, texts in slices(batches)), bands, plans, buckets)
+
+    signed = as_bytes(docs.where("doc_id IS NOT NULL")).mapInArrow(sign, _SIGNED)
+    grouped = written(signed.groupBy("bucket").applyInArrow(_grouped, _GROUPED))
+    crowded = grouped.where("kind = 1").groupBy("x").agg(F.sum("n").alias("crowded"))
+    needed = grouped.where("kind = 2").groupBy("x").agg(F.min("n").alias("needed"))
+    known = needed.join(crowded, "x", "left").select("x", "needed", F.coalesce("crowded", F.lit(0)).alias("crowded"))
+    other = known.toDF("y", "needed_y", "crowded_y")
+    pairs = grouped.where("kind = 0").groupBy("x", "y").agg(F.sum("n").alias("n"))
+    candidates = (
+        pairs.join(known, "x").join(other, "y")
+        .where(F.col("n") + F.least("crowded", "crowded_y") >= F.greatest("needed", "needed_y"))
+        .select(F.col("x").bitwiseAND(F.lit(-2)).alias("x"), F.col("y").bitwiseAND(F.lit(-2)).alias("y"))
     )
-    named = written(named)
-    members = grouped.where("kind = 1").select("x", F.col("y").alias("label")).join(named, "label")
-    split = members.groupBy("x").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low <> high").select("x")
-    crowded = members.join(split, "x").groupBy("label").agg(F.count(F.lit(1)).alias("groups"))
-    # A set takes part in two plans: it has run out if it may have in either of them.
-    slack = F.expr(
-        "CASE " + " ".join(
-            f"WHEN n < {bands[i + 1]} THEN {min(plans[i].crowded, plans[i - 1].crowded if i else plans[i].crowded)}"
-            for i in range(len(plans))
-        ) + " END"
-    )
-    out = crowded.join(named.select("label", "n"), "label").where(F.col("groups") > slack).select("label")
-    out = written(out.unionByName(grouped.where("kind = 2").select(F.col("x").alias("label"))).distinct())
-    if not out.take(1):
+    links = written(_verified(_documents(candidates, firsts), docs))
+    unsure = known.where("crowded >= needed").select(F.col("x").bitwiseAND(F.lit(-2)).alias("label")).distinct()
+    return _classes(sets, firsts, _hidden(docs, firsts, unsure, links))
+
+
+def _documents(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Pairs of labels (x, y) as pairs of documents a < b."""
+    named = firsts.select("label", "doc_id")
+    met = pairs.join(named.toDF("x", "one"), "x").join(named.toDF("y", "two"), "y")
+    return written(met.where("one <> two").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct())
+
+
+def _hidden(docs: DataFrame, firsts: DataFrame, unsure: DataFrame, links: DataFrame) -> DataFrame:
+    """The links, and those between sets whose crowded or empty segments may have hidden them."""
+    left = written(firsts.join(unsure, "label", "left_semi"))
+    if not left.take(1):
         return links
-    left = named.join(out, "label", "left_semi")
-    ids = written(left.select("doc_id").distinct())
-    tokens = written(
-        _sets_of(docs, ids).dropDuplicates(["label", "doc_id"]).join(
-            left.select("label", "doc_id", "n", "component"), ["label", "doc_id"]
-        )
-    )
-    pairs = written(_prefix_pairs(tokens))
-    return links.unionByName(written(_verified(pairs, tokens.select("label", "doc_id", "tokens"))))
+    found = components(links).withColumnRenamed("id", "doc_id")
+    named = left.join(found, "doc_id", "left").select("doc_id", "label", "n", F.coalesce("component", "doc_id").alias("component"))
 
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for _, texts in slices(batches):
+            own = _distinct(texts, cache)
+            labels = np.repeat(np.array([_label_of(s) for s in own], np.uint64).view(np.int64), [len(s) for s in own])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64)), pa.array(labels)], names=["token", "label"])
 
-def _prefix_pairs(tokens: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that share one of their rarest shingles.
+    ids = written(named.select("doc_id").distinct())
+    each = as_bytes(semi(docs, ids, "doc_id")).mapInArrow(tokens, "token bigint, label bigint")
+    pairs = _documents(_prefix_pairs(each, written(named)), firsts)
+    return links.unionByName(written(_verified(pairs, docs)))
 
-    Linked sets of sizes s and t share at least 3/4 of the larger, so each has a common shingle among its
-    s - ceil(3 s / 4) + 1 rarest ones. Shingles whose sets are all in one component have no pairs left.
-    """
 
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, blob in enumerate(batch.column("tokens")):
-                own = np.frombuffer(blob.as_buffer(), np.int64)
-                label = batch.column("label")[i].as_py()
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([label] * len(own), pa.int64())], names=["token", "label"])
+def _prefix_pairs(each: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs (x, y) of sets of different components that share one of their rarest shingles.
 
-    each = tokens.select("label", "tokens").mapInArrow(exploded, "token bigint, label bigint")
+    Linked sets share at least 3/4 of the larger, so in any one order of all shingles each has a common one among its first
+    s - ceil(3 s / 4) + 1. The order is by the number of sets, so what many components share comes last. Shingles
+    whose sets are all in one component have no pairs left.
+    """
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
+    first = "slice(all, 1, size(all) - CAST(ceil(size(all) * 3 / 4) AS INT) + 1).token"
     ranked = (
         each.join(often, "token").groupBy("label")
-        .agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("all"))
-        .select("label", F.explode(F.expr("slice(all, 1, size(all) - CAST(ceil(size(all) * 3 / 4) AS INT) + 1).token")).alias("token"))
-        .join(tokens.select("label", "n", "component"), "label")
+        .agg(F.array_sort(F.collect_set(F.struct("sets", "token"))).alias("all"))
+        .select("label", F.explode(F.expr(first)).alias("token"))
+        .join(named.select("label", "n", "component"), "label")
     )
-    open_ = ranked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    left = ranked.join(open_.select("token"), "token", "left_semi")
-    left = written(left)
-    other = left.select("token", F.col("label").alias("y"), F.col("n").alias("m"), F.col("component").alias("other"))
+    ranked = written(ranked)
+    mixed_up = ranked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    left = written(ranked.join(mixed_up.select("token"), "token", "left_semi"))
+    other = left.toDF("y", "token", "m", "other")
     return (
         left.withColumnRenamed("label", "x").join(other, "token")
         .where("component < other AND 4 * least(n, m) >= 3 * greatest(n, m)")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Text bytes worked on at once inside a task; a longer text is a slice of its own.
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 
 # Distinct words a task remembers the hashes of before it starts over.
 CACHED_WORDS = 300_000

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockledger.schemas import UNKNOWN_CATEGORY
 
 # What a decimal long looks like as text: no blanks, no fraction. Fixed value.
-LONG_TEXT = r"^[+-]?[0-9]+$"
+LONG_TEXT = r"\A[+-]?[0-9]+\z"
 
 
 def _col(column: Column | str) -> Column:

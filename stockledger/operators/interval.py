@@ -28,7 +28,8 @@ def _at(ts: str) -> Column:
 
 
 def _bucket(at: Column, reach: timedelta) -> Column:
-    return F.floor(at / F.lit(_micros(reach)))
+    width = _micros(reach)
+    return F.call_function("div", at, F.lit(width)) - F.when(at % width < 0, 1).otherwise(0)
 
 
 def _beside(bucket: Column) -> Column:
@@ -49,25 +50,29 @@ def interval_left_join(
     Right columns come back as ``right_<name>``. Streams need ``late``, the
     watermark of both sides; a left row without a match is then held until the
     watermark has passed it. ``salts`` splits every (key, bucket) that many ways,
-    at the price of that many copies of the right side.
+    at the price of that many copies of the right side; a row's salt is a hash of the
+    row, so a task that is run again deals its rows out alike.
     """
+    if clash := {f"right_{c}" for c in right.columns} & set(left.columns):
+        raise ValueError(f"left columns that would be hidden: {sorted(clash)}")
     if late is not None:
         left, right = left.withWatermark(ts, late), right.withWatermark(ts, late)
-    mine = left.withColumn("bucket", _bucket(_at(ts), reach))
+    mine = left.withColumn("__bucket", _bucket(_at(ts), reach))
     theirs = right.select(
         *[F.col(c).alias(f"right_{c}") for c in right.columns],
-        _beside(_bucket(_at(ts), reach)).alias("right_bucket"),
+        _beside(_bucket(_at(ts), reach)).alias("__right_bucket"),
     )
-    together = (F.col(key) == F.col(f"right_{key}")) & (F.col("bucket") == F.col("right_bucket"))
+    together = (F.col(key) == F.col(f"right_{key}")) & (F.col("__bucket") == F.col("__right_bucket"))
     if salts > 1:
-        mine = mine.withColumn("salt", F.floor(F.rand(7) * salts).cast("int"))
-        theirs = theirs.withColumn("right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        together = together & (F.col("salt") == F.col("right_salt"))
+        salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        mine = mine.withColumn("__salt", salt)
+        theirs = theirs.withColumn("__right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        together = together & (F.col("__salt") == F.col("__right_salt"))
     # A literal: the check for stream joins reads the range before constants are folded.
     span = F.expr(f"INTERVAL '{reach.total_seconds():.6f}' SECOND")
     near = (F.col(f"right_{ts}") >= F.col(ts) - span) & (F.col(f"right_{ts}") <= F.col(ts) + span)
     return mine.join(theirs, together & near, "left").drop(
-        "bucket", "right_bucket", "salt", "right_salt"
+        "__bucket", "__right_bucket", "__salt", "__right_salt"
     )
 
 
@@ -81,7 +86,7 @@ def interval_left_sum(
 ) -> DataFrame:
     """Per left key, the sum of ``value`` over all pairs of :func:`interval_left_join`.
 
-    Zero for keys without a pair. The pairs are never made: a left row adds the
+    Zero for keys without a pair, the null key among them. The pairs are never made: a left row adds the
     running sum of the right side at the end of its reach and takes back the one
     before its start, so the work is linear however dense a key is.
     """
@@ -90,7 +95,7 @@ def interval_left_sum(
     lefts = lefts.withColumn("bucket", _bucket(at, reach))
     start = lefts.select(key, "bucket", (at - width).alias("at"), _rank(0), _times(-1), _none())
     end = lefts.select(key, "bucket", (at + width).alias("at"), _rank(2), _times(1), _none())
-    rights = right.select(key, _at(ts).alias("at"), F.col(value).alias("added"))
+    rights = right.where(F.col(key).isNotNull()).select(key, _at(ts).alias("at"), F.col(value).alias("added"))
     rights = rights.select(
         key, _beside(_bucket(at, reach)).alias("bucket"), "at", _rank(1), _times(0), "added"
     )

@@ -2,44 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockledger.operators.sizing import BROADCAST_LIMIT, fits_broadcast, held_bytes
-
 HOUR = timedelta(hours=1)
 
-# Versions of one key a broadcast as-of join may try per fact.
-VERSIONS_LIMIT = 64
-
 
 def snapshot_lookup(
-    facts: DataFrame,
-    latest: DataFrame,
-    key: str,
-    default: int | None = None,
-    limit: int = BROADCAST_LIMIT,
-    salts: int = 8,
+    facts: DataFrame, latest: DataFrame, key: str, default: int | None = None
 ) -> DataFrame:
     """facts ⟕ the latest table (one row per key), row by row, facts batch or stream.
 
-    A latest table counted to fit ``limit`` is broadcast and the facts stay where
-    they are. A larger one is copied ``salts`` times and joined on (key, salt), which
-    splits every hot fact key that many ways. The salt also keeps the join from
-    taking over the partitioning of an aggregate that made ``latest``: only a join
-    right on its own exchanges is split further by adaptive execution.
-    For totals rather than rows, aggregate first: see ``spine_totals``.
+    The kind of join is left to adaptive execution, which measures both sides and
+    splits hot fact keys. For totals rather than rows, aggregate first: see
+    ``spine_totals``.
     """
-    if fits_broadcast(latest, limit):
-        joined = facts.join(F.broadcast(latest), key, "left")
-    else:
-        salted = facts.withColumn("salt", F.floor(F.rand(7) * salts).cast("int"))
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-        joined = salted.join(latest.select("*", copies), [key, "salt"], "left").drop("salt")
-    return _defaulted(joined, {c: default for c in latest.columns if c != key})
+    joined = facts.join(latest, key, "left")
+    return joined.withColumns(
+        {c: _or_default(F.col(c), default, latest.schema[c].dataType) for c in latest.columns if c != key}
+    )
+
+
+# As-of joins. Time is cut into buckets. Inside a (key, bucket) the last change is carried
+# forward in order; what a bucket inherits is carried from bucket to bucket over one row per
+# (key, bucket). No task orders a whole key: a group holds the rows of one bucket, or the
+# buckets of one key, and ``bucket`` sets how a long history divides between the two. A
+# change is carried as a struct, so a change to null is a change like any other; a key that
+# is null has no changes.
 
 
 def asof_lookup(
@@ -51,19 +43,33 @@ def asof_lookup(
     ts: str = "ts",
     seq: str = "seq",
     bucket: timedelta | int = HOUR,
-    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Each fact with the ``value`` its key had at the fact's time, ``default`` before the first.
+    """Each fact with the ``value`` its key had at the fact's time.
 
-    A change at the same instant as a fact counts as before it; of several
-    changes at one instant the largest ``seq`` wins. ``ts`` may also be a bigint
-    order, with ``bucket`` a number of its units.
+    ``default`` stands for a null value and for a fact before the first change. A change at
+    the same instant as a fact counts as before it; of several changes at one instant the
+    largest ``seq`` wins. ``ts`` may also be a bigint order, with ``bucket`` a number of
+    its units. The facts are read twice: once for the buckets they ask about, once whole.
     """
-    if _few_versions(changes, key, limit):
-        rows = _asof_broadcast(facts, changes, key, value, ts, seq)
-    else:
-        rows = _asof_rows(facts, changes, key, value, ts, seq, bucket)
-    return _defaulted(rows, {value: default})
+    asked, told = _asked(facts, key, ts, bucket), _told(changes, key, value, ts, seq, bucket)
+    whole = F.struct(*[F.col(c) for c in facts.columns]).alias("__fact")
+    rows = asked(whole).withColumn("__rank", F.lit(1)).unionByName(
+        told.withColumn("__rank", F.lit(0)), allowMissingColumns=True
+    )
+    ordered = Window.partitionBy("__key", "__bin").orderBy("__at", "__rank", "__seq")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = rows.withColumn("__own", F.last("__told", ignorenulls=True).over(so_far)).where("__rank = 1")
+    inherited = (
+        _bins(asked(), told)
+        .withColumn("__carried", F.last("__tail", ignorenulls=True).over(_earlier_bins()))
+        .where("__asked AND __carried IS NOT NULL")
+        .select("__key", "__bin", "__carried")
+    )
+    found = F.coalesce("__own", "__carried")["value"]
+    return own.join(inherited, ["__key", "__bin"], "left").select(
+        *[F.col("__fact")[c].alias(c) for c in facts.columns],
+        _or_default(found, default, changes.schema[value].dataType).alias(value),
+    )
 
 
 def asof_totals(
@@ -76,192 +82,86 @@ def asof_totals(
     ts: str = "ts",
     seq: str = "seq",
     bucket: timedelta | int = HOUR,
-    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Sums of the measures per looked-up ``value``, see :func:`asof_lookup`."""
-    if _few_versions(changes, key, limit):
-        rows = _asof_broadcast(facts, changes, key, value, ts, seq)
-    else:
-        rows = _asof_sums(facts, changes, key, value, measures, ts, seq, bucket)
-    known = _defaulted(rows, {value: default})
-    return known.groupBy(value).agg(*[F.sum(m).alias(m) for m in measures])
-
-
-def _defaulted(rows: DataFrame, defaults: Mapping[str, int | None]) -> DataFrame:
-    types = dict(rows.dtypes)
-    return rows.withColumns(
-        {
-            c: F.coalesce(F.col(c), F.lit(default).cast(types[c]))
-            for c, default in defaults.items()
-            if default is not None
-        }
-    )
-
+    """Sums of the measures per looked-up ``value``, see :func:`asof_lookup`; the facts are read once.
 
-def _few_versions(changes: DataFrame, key: str, limit: int) -> bool:
-    """One job over the changes: do they fit a broadcast, with few versions of each key?"""
-    if limit <= 0:
-        return False
-    per_key = changes.groupBy(key).agg(
-        F.count(F.lit(1)).alias("versions"), held_bytes(changes).alias("bytes")
-    )
-    seen = per_key.agg(F.max("versions").alias("versions"), F.sum("bytes").alias("bytes")).first()
-    return (seen["bytes"] or 0) <= limit and (seen["versions"] or 0) <= VERSIONS_LIMIT
-
-
-def _asof_broadcast(
-    facts: DataFrame, changes: DataFrame, key: str, value: str, ts: str, seq: str
-) -> DataFrame:
-    """Versions as [from, until) intervals, broadcast; the facts are not shuffled."""
-    ordered = Window.partitionBy("version_key").orderBy("valid_from")
-    versions = (
-        changes.groupBy(F.col(key).alias("version_key"), F.col(ts).alias("valid_from"))
-        .agg(F.max_by(value, seq).alias(value))
-        .withColumn("valid_until", F.lead("valid_from").over(ordered))
+    Facts and changes are collapsed to one row per key and instant, which the answer is a
+    function of. Facts a bucket cannot answer itself all have the same answer, the last
+    change of the buckets before, so they are one row of sums by the time it is looked for.
+    """
+    sums = [F.sum(m).alias(m) for m in measures]
+    asked = _asked(facts, key, ts, bucket)(*measures).withColumn("__asked", F.lit(True))
+    told = _told(changes, key, value, ts, seq, bucket)
+    instants = (
+        asked.unionByName(told, allowMissingColumns=True)
+        .groupBy("__key", "__bin", "__at")
+        .agg(F.max_by("__told", "__seq").alias("__told"), F.max("__asked").alias("__asked"), *sums)
     )
-    holds = (
-        (F.col(key) == F.col("version_key"))
-        & (F.col(ts) >= F.col("valid_from"))
-        & (F.col("valid_until").isNull() | (F.col(ts) < F.col("valid_until")))
+    ordered = Window.partitionBy("__key", "__bin").orderBy("__at")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = (
+        instants.withColumn("__own", F.last("__told", ignorenulls=True).over(so_far))
+        .groupBy("__key", "__bin", "__own")
+        .agg(
+            F.max("__asked").alias("__asked"),
+            F.max(F.when(F.col("__own").isNotNull(), F.col("__at"))).alias("__held_until"),
+            *sums,
+        )
     )
-    return facts.join(F.broadcast(versions), holds, "left").drop(
-        "version_key", "valid_from", "valid_until"
+    earlier = Window.partitionBy("__key").orderBy("__bin").rangeBetween(Window.unboundedPreceding, -1)
+    carried = F.max_by("__own", "__held_until").over(earlier)
+    found = F.coalesce("__own", "__carried")["value"]
+    return (
+        within.withColumn("__carried", carried)
+        .where("__asked")
+        .select(_or_default(found, default, changes.schema[value].dataType).alias(value), *measures)
+        .groupBy(value)
+        .agg(*sums)
     )
 
 
-# As-of for changes of any size. Facts and changes are unioned and aggregated to one
-# row per key and instant, which the answer is a function of: copies of an instant
-# collapse before the exchange. The last change seen is then carried forward inside
-# each (key, time bucket), and from bucket to bucket over rows of whole buckets. No
-# task ever orders a whole key: a group holds at most the instants of one bucket, or
-# the buckets of one key. ``bucket`` sets how a long history divides between the two.
+def _or_default(found: Column, default: int | None, kind) -> Column:
+    return found if default is None else F.coalesce(found, F.lit(default).cast(kind))
 
 
 def _at(df: DataFrame, ts: str) -> Column:
     return F.col(ts) if dict(df.dtypes)[ts] == "bigint" else F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _width(bucket: timedelta | int) -> int:
-    return bucket if isinstance(bucket, int) else int(bucket.total_seconds() * 1_000_000)
+def _placed(at: Column, bucket: timedelta | int) -> tuple[Column, Column]:
+    """The instant and its bucket, in whole numbers all the way."""
+    width = bucket if isinstance(bucket, int) else int(bucket.total_seconds() * 1_000_000)
+    down = F.when(at % width < 0, 1).otherwise(0)
+    return at.alias("__at"), (F.call_function("div", at, F.lit(width)) - down).alias("__bin")
 
 
-def _instants(asked: DataFrame, told: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
-    """asked (key, bin, at, measures) and told (key, bin, at, value, seq), per (key, bin, at)."""
-    rows = asked.withColumn("asked", F.lit(True)).unionByName(told, allowMissingColumns=True)
-    return rows.groupBy(key, "bin", "at").agg(
-        F.max_by("value", "seq").alias("told"),
-        F.max("asked").alias("asked"),
-        *[F.sum(m).alias(m) for m in measures],
-    )
+def _asked(facts: DataFrame, key: str, ts: str, bucket: timedelta | int):
+    """The facts' keys, instants and buckets, with any more columns."""
+    placed = _placed(_at(facts, ts), bucket)
+    return lambda *more: facts.select(F.col(key).alias("__key"), *placed, *more)
 
 
-def _asked_and_told(
-    facts: DataFrame,
-    changes: DataFrame,
-    key: str,
-    value: str,
-    measures: Sequence[str],
-    ts: str,
-    seq: str,
-    width: int,
-) -> tuple[DataFrame, DataFrame]:
-    asked = facts.select(key, _at(facts, ts).alias("at"), *measures)
-    told = changes.select(
-        key,
-        _at(changes, ts).alias("at"),
-        F.col(value).alias("value"),
-        F.col(seq).cast("bigint").alias("seq"),
+def _told(
+    changes: DataFrame, key: str, value: str, ts: str, seq: str, bucket: timedelta | int
+) -> DataFrame:
+    return changes.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__key"),
+        *_placed(_at(changes, ts), bucket),
+        F.col(seq).cast("bigint").alias("__seq"),
+        F.struct(F.col(value).alias("value")).alias("__told"),
     )
-    bin_of = F.expr(f"floor(at / {width})")
-    return asked.withColumn("bin", bin_of), told.withColumn("bin", bin_of)
-
-
-def _so_far(key: str):
-    ordered = Window.partitionBy(key, "bin").orderBy("at")
-    return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
 
-def _earlier_bins(key: str):
-    ordered = Window.partitionBy(key).orderBy("bin")
-    return ordered.rangeBetween(Window.unboundedPreceding, -1)
-
-
-def _asof_sums(
-    facts: DataFrame,
-    changes: DataFrame,
-    key: str,
-    value: str,
-    measures: Sequence[str],
-    ts: str,
-    seq: str,
-    bucket: timedelta | int,
-) -> DataFrame:
-    """(value, measures) summed as far as one key goes; one pass over the facts.
 
-    Facts a bucket cannot answer itself all have the same answer, the last change of
-    the buckets before, so they are one row of sums by the time it is looked for.
-    """
-    asked, told = _asked_and_told(facts, changes, key, value, measures, ts, seq, _width(bucket))
-    within = (
-        _instants(asked, told, key, measures)
-        .withColumn("own", F.last("told", ignorenulls=True).over(_so_far(key)))
-        .groupBy(key, "bin", "own")
-        .agg(
-            F.max("asked").alias("asked"),
-            F.max(F.when(F.col("own").isNotNull(), F.col("at"))).alias("held_until"),
-            *[F.sum(m).alias(m) for m in measures],
-        )
-    )
-    carried = F.max_by("own", "held_until").over(_earlier_bins(key))
+def _bins(asked: DataFrame, told: DataFrame) -> DataFrame:
+    """One row per (key, bucket): whether facts ask about it, and the last change in it."""
+    when = F.when(F.col("__told").isNotNull(), F.struct("__at", "__seq"))
     return (
-        within.withColumn("carried", carried)
-        .where("asked")
-        .select(F.coalesce("own", "carried").alias(value), *measures)
+        asked.withColumn("__asked", F.lit(True))
+        .unionByName(told, allowMissingColumns=True)
+        .groupBy("__key", "__bin")
+        .agg(F.max("__asked").alias("__asked"), F.max_by("__told", when).alias("__tail"))
     )
 
 
-def _asof_rows(
-    facts: DataFrame,
-    changes: DataFrame,
-    key: str,
-    value: str,
-    ts: str,
-    seq: str,
-    bucket: timedelta | int,
-) -> DataFrame:
-    """The facts with their value, by way of the distinct (key, instant) they ask about.
-
-    What a bucket inherits is worked out first, from the changes and the buckets
-    asked about, and goes in as one more change at the bucket's start. The facts
-    then meet the answers on (key, instant); copies of one instant are left to
-    adaptive execution, which may split them as they are the left side.
-    """
-    width = _width(bucket)
-    asked, told = _asked_and_told(facts, changes, key, value, (), ts, seq, width)
-    bins = (
-        _instants(asked.select(key, "bin", F.lit(None).cast("bigint").alias("at")), told, key, ())
-        .groupBy(key, "bin")
-        .agg(
-            F.max_by("told", F.when(F.col("told").isNotNull(), F.col("at"))).alias("tail"),
-            F.max("asked").alias("asked"),
-        )
-    )
-    inherited = (
-        bins.withColumn("value", F.last("tail", ignorenulls=True).over(_earlier_bins(key)))
-        .where("asked AND value IS NOT NULL")
-        .select(
-            key,
-            "bin",
-            (F.col("bin") * width).alias("at"),
-            "value",
-            F.lit(-(2**63)).cast("bigint").alias("seq"),
-        )
-    )
-    answers = (
-        _instants(asked, told.unionByName(inherited), key, ())
-        .withColumn(value, F.last("told", ignorenulls=True).over(_so_far(key)))
-        .where("asked")
-        .select(F.col(key).alias("asked_key"), F.col("at").alias("asked_at"), value)
-    )
-    same = (F.col(key) == F.col("asked_key")) & (_at(facts, ts) == F.col("asked_at"))
-    return facts.join(answers, same, "left").drop("asked_key", "asked_at")
+def _earlier_bins():
+    return Window.partitionBy("__key").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)

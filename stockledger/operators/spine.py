@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions import zero_fill
+from stockledger.functions import required, zero_fill
 
 
 def spine_totals(
@@ -29,11 +29,11 @@ def spine_totals(
     """One row per key seen on either side: (key, seq, attributes, measures).
 
     ``spine`` has the key, its arrival order ``seq`` and the attributes, of which
-    the latest is kept. ``facts`` has the key and the measures, null where a row
+    the latest is kept; a null ``seq`` fails the query. ``facts`` has the key and the measures, null where a row
     does not carry one. In the result ``seq`` is null for keys the spine lacks,
     and a measure is null for keys without a fact that carries it.
     """
-    marks = spine.select(key, "seq", *attributes)
+    marks = spine.select(key, required("seq", "seq").alias("seq"), *attributes)
     rows = facts.select(key, *measures)
     return (
         marks.unionByName(rows, allowMissingColumns=True)

@@ -70,27 +70,24 @@ def test_latest_and_reduce(spark):
         reduce_by_key(df, "k", "v", "median")
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_snapshot_lookup_with_and_without_broadcast(spark, limit):
-    facts = spark.createDataFrame([(1, 5), (2, 7)], "item bigint, q bigint")
-    latest = spark.createDataFrame([(1, 10)], "item bigint, category bigint")
-    found = snapshot_lookup(facts, latest, "item", default=999999, limit=limit)
-    assert rows(found, "item", "q", "category") == [(1, 5, 10), (2, 7, 999999)]
-    hinted = "ResolvedHint" in found._jdf.queryExecution().analyzed().toString()
-    assert hinted == (limit > 0)
+def test_snapshot_lookup_keeps_all_columns(spark):
+    facts = spark.createDataFrame([(1, 5, 0), (2, 7, 1), (None, 9, 2)], "item bigint, q bigint, salt bigint")
+    latest = spark.createDataFrame([(1, 10), (None, 11)], "item bigint, category bigint")
+    found = snapshot_lookup(facts, latest, "item", default=999999)
+    want = [(1, 5, 0, 10), (2, 7, 1, 999999), (None, 9, 2, 999999)]
+    assert rows(found, "item", "q", "salt", "category") == want
 
 
 CHANGES = [(1, 10, _at(10), 1), (1, 20, _at(20), 3), (1, 15, _at(20), 2), (3, 30, _at(0), 4)]
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_asof_hand_cases(spark, limit):
+def test_asof_hand_cases(spark):
     changes = spark.createDataFrame(CHANGES, "item bigint, cat bigint, ts timestamp, seq bigint")
     facts = spark.createDataFrame(
         [(1, _at(5)), (1, _at(10)), (1, _at(15)), (1, _at(20)), (1, _at(9999)), (2, _at(5))],
         "item bigint, ts timestamp",
     )
-    got = asof_lookup(facts, changes, "item", "cat", 999999, limit=limit)
+    got = asof_lookup(facts, changes, "item", "cat", 999999)
     assert rows(got, "item", "ts", "cat") == [
         (1, _at(5), 999999),
         (1, _at(10), 10),
@@ -116,9 +113,9 @@ def test_asof_against_brute_force_with_a_hot_key(spark, bucket):
         want[category] = want.get(category, 0) + q
     c = spark.createDataFrame(changes, "item bigint, cat bigint, ts timestamp, seq bigint")
     f = spark.createDataFrame(facts, "item bigint, ts timestamp, q bigint")
-    got = asof_totals(f, c, "item", "cat", ["q"], 999999, bucket=bucket, limit=0)
+    got = asof_totals(f, c, "item", "cat", ["q"], 999999, bucket=bucket)
     assert dict(rows(got)) == want
-    by_row = asof_lookup(f, c, "item", "cat", 999999, bucket=bucket, limit=0)
+    by_row = asof_lookup(f, c, "item", "cat", 999999, bucket=bucket)
     assert by_row.count() == len(facts)
     assert dict(rows(by_row.groupBy("cat").agg(F.sum("q")))) == want
 
@@ -128,9 +125,36 @@ def test_unknown_facts_join_a_real_category_of_that_id(spark):
         [(1, 999999, _at(0), 1)], "item bigint, cat bigint, ts timestamp, seq bigint"
     )
     facts = spark.createDataFrame([(1, _at(1), 5), (2, _at(1), 7)], "item bigint, ts timestamp, q bigint")
-    for limit in (0, 1 << 20):
-        got = asof_totals(facts, changes, "item", "cat", ["q"], 999999, limit=limit)
-        assert rows(got) == [(999999, 12)]
+    assert rows(asof_totals(facts, changes, "item", "cat", ["q"], 999999)) == [(999999, 12)]
+
+
+@pytest.mark.parametrize("bucket", [1, 12, 1000])
+def test_asof_null_changes_and_null_keys(spark, bucket):
+    """A change to null holds until the next; a null key has no changes."""
+    changes = spark.createDataFrame(
+        [(1, 10, 10, 1), (1, None, 20, 2), (None, 77, 0, 3)], "item bigint, cat bigint, at bigint, seq bigint"
+    )
+    facts = spark.createDataFrame(
+        [(1, 15, 7), (1, 30, 5), (None, 30, 3)], "item bigint, at bigint, q bigint"
+    )
+    totals = asof_totals(facts, changes, "item", "cat", ["q"], 999999, ts="at", bucket=bucket)
+    assert dict(rows(totals)) == {10: 7, 999999: 8}
+    found = asof_lookup(facts, changes, "item", "cat", 999999, ts="at", bucket=bucket)
+    assert rows(found, "q", "cat") == [(3, 999999), (5, 999999), (7, 10)]
+
+
+def test_asof_buckets_are_whole_numbers(spark):
+    """Nanosecond orders beyond what a double tells apart, at the edges of one-second buckets."""
+    edge, width = 1_700_000_000 * 10**9, 10**9
+    changes = spark.createDataFrame([(1, 10, edge - 2, 1), (2, 20, -edge - 2, 1)], "item bigint, cat bigint, at bigint, seq bigint")
+    facts = spark.createDataFrame(
+        [(1, edge - 1, 1), (1, edge, 2), (1, edge - 3, 3), (2, -edge - 1, 4), (2, -edge, 5)],
+        "item bigint, at bigint, q bigint",
+    )
+    found = asof_lookup(facts, changes, "item", "cat", 0, ts="at", bucket=width)
+    assert rows(found, "q", "cat") == [(1, 10), (2, 10), (3, 0), (4, 20), (5, 20)]
+    totals = asof_totals(facts, changes, "item", "cat", ["q"], 0, ts="at", bucket=width)
+    assert dict(rows(totals)) == {10: 3, 0: 3, 20: 9}
 
 
 def _timed(spark, values):
@@ -148,6 +172,24 @@ def test_interval_ends_are_inclusive(spark):
     assert rows(interval_left_sum(left, right, "k", "v")) == [(1, 30), (2, 0)]
 
 
+def test_interval_null_keys_pair_with_nothing(spark):
+    left, right = _timed(spark, [(None, _at(1), 1)]), _timed(spark, [(None, _at(1), 7)])
+    assert rows(interval_left_join(left, right, "k"), "v", "right_v") == [(1, None)]
+    assert rows(interval_left_sum(left, right, "k", "v")) == [(None, 0)]
+    hidden = left.withColumn("right_v", F.lit(1))
+    with pytest.raises(ValueError, match="hidden"):
+        interval_left_join(hidden, right, "k")
+    mine = left.withColumn("salt", F.lit(1)).withColumn("bucket", F.lit(2))
+    assert {"salt", "bucket"} <= set(interval_left_join(mine, right, "k", salts=2).columns)
+
+
+def test_spine_and_facts_need_their_keys_and_order(spark):
+    spine = spark.createDataFrame([(1, None)], "k bigint, seq bigint")
+    facts = spark.createDataFrame([(1, 5)], "k bigint, q bigint")
+    with pytest.raises(PySparkException, match="seq must not be null"):
+        spine_totals(spine, facts, "k", ["q"]).collect()
+
+
 def test_interval_against_brute_force_with_a_hot_key(spark):
     rng = random.Random(11)
     key = lambda: 1 if rng.random() < 0.34 else rng.randrange(2, 9)

@@ -31,12 +31,12 @@ class Feeds:
     def moves(self, key: str, kinds: Sequence[str]) -> DataFrame:
         """Facts of the given kinds by ``key``: one bigint column per kind.
 
-        A column is null on rows that are not of its kind. A null quantity fails
+        A column is null on rows that are not of its kind. A null key or quantity fails
         the query.
         """
         feeds = {"replenished": "replenishment", "sold": "sale", "returned": "ret"}
         quantity = required("quantity", "quantity")
-        parts = [getattr(self, feeds[k]).select(key, quantity.alias(k)) for k in kinds]
+        parts = [getattr(self, feeds[k]).select(required(key, key).alias(key), quantity.alias(k)) for k in kinds]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

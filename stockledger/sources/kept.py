@@ -1,16 +1,18 @@
 """Kept tables: a log of changed rows per batch, and the latest row per key read from it.
 
-A table is a directory: ``changes/batch_id=N`` holds the keys batch N changed with
-their new values, ``snapshot/through=N`` the whole table after batch N, sorted by
-key. A batch writes its own directory and overwrites it when it is run again, so a
-batch repeated after a failure leaves the table as it was. Only directories whose
-write has finished are read.
+``changes/batch_id=N`` holds the keys batch N changed with their new values. Batches are
+numbered from 0 without gaps, as a stream numbers them, and a batch that is repeated after a failure
+overwrites its own directory. Every ``epoch`` batches the table as it then was
+is written whole, sorted by key, to ``snapshot/epoch=E`` before the next batch. So the
+paths behind the table before batch N follow from N alone: the last epoch's snapshot and
+the batches since, ``epoch`` of them at most. If one of them is not there the read fails.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,102 +22,86 @@ from stockledger.sources.sinks import latest_of_changes
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else the session's warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        raise ValueError("spark.checkpoint.dir is not set; kept tables need a shared folder")
-    return named
+    return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
 class KeptTables:
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    """Tables under one folder; ``epoch`` must be the same for all of a table's life."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None, epoch: int = 100):
         self.spark = spark
         self.root = root or f"{shared_dir(spark)}/kept"
+        self.epoch = epoch
 
     # Writing.
 
-    def writer(
-        self, table: str, compact_every: int | None = None
-    ) -> Callable[[DataFrame, int], None]:
-        """For ``foreachBatch``: append the batch's changed rows to the table's log.
-
-        A view reads the log since the last snapshot, so a stream that runs for long
-        should write one every so many batches.
-        """
-
-        def write(rows: DataFrame, batch_id: int) -> None:
-            self.publish(table, rows, batch_id)
-            if compact_every and batch_id and batch_id % compact_every == 0:
-                self.compact(table)
-
-        return write
+    def writer(self, table: str) -> Callable[[DataFrame, int], None]:
+        """For ``foreachBatch``: append the batch's changed rows to the table's log."""
+        return lambda rows, batch_id: self.publish(table, rows, batch_id)
 
     def publish(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Record rows (key, …) as changed by this batch."""
+        """Record rows (key, …) as changed by this batch; the first of an epoch seals the one before."""
+        ended, into = divmod(batch_id, self.epoch)
+        if ended and not into:
+            whole = self._through(table, batch_id - 1)
+            whole.repartitionByRange("key").sortWithinPartitions("key").write.mode("overwrite").parquet(
+                self._snapshot(table, ended - 1)
+            )
         rows.write.mode("overwrite").parquet(self._batch(table, batch_id))
 
-    def compact(self, table: str) -> int:
-        """Write the table's present state as a sorted snapshot; returns its last batch.
-
-        A snapshot that is there already stands: repeating its batch gave the same rows.
-        """
-        done = self._finished(table, "snapshot")
-        last = max([*self._finished(table, "changes"), *done])
-        if last not in done:
-            self.view(table).repartitionByRange("key").sortWithinPartitions("key").write.mode(
-                "overwrite"
-            ).parquet(self._snapshot(table, last))
-        return last
-
-    def vacuum(self, table: str) -> None:
-        """Delete what the last snapshot but one covers.
-
-        The newest snapshot's own batch may still be run again, and reads the table
-        as it was before, so what lies between the two is kept.
-        """
-        snapshots = sorted(self._finished(table, "snapshot"))
-        if len(snapshots) < 2:
-            return
-        covered = snapshots[-2]
-        gone = [self._batch(table, n) for n in self._finished(table, "changes") if n <= covered]
-        gone += [self._snapshot(table, n) for n in snapshots if n < covered]
-        for path in gone:
-            fs, directory = self._fs(path)
-            fs.delete(directory, True)
-
     # Reading.
 
     def changes(self, table: str) -> DataFrame:
-        """The log still kept, one row per key and batch that changed it."""
-        return self._read_changes(table, self._finished(table, "changes"))
+        """The whole log, one row per key and batch that changed it."""
+        rows = self.spark.read.parquet(f"{self.root}/{table}/changes")
+        return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
     def view(self, table: str) -> DataFrame:
         """The latest row of every key."""
-        rows = self._view(table, None)
-        if rows is None:
+        last = self.last_batch(table)
+        if last < 0:
             raise ValueError(f"nothing has been published to {table}")
-        return rows
+        return self._through(table, last)
 
     def view_before(self, table: str, batch_id: int, schema: str) -> DataFrame:
         """The table as it was before a batch; empty, with the given schema, before the first."""
-        rows = self._view(table, batch_id)
-        return self.spark.createDataFrame([], schema) if rows is None else rows
-
-    def _view(self, table: str, before: int | None) -> DataFrame | None:
-        def earlier(part: str) -> list[int]:
-            return [n for n in self._finished(table, part) if before is None or n < before]
-
-        through = max(earlier("snapshot"), default=-1)
-        later = [n for n in earlier("changes") if n > through]
-        if through < 0 and not later:
-            return None
-        if through < 0:
-            return self._latest(self._read_changes(table, later))
-        snapshot = self.spark.read.parquet(self._snapshot(table, through))
-        if not later:
-            return snapshot
-        base = snapshot.withColumn("batch_id", F.lit(through).cast("bigint"))
-        return self._latest(base.unionByName(self._read_changes(table, later)))
+        if batch_id == 0:
+            return self.spark.createDataFrame([], schema)
+        return self._through(table, batch_id - 1)
+
+    def last_batch(self, table: str) -> int:
+        """The newest batch, -1 without any; found by halving, as batches have no gaps."""
+        low, high = -1, 0
+        while self._is_written(self._batch(table, high)):
+            low, high = high, 2 * high + 1
+        while high - low > 1:
+            middle = (low + high) // 2
+            if self._is_written(self._batch(table, middle)):
+                low = middle
+            else:
+                high = middle
+        return low
+
+    def _is_written(self, path: str) -> bool:
+        try:
+            self.spark.read.parquet(path)
+        except AnalysisException:  # no such folder, or no file in it yet
+            return False
+        return True
+
+    def _through(self, table: str, last: int) -> DataFrame:
+        ended = last // self.epoch
+        batches = [self._batch(table, n) for n in range(ended * self.epoch, last + 1)]
+        reader = self.spark.read.option("basePath", f"{self.root}/{table}/changes")
+        rows = reader.parquet(*batches).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        if ended:
+            base = self.spark.read.parquet(self._snapshot(table, ended - 1))
+            before = F.lit(ended * self.epoch - 1).cast("bigint")
+            rows = base.withColumn("batch_id", before).unionByName(rows)
+        values = [c for c in rows.columns if c not in ("key", "batch_id")]
+        return latest_of_changes(rows, "key", values)
 
     def named(self, name: str) -> DataFrame:
         """A table by its public name, as (key, value); see ``schemas``."""
@@ -139,33 +125,11 @@ class KeptTables:
 
     # Paths.
 
-    @staticmethod
-    def _latest(changes: DataFrame) -> DataFrame:
-        values = [c for c in changes.columns if c not in ("key", "batch_id")]
-        return latest_of_changes(changes, "key", values)
-
-    def _read_changes(self, table: str, batches: list[int]) -> DataFrame:
-        root = f"{self.root}/{table}/changes"
-        reader = self.spark.read.option("basePath", root)
-        rows = reader.parquet(*[self._batch(table, n) for n in sorted(batches)])
-        return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
     def _batch(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/changes/batch_id={batch_id}"
 
-    def _snapshot(self, table: str, through: int) -> str:
-        return f"{self.root}/{table}/snapshot/through={through}"
-
-    def _fs(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return hadoop_path.getFileSystem(conf), hadoop_path
-
-    def _finished(self, table: str, part: str) -> list[int]:
-        """Numbers of the directories with a completed write."""
-        fs, done = self._fs(f"{self.root}/{table}/{part}/*=*/_SUCCESS")
-        found = fs.globStatus(done) or []
-        return [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
+    def _snapshot(self, table: str, epoch: int) -> str:
+        return f"{self.root}/{table}/snapshot/epoch={epoch}"
 
 
 def _split_name(name: str) -> tuple[str, bool]:

@@ -16,10 +16,6 @@ def by_key(table: DataFrame, key: int) -> DataFrame:
     return table.where(F.col("key") == key)
 
 
-def all_rows(table: DataFrame) -> DataFrame:
-    return table
-
-
 def key_range(table: DataFrame, low: int, high: int) -> DataFrame:
     """Rows with low <= key <= high."""
     return table.where(F.col("key").between(low, high))

@@ -110,7 +110,7 @@ class OrderFeeds(Feeds):
         both = [k for k in kinds if k in ("sold", "returned")]
         if len(both) < 2:
             return super().moves(key, kinds)
-        rows = self.traded.select(key, *both)
+        rows = self.traded.select(required(key, key).alias(key), *both)
         others = [k for k in kinds if k not in both]
         if not others:
             return rows

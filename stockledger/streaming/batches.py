@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from stockledger.functions import non_negative, required
 from stockledger.operators.keyed import latest_by_key
 from stockledger.operators.lookup import asof_totals
-from stockledger.operators.sizing import BROADCAST_LIMIT
 from stockledger.plans.feeds import KINDS, Feeds
 from stockledger.schemas import UNKNOWN_CATEGORY
 from stockledger.sources.kept import KeptTables
@@ -39,20 +38,19 @@ def keep_category_totals(
     checkpoint: str,
     order: str = "seq",
     bucket: int = 1_000_000,
-    compact_every: int = 100,
-    limit: int = BROADCAST_LIMIT,
     **trigger,
 ) -> StreamingQuery:
     """Keep ``category_totals`` up to date from streaming feeds.
 
     ``order`` must be comparable across the feeds, see ``category_at_arrival``;
-    ``bucket`` is how many of its units the as-of join treats as one piece, ``limit``
-    what it may broadcast. The item table kept along the way is ``item_latest``.
+    ``bucket`` is how many of its units the as-of join treats as one piece. The item table
+    kept along the way is ``item_latest``. A batch is read once for each of the two tables it
+    changes and nothing is cached; bound it with maxFilesPerTrigger or the like on the sources.
     """
     facts = dict(zip(KINDS, (feeds.replenishment, feeds.sale, feeds.ret), strict=True))
     seq = F.col(order).cast("bigint").alias("seq")
     rows = [
-        df.select(F.lit(kind).alias("kind"), "item_id", required("quantity").alias("quantity"), seq)
+        df.select(F.lit(kind).alias("kind"), required("item_id", "item_id").alias("item_id"), required("quantity").alias("quantity"), seq)
         for kind, df in facts.items()
     ]
     item = feeds.item.select(F.lit("item").alias("kind"), "item_id", "category_id", seq)
@@ -62,14 +60,7 @@ def keep_category_totals(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            _add(batch, batch_id, tables, bucket, limit)
-            if batch_id and batch_id % compact_every == 0:
-                tables.compact(ITEMS)
-                tables.compact(TOTALS)
-        finally:
-            batch.unpersist()
+        _add(batch, batch_id, tables, bucket)
 
     return (
         records.writeStream.outputMode("append")
@@ -80,9 +71,7 @@ def keep_category_totals(
     )
 
 
-def _add(
-    batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int, limit: int
-) -> None:
+def _add(batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int) -> None:
     """Both tables are read as they were before this batch, so repeating it changes nothing."""
     changes = batch.where("kind = 'item'").select("item_id", "category_id", "seq")
     checked = non_negative("quantity")
@@ -96,7 +85,7 @@ def _add(
         .join(facts.select("item_id").distinct(), "item_id", "left_semi")
         .withColumn("seq", F.lit(BEFORE_ALL).cast("bigint"))
     )
-    versions = changes.unionByName(known).persist()
+    versions = changes.unionByName(known)
     sums = asof_totals(
         facts,
         versions,
@@ -106,7 +95,6 @@ def _add(
         UNKNOWN_CATEGORY,
         ts="seq",
         bucket=bucket,
-        limit=limit,
     )
 
     before = tables.view_before(TOTALS, batch_id, _TOTAL_ROW)
@@ -132,4 +120,3 @@ def _add(
         ITEMS, newest.select(F.col("item_id").alias("key"), "category_id", F.col("at").alias("seq")),
         batch_id,
     )
-    versions.unpersist()

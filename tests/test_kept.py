@@ -15,7 +15,7 @@ def _publish(spark, tables, batch_id, values, table="item_totals", schema=WIDE):
 
 @pytest.fixture
 def tables(spark, run_dir):
-    tables = KeptTables(spark, run_dir)
+    tables = KeptTables(spark, run_dir, epoch=2)
     _publish(spark, tables, 0, [(1, 1, 10, None, None), (2, 1, None, 5, None)])
     _publish(spark, tables, 1, [(1, 1, 10, 4, 1), (9, None, 3, None, None)])
     return tables
@@ -35,28 +35,44 @@ def test_a_repeated_batch_changes_nothing(spark, tables):
     assert tables.changes("item_totals").count() == 4
 
 
-def test_unfinished_batches_are_not_read(spark, tables, run_dir):
+def test_batches_without_files_are_not_read(spark, tables, run_dir):
     import os
 
-    _publish(spark, tables, 2, [(1, 1, 99, 99, 99)])
-    os.remove(f"{run_dir}/item_totals/changes/batch_id=2/_SUCCESS")
-    assert rows(reads.by_key(tables.view("item_totals"), 1), "replenished") == [(10,)]
+    os.makedirs(f"{run_dir}/item_totals/changes/batch_id=2/_temporary")
+    assert tables.last_batch("item_totals") == 1
+
+
+def test_an_absent_earlier_batch_fails(spark, tables):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        tables.view_before("item_totals", 4, WIDE)
 
 
-def test_snapshot_then_later_changes(spark, tables):
+def test_success_markers_are_not_needed(spark, run_dir):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark.conf.set(name, "false")
+    try:
+        tables = KeptTables(spark, run_dir, epoch=2)
+        for n in range(5):
+            _publish(spark, tables, n, [(n, 1, n, None, None)])
+        assert len(rows(tables.view("item_totals"))) == 5
+        assert len(rows(tables.view_before("item_totals", 4, WIDE))) == 4
+    finally:
+        spark.conf.unset(name)
+
+
+def test_epochs_are_sealed_and_read(spark, tables):
     before = rows(tables.view("item_totals"))
-    assert tables.compact("item_totals") == 1
-    assert rows(tables.view("item_totals")) == before
     _publish(spark, tables, 2, [(2, 1, None, 6, None)])
     assert rows(reads.by_key(tables.view("item_totals"), 2), "sold") == [(6,)]
-    now = [(1, 4), (2, 6), (9, None)]
-    assert tables.compact("item_totals") == tables.compact("item_totals") == 2
-    tables.vacuum("item_totals")
-    assert rows(tables.view("item_totals"), "key", "sold") == now
+    _publish(spark, tables, 3, [(2, 1, None, 7, None)])
+    _publish(spark, tables, 4, [(2, 1, None, 8, None)])
+    assert rows(tables.view("item_totals"), "key", "sold") == [(1, 4), (2, 8), (9, None)]
     assert rows(tables.view_before("item_totals", 2, WIDE)) == before
-    _publish(spark, tables, 2, [(2, 1, None, 6, None)])
-    assert rows(tables.view("item_totals"), "key", "sold") == now
-    assert tables.changes("item_totals").count() == 1
+    _publish(spark, tables, 4, [(2, 1, None, 8, None)])
+    assert tables.last_batch("item_totals") == 4
+    assert tables.changes("item_totals").count() == 7
 
 
 def test_named_reads(spark, tables):
@@ -81,11 +97,10 @@ def test_reads(spark, run_dir):
     assert rows(reads.by_key(view, 4)) == [(4, 40)]
     assert rows(reads.by_key(view, 44)) == []
     assert rows(reads.key_range(view, 3, 7), "key") == [(3,), (4,), (5,), (6,), (7,)]
-    assert len(rows(reads.all_rows(view))) == 9
+    assert len(rows(view)) == 9
 
 
 def test_key_filters_reach_the_scan(spark, tables):
-    tables.compact("item_totals")
     _publish(spark, tables, 2, [(2, 1, None, 6, None)])
     plan = reads.key_range(tables.view("item_totals"), 3, 7)._jdf.queryExecution().toString()
     assert plan.count("PushedFilters: [IsNotNull(key), GreaterThanOrEqual(key,3)") == 2

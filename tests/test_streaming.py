@@ -113,7 +113,7 @@ def test_item_and_customer_totals_equal_batch(spark, log, run_dir, files_per_bat
     ]
     for total, table, key in kept:
         _finish(
-            keep(total, tables, table, key, f"{run_dir}/{table}", compact_every=2, availableNow=True)
+            keep(total, tables, table, key, f"{run_dir}/{table}", availableNow=True)
         )
     assert rows(tables.named("refill-qty-by-item-store")) == rows(batch.replenished_by_item())
     assert rows(tables.named("sale-qty-by-item-store")) == rows(batch.sold_by_item())
@@ -132,16 +132,16 @@ def _keyed_state(log, tables, run_dir):
 
 def _whole_batches(log, tables, run_dir, **more):
     live = keep_category_totals(
-        log.stream(), tables, f"{run_dir}/c", compact_every=2, availableNow=True, **more
+        log.stream(), tables, f"{run_dir}/c", availableNow=True, **more
     )
     _finish(live)
 
 
-def _without_broadcast(log, tables, run_dir):
-    _whole_batches(log, tables, run_dir, limit=0, bucket=2)
+def _small_buckets(log, tables, run_dir):
+    _whole_batches(log, tables, run_dir, bucket=2)
 
 
-ALL_WAYS = pytest.mark.parametrize("run", [_keyed_state, _whole_batches, _without_broadcast])
+ALL_WAYS = pytest.mark.parametrize("run", [_keyed_state, _whole_batches, _small_buckets])
 
 
 @ALL_WAYS
@@ -262,6 +262,16 @@ def test_windows_with_a_watermark_drop_late_rows(spark, run_dir):
     assert rows(reads.window_fetch(windows, "key", 1, start, start + 1)) == [(start, 1)]
 
 
+def test_windows_without_a_watermark_drop_nothing(spark, run_dir):
+    """Newest first, a file per batch."""
+    stream = _events(spark, f"{run_dir}/in", [[(1, _at(m), 1)] for m in (9000, 600, 300, 5)])
+    tables = KeptTables(spark, f"{run_dir}/kept")
+    live = windowed_total(stream(), "k", "ts", "1 hour")
+    _finish(keep_windows(live, tables, "w", "k", f"{run_dir}/c", availableNow=True))
+    assert tables.windows("w").count() == 4
+    assert len([n for n in os.listdir(f"{run_dir}/c/commits") if n.isdigit()]) == 4
+
+
 @pytest.mark.parametrize("salts", [1, 3])
 def test_stream_interval_join_equals_batch_up_to_the_watermark(spark, run_dir, salts):
     rng = random.Random(2)

@@ -6,13 +6,12 @@ import importlib
 import importlib.util
 import os
 import sys
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -41,7 +40,7 @@ from stockledger.operators import (  # noqa: E402
     sum_by_key,
     windowed_total,
 )
-from stockledger.plans import Ledger  # noqa: E402
+from stockledger.plans import GivenFeeds, Ledger  # noqa: E402
 from stockledger.schemas import UNKNOWN_CATEGORY  # noqa: E402
 from stockledger.sources import reads  # noqa: E402
 from stockledger.sources.changes import json_changes, pull_after  # noqa: E402
@@ -76,23 +75,21 @@ def _ledger(build: Callable[[Ledger], DataFrame]):
 
 
 def read_changes_count(t: OrderTables) -> DataFrame:
+    """Records of each feed; sales and returns are two readings of one join."""
     feeds = t.feeds()
-    named = {
+    single = {
         "item": feeds.item,
         "customer": feeds.customer,
         "category": feeds.category,
         "replenishment": feeds.replenishment,
-        "sale": feeds.sale,
-        "return": feeds.ret,
     }
     counts = [
         df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("feed"), "records")
-        for name, df in named.items()
+        for name, df in single.items()
     ]
-    all_counts = counts[0]
-    for c in counts[1:]:
-        all_counts = all_counts.unionByName(c)
-    return all_counts
+    both = feeds.traded.agg(F.count(F.lit(1)).alias("sale"), F.count("returned").alias("return"))
+    counts.append(both.selectExpr("stack(2, 'sale', sale, 'return', `return`) AS (feed, records)"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def json_changes_sale(t: OrderTables) -> DataFrame:
@@ -110,24 +107,13 @@ def incremental_pull(t: OrderTables) -> DataFrame:
     return pull_after(orders, "o_orderkey", seen).select("o_orderkey", "o_custkey")
 
 
-def _yearly_changes(t: OrderTables) -> DataFrame:
-    """The changelog of sold-by-item totals, one batch a year: the new total of each changed key."""
-    by_year = (
-        t.timed_sales().groupBy("item_id", F.year("ts").cast("bigint").alias("batch_id"))
-        .agg(F.sum("quantity").alias("quantity"))
-    )
-    so_far = Window.partitionBy("item_id").orderBy("batch_id")
-    return by_year.select(
-        F.col("item_id").alias("key"), F.sum("quantity").over(so_far).alias("value"), "batch_id"
-    )
-
-
 def changelog_changes(t: OrderTables) -> DataFrame:
-    return _yearly_changes(t)
+    """What each batch of a stream changed: the new sold-by-item totals, kept batch by batch."""
+    return _sold_log(t).changes("sold").select("key", F.col("quantity").alias("value"), "batch_id")
 
 
 def changelog_latest(t: OrderTables) -> DataFrame:
-    return latest_of_changes(_yearly_changes(t), "key", ["value"])
+    return latest_of_changes(changelog_changes(t), "key", ["value"])
 
 
 def published_topics(t: OrderTables) -> DataFrame:
@@ -229,32 +215,31 @@ def sale_snapshot_category(t: OrderTables) -> DataFrame:
 
 
 def asof_sale_by_category(t: OrderTables) -> DataFrame:
-    return asof_totals(
-        t.timed_sales(), t.item_changes(), "item_id", "category_id", ["quantity"], UNKNOWN_CATEGORY
-    )
-
-
-def asof_sale_by_category_unbounded(t: OrderTables) -> DataFrame:
-    """The same with no broadcast allowed: the path for changes of any size."""
     return asof_totals(
         t.timed_sales(), t.item_changes(), "item_id", "category_id", ["quantity"], UNKNOWN_CATEGORY,
-        bucket=timedelta(days=1), limit=0,
+        bucket=timedelta(days=1),
     )
 
 
 def asof_sale_rows(t: OrderTables) -> DataFrame:
-    rows = asof_lookup(t.timed_sales(), t.item_changes(), "item_id", "category_id", UNKNOWN_CATEGORY)
-    return rows.select("item_id", "customer_id", "quantity", "category_id")
-
-
-def asof_sale_rows_unbounded(t: OrderTables) -> DataFrame:
     rows = asof_lookup(
         t.timed_sales(), t.item_changes(), "item_id", "category_id", UNKNOWN_CATEGORY,
-        bucket=timedelta(days=1), limit=0,
+        bucket=timedelta(days=1),
     )
     return rows.select("item_id", "customer_id", "quantity", "category_id")
 
 
+def asof_user_state(t: OrderTables) -> DataFrame:
+    """Every purchase with the user's last change before it; logins change to nothing, some users are null."""
+    events = event_stream(t.table("events"))
+    user = F.expr("nullif(user_id, 7)").alias("user_id")
+    changes = events.where("event_type <> 'purchase'").select(
+        user, "ts", "event_id", F.expr("nullif(cents, cents % 3)").alias("state")
+    )
+    facts = events.where("event_type = 'purchase'").select(user, "ts", "event_id", "cents")
+    return asof_lookup(facts, changes, "user_id", "state", seq="event_id", bucket=timedelta(days=1)).drop("ts")
+
+
 def _clicks_and_purchases(t: OrderTables) -> tuple[DataFrame, DataFrame]:
     events = event_stream(t.table("events"))
     columns = ["user_id", "ts", "event_id", "cents"]
@@ -360,63 +345,125 @@ def _hand(t: OrderTables) -> DataFrame:
     return rekey(Ledger(t.feeds()).items_at_hand(), "item_id", "quantity")
 
 
+def _kept(t: OrderTables, table: str, rows: DataFrame) -> KeptTables:
+    """The rows published as a kept table of two batches, the first of them sealed in a snapshot."""
+    tables = KeptTables(t.spark, f"{_work_dir(t)}/kept", epoch=1)
+    tables.publish(table, rows, 0)
+    tables.publish(table, tables.changes(table).drop("batch_id").where("key IS NULL"), 1)
+    return tables
+
+
+def _kept_hand(t: OrderTables) -> DataFrame:
+    totals = Ledger(t.feeds()).item_totals().withColumnRenamed("item_id", "key")
+    return _kept(t, "item_totals", totals).named("items-at-hand-store")
+
+
 def lookup_by_key(t: OrderTables) -> DataFrame:
-    return reads.by_key(_hand(t), 42)
+    return reads.by_key(_kept_hand(t), 42)
 
 
 def scan_all(t: OrderTables) -> DataFrame:
-    return reads.all_rows(_hand(t))
+    return _kept_hand(t)
 
 
 def key_range(t: OrderTables) -> DataFrame:
-    return reads.key_range(_hand(t), 100, 1500)
+    return reads.key_range(_kept_hand(t), 100, 1500)
 
 
 def window_fetch(t: OrderTables) -> DataFrame:
     daily = windowed_total(event_stream(t.table("events")), "event_type", "ts", "1 day")
-    return reads.window_fetch(daily, "event_type", "click", 1704153600000, 1705276800000)
+    keyed = F.struct(F.col("event_type").alias("of"), "window_start").alias("key")
+    tables = _kept(t, "daily", daily.select(keyed, "window_end", "total"))
+    return reads.window_fetch(tables.windows("daily"), "key", "click", 1704153600000, 1705276800000)
 
 
-# Streams: the tables' files as one micro-batch after another, kept as a table, then read.
+# Streams: a table's rows arrive in slices, each a run of the stream that goes on from the last
+# one's checkpoint; what is kept is then read.
+
+SLICES = 4
+
+# Ship dates at which the slices of timed feeds begin, in microseconds.
+_SLICE_STARTS = [757382400000000, 820454400000000, 883612800000000]
+_SLICE_OF = "CASE " + " ".join(f"WHEN {{0}} < {s} THEN {i}" for i, s in enumerate(_SLICE_STARTS)) + " ELSE 3 END"
 
 
 def _work_dir(t: OrderTables) -> str:
-    """A new folder under the shared one; only a local session may leave that unset."""
-    unset = not t.spark.conf.get("spark.checkpoint.dir", None)
-    if unset and t.spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-")
+    """A new folder under the one that all executors share."""
     return f"{shared_dir(t.spark)}/registered/{uuid.uuid4().hex}"
 
 
-def _streamed(t: OrderTables, start: Callable[..., StreamingQuery], *args) -> KeptTables:
-    work = _work_dir(t)
-    tables = KeptTables(t.spark, f"{work}/kept")
-    *head, table, key = args
-    start(*head, tables, table, key, f"{work}/checkpoint", availableNow=True).awaitTermination()
+def _arrivals(rows: dict[str, DataFrame], slice_of: dict[str, str], folder: str) -> Iterator[None]:
+    """Append the rows of every table, slice by slice, to its folder of files."""
+    for k in range(SLICES):
+        for name, df in rows.items():
+            df.where(f"({slice_of[name]}) = {k}").write.mode("append").parquet(f"{folder}/{name}.parquet")
+        yield
+
+
+def _streamed(t: OrderTables, slice_of: dict[str, str], start: Callable[[OrderTables, str], StreamingQuery]) -> None:
+    """Run the stream that ``start`` builds once for every slice of the tables."""
+    folder = f"{_work_dir(t)}/in"
+    arriving = OrderTables(t.spark, folder)
+    for _ in _arrivals({n: t.table(n) for n in slice_of}, slice_of, folder):
+        start(arriving, f"{folder}/../checkpoint").awaitTermination()
+
+
+def _by_hash(*names: str) -> dict[str, str]:
+    first = {"lineitem": "l_orderkey", "part": "p_partkey", "customer": "c_custkey", "events": "event_id"}
+    return {n: f"pmod(xxhash64({first[n]}), {SLICES})" for n in names}
+
+
+def _new_tables(t: OrderTables) -> KeptTables:
+    return KeptTables(t.spark, f"{_work_dir(t)}/kept", epoch=2)
+
+
+def _sold_log(t: OrderTables) -> KeptTables:
+    tables = _new_tables(t)
+    shipped = {"lineitem": _SLICE_OF.format("unix_micros(CAST(l_shipdate AS TIMESTAMP))")}
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        sold = OrderFeeds(arriving.stream, t.table).sale
+        return keep(sum_by_key(sold, "item_id", "quantity"), tables, "sold", "item_id", checkpoint, availableNow=True)
+
+    _streamed(t, shipped, start)
     return tables
 
 
 def stream_items_at_hand(t: OrderTables) -> DataFrame:
-    live = Ledger(OrderFeeds(t.stream, t.table)).item_totals()
-    tables = _streamed(t, keep, live, "item_totals", "item_id")
+    tables = _new_tables(t)
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        live = Ledger(OrderFeeds(arriving.stream, t.table)).item_totals()
+        return keep(live, tables, "item_totals", "item_id", checkpoint, availableNow=True)
+
+    _streamed(t, _by_hash("lineitem", "part"), start)
     return tables.named("items-at-hand-store")
 
 
 def stream_items_with_customer(t: OrderTables) -> DataFrame:
-    live = Ledger(OrderFeeds(t.stream, t.table)).customer_totals()
-    tables = _streamed(t, keep, live, "customer_totals", "customer_id")
+    tables = _new_tables(t)
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        live = Ledger(OrderFeeds(arriving.stream, t.table)).customer_totals()
+        return keep(live, tables, "customer_totals", "customer_id", checkpoint, availableNow=True)
+
+    _streamed(t, _by_hash("lineitem", "customer"), start)
     return tables.named("items-with-cust-store")
 
 
 def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
     """All facts in order of their time, each under the category its item then had."""
-    feeds = timed_feeds(t.stream, t.table)
-    work = _work_dir(t)
-    tables = KeptTables(t.spark, f"{work}/kept")
+    timed, names = timed_feeds(t.table), ("item", "customer", "category", "replenishment", "sale", "ret")
+    rows = {n: getattr(timed, n) for n in names}
+    work, tables = _work_dir(t), _new_tables(t)
     day = 24 * 3600 * 1_000_000
-    keep_category_totals(
-        feeds, tables, f"{work}/checkpoint", bucket=day, availableNow=True
-    ).awaitTermination()
+    for _ in _arrivals(rows, dict.fromkeys(names, _SLICE_OF.format("seq")), f"{work}/in"):
+        live = GivenFeeds(
+            **{n: t.spark.readStream.schema(df.schema).parquet(f"{work}/in/{n}.parquet") for n, df in rows.items()}
+        )
+        keep_category_totals(
+            live, tables, f"{work}/checkpoint", bucket=day, availableNow=True
+        ).awaitTermination()
     names = ("refill-qty-by-cat", "sale-qty-by-cat", "rets-qty-by-cat", "items-at-hand-per-cat")
     stores = [f"{n}-store" for n in names] + [f"{n}-store-0.8" for n in names[:3]]
     return reduce(
@@ -426,11 +473,15 @@ def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
 
 
 def stream_windowed_count(t: OrderTables) -> DataFrame:
-    live = windowed_total(
-        event_stream(t.stream("events")), "event_type", "ts", "2 days", "1 day", late="1 day"
-    )
-    windows = _streamed(t, keep_windows, live, "counts", "event_type").windows("counts")
-    return _windows(windows.withColumnRenamed("key", "event_type"))
+    """Windows of events in any order: without a watermark none is late."""
+    tables = _new_tables(t)
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        live = windowed_total(event_stream(arriving.stream("events")), "event_type", "ts", "2 days", "1 day")
+        return keep_windows(live, tables, "counts", "event_type", checkpoint, availableNow=True)
+
+    _streamed(t, _by_hash("events"), start)
+    return _windows(tables.windows("counts").withColumnRenamed("key", "event_type"))
 
 
 QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
@@ -477,9 +528,8 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "original_and_upper": original_and_upper,
     "sale_snapshot_category": sale_snapshot_category,
     "asof_sale_by_category": asof_sale_by_category,
-    "asof_sale_by_category_unbounded": asof_sale_by_category_unbounded,
     "asof_sale_rows": asof_sale_rows,
-    "asof_sale_rows_unbounded": asof_sale_rows_unbounded,
+    "asof_user_state": asof_user_state,
     "interval_left_join": interval_left,
     "interval_left_join_salted": interval_left_salted,
     "interval_left_sum": interval_sum,
@@ -669,6 +719,13 @@ _ARRIVED = f"""SELECT COALESCE(i.category_id, 999999) AS category_id,
     SUM(CASE WHEN f.kind = 'b' THEN f.quantity END) AS b
     FROM ({_TIMED_FACTS}) f ASOF LEFT JOIN item_changes i
     ON f.item_id = i.item_id AND f.ts >= i.ts GROUP BY 1"""
+_ASOF_STATE = """SELECT f.user_id, f.event_id, f.cents, c.held.s AS state
+    FROM (SELECT nullif(user_id, 7) AS user_id, ts, event_id, cents
+        FROM ev WHERE event_type = 'purchase') f
+    ASOF LEFT JOIN (SELECT nullif(user_id, 7) AS user_id, ts,
+        arg_max({'s': nullif(cents, cents % 3)}, event_id) AS held
+        FROM ev WHERE event_type <> 'purchase' GROUP BY 1, 2) c
+    ON f.user_id = c.user_id AND f.ts >= c.ts"""
 _ASOF_TOTALS = f"""SELECT COALESCE(i.category_id, 999999) AS category_id,
     CAST(SUM(f.quantity) AS BIGINT) AS quantity {_ASOF} GROUP BY 1"""
 _ASOF_ROWS = f"""SELECT f.item_id, f.customer_id, f.quantity,
@@ -749,7 +806,9 @@ ORACLES = {
     "changelog_changes": _with(
         """SELECT item_id AS key, CAST(SUM(q) OVER (PARTITION BY item_id ORDER BY batch_id)
             AS BIGINT) AS value, batch_id
-        FROM (SELECT item_id, year(ts) AS batch_id, SUM(quantity) AS q FROM sale_ts GROUP BY 1, 2)"""
+        FROM (SELECT item_id, CASE WHEN ts < '1994-01-01' THEN 0 WHEN ts < '1996-01-01' THEN 1
+            WHEN ts < '1998-01-01' THEN 2 ELSE 3 END::BIGINT AS batch_id, SUM(quantity) AS q
+            FROM sale_ts GROUP BY 1, 2)"""
     ),
     "changelog_latest": _with(
         "SELECT item_id AS key, CAST(SUM(quantity) AS BIGINT) AS value FROM sale_ts GROUP BY 1"
@@ -788,9 +847,8 @@ ORACLES = {
         ON s.item_id = i.item_id"""
     ),
     "asof_sale_by_category": _with(_ASOF_TOTALS),
-    "asof_sale_by_category_unbounded": _with(_ASOF_TOTALS),
     "asof_sale_rows": _with(_ASOF_ROWS),
-    "asof_sale_rows_unbounded": _with(_ASOF_ROWS),
+    "asof_user_state": _with(_ASOF_STATE),
     "interval_left_join": _with(_INTERVAL),
     "interval_left_join_salted": _with(_INTERVAL),
     "interval_left_sum": _with(

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as registered
 from tests import oracle
 
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = registered.queries(), registered.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def test_equals_sql(spark, data, con, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(registered.QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -1,7 +1,6 @@
 """Re-keying and the keyed aggregates.
 
-Every aggregate here is one partial and one final hash aggregate around one
-exchange. The partial step leaves at most one row per key and task, so a key
+Every aggregate here is one partial and one final aggregate around one exchange. The partial step leaves at most one row per key and task, so a key
 that holds a third of the rows costs no more in the exchange than any other.
 """
 
@@ -31,7 +30,8 @@ def latest_by_key(df: DataFrame, key: str, values: Sequence[str], order: str = "
     """Newest values per key by arrival order, which must be unique within a key.
 
     One aggregate per column rather than one of a struct: buffers of fixed-width
-    columns can be updated in place, so the aggregate hashes instead of sorting.
+    columns can be updated in place, so the aggregate hashes. With a text among the
+    values it sorts.
     """
     return df.groupBy(key).agg(*[F.max_by(v, order).alias(v) for v in values])
 

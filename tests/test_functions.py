@@ -24,7 +24,7 @@ def test_whole_numbers_parse(spark, text, number):
     assert _value(spark, C.try_long, text, "string") == number
 
 
-@pytest.mark.parametrize("text", ["x", "", " 5", "5 ", "6.5", "1e3", "--1", str(2**63), None])
+@pytest.mark.parametrize("text", ["x", "", " 5", "5 ", "5\n", "6.5", "1e3", "--1", str(2**63), None])
 def test_anything_else_fails_or_is_null(spark, text):
     assert _value(spark, C.try_long, text, "string") is None
     with pytest.raises(PySparkException, match="not a whole number"):

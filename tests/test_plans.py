@@ -92,6 +92,11 @@ def test_planning_runs_no_job_and_salts_are_repeatable(spark, data, no_auto_broa
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
 
 
+def test_as_wired_totals_read_the_lines_once(spark, data, no_auto_broadcast):
+    shown = plan(QUERIES["q11_as_wired"](spark, data))
+    assert shown.count("SortMergeJoin") == 1
+
+
 def test_reads_push_their_keys_into_the_snapshot(spark, data):
     shown = plan(QUERIES["key_range"](spark, data))
     assert "snapshot" in shown and shown.count("GreaterThanOrEqual(key,100)") == 2

@@ -36,6 +36,9 @@ BUCKET_ANCHORS, RANGE_SUFFIXES = 1_000_000, 150_000
 # A suffix that more documents of one slice share keeps them at home and meets its answer in a join.
 FOLDED = 16
 
+# Bytes whose grams are hashed at once.
+PIECE = 256 * 1024
+
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -82,12 +85,22 @@ def anchors(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _anchored(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All bytes of a slice, ends of its documents, and places and hashes of its anchors."""
+    """All bytes of a slice, ends of its documents, and places and hashes of its anchors.
+
+    Hashes take many times the room of the bytes, so they are made for ``PIECE`` bytes at a time, with as
+    many to either side as an anchor depends on.
+    """
     codes = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum([len(t) for t in texts])
-    hashes = gram_hashes(codes)
-    places = anchors(hashes, ends)
-    return codes, ends, places, hashes[places]
+    places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for at in range(0, len(codes), PIECE):
+        low = max(0, at - STARTS + 1)
+        hashes = gram_hashes(codes[low : at + PIECE + LENGTH])
+        own = anchors(hashes, ends - low)
+        own = own[(own >= at - low) & (own < at - low + PIECE)]
+        places.append(own + low)
+        found.append(hashes[own])
+    return codes, ends, np.concatenate(places), np.concatenate(found)
 
 
 def _blob(values: np.ndarray, kind: type) -> bytes:

@@ -44,6 +44,14 @@ def test_substrings_of_awkward_rows(framed, documents, awkward):
     assert all(brute.sha(bytes(r.kept)) == r.kept_sha256 for r in kept)
 
 
+def test_anchors_do_not_depend_on_pieces(documents, monkeypatch):
+    texts = [(t or "").encode() for _, t in documents[:60]] + [b"", b"a" * 3000, b"xyz"]
+    whole = suffixes._anchored(texts)
+    monkeypatch.setattr(suffixes, "PIECE", 777)
+    for x, y in zip(whole, suffixes._anchored(texts)):
+        assert np.array_equal(x, y)
+
+
 def test_folded_suffixes(framed):
     """A passage that more documents of a slice share than are folded."""
     passage = "a passage that is in every one of these documents, word for word and sign for sign."

@@ -140,25 +140,46 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         )
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Per document the ordinals of its anchors of this bucket that other documents have as well."""
+def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    def joined(name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    doc = np.repeat(joined("docs", np.int64), joined("counts", np.uint32))
-    hashes, ordinals = joined("hashes", np.uint32), joined("ordinals", np.uint32)
+def _shared(table: pa.Table, targets: int) -> pa.Table:
+    """Anchors of this bucket that two documents have, by document in one row for each target bucket."""
+    doc = np.repeat(_joined(table, "docs", np.int64), _joined(table, "counts", np.uint32))
+    hashes, ordinals = _joined(table, "hashes", np.uint32), _joined(table, "ordinals", np.uint32)
     order = np.lexsort((doc, hashes))
     starts = _runs_of(hashes[order])
     sizes = np.diff(np.append(starts, len(order)))
     several = doc[order[starts]] != doc[order[starts + sizes - 1]]
     kept = order[np.repeat(several, sizes)]
-    kept = kept[np.argsort(doc[kept], kind="stable")]
-    firsts = _runs_of(doc[kept])
-    ends = np.append(firsts, len(kept))
+    target = (mixed(doc[kept].view(np.uint64)) % np.uint64(targets)).astype(np.int64)
+    again = np.lexsort((doc[kept], target))
+    kept, target = kept[again], target[again]
+    bounds = np.append(_runs_of(target), len(kept))
+    rows = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        own = doc[kept[a:b]]
+        firsts = _runs_of(own)
+        rows.append((
+            int(target[a]), own[firsts].tobytes(), _blob(np.diff(np.append(firsts, b - a)), np.uint32),
+            _blob(ordinals[kept[a:b]], np.uint32),
+        ))
+    names = ["target", "docs", "counts", "ordinals"]
+    return pa.table({n: pa.array([r[i] for r in rows], pa.binary() if i else pa.int64()) for i, n in enumerate(names)})
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """The ordinals of every document of a target bucket, from all buckets of hashes."""
+    doc = np.repeat(_joined(table, "docs", np.int64), _joined(table, "counts", np.uint32))
+    ordinals = _joined(table, "ordinals", np.uint32)
+    order = np.argsort(doc, kind="stable")
+    doc, ordinals = doc[order], ordinals[order]
+    firsts = _runs_of(doc)
+    ends = np.append(firsts, len(doc))
     return pa.table({
-        "doc_id": pa.array(doc[kept[firsts]], pa.int64()),
-        "ordinals": pa.array([_blob(ordinals[kept[a:b]], np.uint32) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+        "doc_id": pa.array(doc[firsts]),
+        "ordinals": pa.array([ordinals[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
     })
 
 
@@ -485,12 +506,14 @@ def substring_dedup(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
     offered = as_bytes(texts, "doc_id").mapInArrow(
         lambda batches: _offered(batches, buckets), "bucket bigint, docs binary, counts binary, hashes binary, ordinals binary"
     )
-    shared = written(offered.groupBy("bucket").applyInArrow(_shared, "doc_id bigint, ordinals binary"))
-    suffixes = (shared.agg(F.sum(F.octet_length("ordinals")).alias("n")).first()["n"] or 0) // 4
-    splitters = _splitters(texts, suffixes // RANGE_SUFFIXES + 1)
-    marked = shared.groupBy("doc_id").agg(F.collect_list("ordinals").alias("ordinals")).mapInArrow(
-        _flat, "doc_id bigint, ordinals binary"
+    shared = written(
+        offered.groupBy("bucket").applyInArrow(
+            lambda table: _shared(table, buckets), "target bigint, docs binary, counts binary, ordinals binary"
+        )
     )
+    suffixes = (shared.agg(F.sum(F.octet_length("ordinals")).alias("n")).first()["n"] or 0) // 4
+    splitters = _splitters(texts, leading, suffixes // RANGE_SUFFIXES + 1)
+    marked = shared.groupBy("target").applyInArrow(_by_document, "doc_id bigint, ordinals binary")
     met = as_bytes(texts, "doc_id", "offset").join(marked, "doc_id")
     runs = met.mapInArrow(lambda batches: _sorted_runs(batches, splitters), _RUN)
     found = written(runs.groupBy("range").applyInArrow(_merged, _FOUND))
@@ -507,16 +530,10 @@ def substring_dedup(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
     return _answers(rows, firsts, written(done).dropDuplicates(["doc_id", "uid"]), keep_texts, own)
 
 
-def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        flat = [b"".join(x) for x in batch.column("ordinals").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(flat, pa.binary())], names=["doc_id", "ordinals"])
-
-
 SAMPLED_TEXTS, SAMPLED_ANCHORS = 2_000, 200
 
 
-def _splitters(docs: DataFrame, n: int) -> np.ndarray:
+def _splitters(texts: DataFrame, leading: DataFrame, n: int) -> np.ndarray:
     """Cuts of the order of suffixes, by their first eight bytes, from a bounded sample of texts.
 
     The sample decides only how even the ranges are, nothing about results.
@@ -529,7 +546,8 @@ def _splitters(docs: DataFrame, n: int) -> np.ndarray:
             framed = np.concatenate([codes, np.zeros(8, np.uint8)])
             yield pa.RecordBatch.from_arrays([pa.array([_blob(_keys(_words_of(framed, some, 8))[0], np.uint64)], pa.binary())], names=["keys"])
 
-    sample = as_bytes(docs.orderBy("uid").limit(SAMPLED_TEXTS)).mapInArrow(run, "keys binary").collect()
+    few = leading.select("doc_id", "uid").orderBy("uid").limit(SAMPLED_TEXTS)
+    sample = as_bytes(texts.join(F.broadcast(few), ["doc_id", "uid"], "left_semi")).mapInArrow(run, "keys binary").collect()
     keys = np.sort(np.frombuffer(b"".join(bytes(r["keys"]) for r in sample), np.uint64))
     return np.unique(keys[np.arange(1, n) * len(keys) // n]) if len(keys) else keys
 

@@ -8,9 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import chat, pii
+from stockledger.llm import chat, lines, oracles, pii
 from stockledger.llm.jaccard import jaccard_join
-from stockledger.llm.lines import quality_rules
 from stockledger.llm.passages import near_passages
 from stockledger.llm.pieces import encode_decode
 from stockledger.llm.quality import quality_scores
@@ -46,7 +45,7 @@ def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")
 
 
 def op6_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +69,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return lines.quality_rules(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,4 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_string_tiling": op10_string_tiling,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": oracles.OP2,
+    "op5_ngram_jaccard": oracles.OP5,
+    "op7_line_frequency": oracles.op7(lines.MIN_DOCUMENTS, lines.MIN_SHARE, lines.MIN_KEPT_SHARE),
+    "op8_chat_formatting": oracles.OP8,
+}

@@ -6,26 +6,10 @@ _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PLAIN = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
 
-OP2 = """
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS s
-    FROM d, LATERAL (SELECT unnest(range(greatest(length(h) // 2 - 49, 0))) AS i)),
-dup AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS f FROM w) x WHERE f < doc_id),
-b AS (SELECT d.r, p.i, substr(h, 2 * p.i + 1, 2) AS c, dup.i IS NOT NULL AS here
-    FROM d, LATERAL (SELECT unnest(range(length(h) // 2)) AS i) p
-    LEFT JOIN dup ON dup.r = d.r AND dup.i = p.i),
-m AS (SELECT r, i, c, bool_or(here) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM b),
-e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS starts FROM m),
-k AS (SELECT r, count_if(gone) AS n_removed, count_if(starts) AS n_spans,
-    coalesce(string_agg(c, '' ORDER BY i) FILTER (WHERE NOT gone), '') AS rest FROM e GROUP BY r)
-SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
-FROM d LEFT JOIN k USING (r)"""
-
 OP5 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_PLAIN)} AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
-        THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+        THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),

@@ -118,7 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op2_suffix_dedup": oracles.OP2,
     "op5_ngram_jaccard": oracles.OP5,
     "op7_line_frequency": oracles.op7(lines.MIN_DOCUMENTS, lines.MIN_SHARE, lines.MIN_KEPT_SHARE),
     "op8_chat_formatting": oracles.OP8,

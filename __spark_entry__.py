@@ -45,7 +45,7 @@ from stockledger.schemas import UNKNOWN_CATEGORY  # noqa: E402
 from stockledger.sources import reads  # noqa: E402
 from stockledger.sources.changes import json_changes, pull_after  # noqa: E402
 from stockledger.sources.kept import KeptTables, shared_dir  # noqa: E402
-from stockledger.sources.sinks import json_documents, latest_of_changes, published, topic_records  # noqa: E402
+from stockledger.sources.sinks import json_documents, latest_of_changes, published, to_index, topic_records  # noqa: E402
 from stockledger.sources.tables import (  # noqa: E402
     OrderFeeds,
     OrderTables,
@@ -54,7 +54,7 @@ from stockledger.sources.tables import (  # noqa: E402
     event_stream,
     timed_feeds,
 )
-from stockledger.streaming import keep, keep_category_totals, keep_windows  # noqa: E402
+from stockledger.streaming import category_at_arrival, keep, keep_category_totals, keep_windows  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -472,6 +472,19 @@ def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
     )
 
 
+def stream_category_rows(t: OrderTables) -> DataFrame:
+    """Sales one by one with the category their item had when they came, from keyed state."""
+    timed, work = timed_feeds(t.table), _work_dir(t)
+    rows = {"sale": timed.sale, "item": timed.item}
+    for _ in _arrivals(rows, dict.fromkeys(rows, _SLICE_OF.format("seq")), f"{work}/in"):
+        sale, item = (
+            t.spark.readStream.schema(df.schema).parquet(f"{work}/in/{n}.parquet") for n, df in rows.items()
+        )
+        found = category_at_arrival(sale.withColumn("kind", F.lit("sold")), item, "seq")
+        to_index(found, f"{work}/out", f"{work}/checkpoint", fmt="parquet", availableNow=True).awaitTermination()
+    return t.spark.read.parquet(f"{work}/out").select("category_id", "kind", "quantity")
+
+
 def stream_windowed_count(t: OrderTables) -> DataFrame:
     """Windows of events in any order: without a watermark none is late."""
     tables = _new_tables(t)
@@ -550,6 +563,7 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "stream_items_at_hand": stream_items_at_hand,
     "stream_items_with_customer": stream_items_with_customer,
     "stream_category_totals_at_arrival": stream_category_totals_at_arrival,
+    "stream_category_rows": stream_category_rows,
     "stream_windowed_count": stream_windowed_count,
 }
 
@@ -919,6 +933,9 @@ ORACLES = {
         ),
         arrived=_ARRIVED,
     ),
+    "stream_category_rows": _with(
+        f"SELECT COALESCE(i.category_id, 999999) AS category_id, 'sold' AS kind, f.quantity {_ASOF}"
+    ),
     "stream_windowed_count": _with(_windows_sql("COUNT(*)", 2)),
 }
 

@@ -514,7 +514,8 @@ def substring_dedup(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
     suffixes = (shared.agg(F.sum(F.octet_length("ordinals")).alias("n")).first()["n"] or 0) // 4
     splitters = _splitters(texts, leading, suffixes // RANGE_SUFFIXES + 1)
     marked = shared.groupBy("target").applyInArrow(_by_document, "doc_id bigint, ordinals binary")
-    met = as_bytes(texts, "doc_id", "offset").join(marked, "doc_id")
+    # In one order, so that a task that is run again cuts its texts into the same slices.
+    met = as_bytes(texts, "doc_id", "offset").join(marked, "doc_id").sortWithinPartitions("doc_id", "offset")
     runs = met.mapInArrow(lambda batches: _sorted_runs(batches, splitters), _RUN)
     found = written(runs.groupBy("range").applyInArrow(_merged, _FOUND))
     # The same folded suffix comes from many runs and has one answer for all.

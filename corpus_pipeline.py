@@ -24,8 +24,8 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; rows are told apart by id and text."""
-    rejected = written(quality_rules(docs).where(~F.col("kept")).select("doc_id", "text_key").distinct())
+    """Documents that the quality rules keep, lines limited by number alone; rows are told apart by id and text."""
+    rejected = written(quality_rules(docs, min_share=0).where(~F.col("kept")).select("doc_id", "text_key").distinct())
     keyed = _documents(docs).withColumn("text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     return without(keyed, rejected, "doc_id", "text_key").select(*COLUMNS)
 

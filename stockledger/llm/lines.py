@@ -24,10 +24,14 @@ MAX_REPEATED_PERCENT = 50
 
 # A line is boilerplate in a host if at least so many documents, and so large a share of
 # the host's documents, hold it; a document is depleted if it keeps a smaller share of its words.
+# The SQL twin states these limits; a share of 0 leaves the number alone, which does not grow with the host.
 MIN_DOCUMENTS = 50
 MIN_SHARE = 0.2
 MIN_KEPT_SHARE = 0.5
 
+# Rows with one line of one host are dealt over so many keys of the join with removed lines.
+SALTS = 16
+
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 _SPACES = np.zeros(256, bool)
@@ -107,7 +111,9 @@ def quality_rules(
         F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
         "text",
     )
-    counted = written(as_bytes(own, "host", "doc_id").mapInArrow(_counted, _COUNTED))
+    counted = written(
+        as_bytes(own, "host", "doc_id").mapInArrow(_counted, _COUNTED).withColumn("row", F.monotonically_increasing_id())
+    )
     # Copies of a text fall together, on the map side where they can, before lines are counted.
     texts = counted.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
     often = (
@@ -116,24 +122,21 @@ def quality_rules(
         .agg(F.count(F.lit(1)).alias("documents"))
         .where(F.col("documents") >= min_documents)
     )
-    sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
-    # A host has at most 1 / min_share times the mean lines of a document above the limit, so
-    # they fit one array per host; documents of a hot host are the splittable side of the join.
-    removed = (
-        often.join(sizes, "host")
-        .where(F.col("documents") >= F.col("host_documents") * min_share)
-        .groupBy("host")
-        .agg(F.collect_list("line").alias("removed"))
-    )
-    lost = F.expr(
-        "aggregate(filter(lines, l -> array_contains(removed, l.line)), 0L, (n, l) -> n + l.words)"
-    )
+    if min_share > 0:
+        sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+        often = often.join(sizes, "host").where(F.col("documents") >= F.col("host_documents") * min_share)
+    # Removed lines meet the lines of every row; a line that is everywhere in a hot host is dealt by the row.
+    removed = often.select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    held = counted.select(
+        "row", "host", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"), F.explode("lines").alias("held")
+    ).select("row", "host", "salt", "held.line", "held.words")
+    lost = held.join(removed, ["host", "line", "salt"]).groupBy("row").agg(F.sum("words").alias("lost"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
     return (
-        counted.join(removed, "host", "left")
-        .withColumn("n_removed_words", F.coalesce(lost, F.lit(0).cast("bigint")))
+        counted.drop("lines").join(lost, "row", "left")
+        .withColumn("n_removed_words", F.coalesce("lost", F.lit(0).cast("bigint")))
         .withColumn("base_failed", failed)
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

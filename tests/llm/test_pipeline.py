@@ -50,3 +50,11 @@ def test_stages_take_awkward_rows(spark, data, framed, awkward, empty):
             assert set(ids) <= {d for d, _ in rows} and ids.count(900_005) == (0 if empty else 1)
         else:
             assert out.count() == len(rows)
+
+
+def test_frequent_lines_of_a_large_host(spark, data, framed):
+    """Texts that are mostly a line which 60 texts share are rejected, however many other texts their host has."""
+    own, menu = " ".join(f"w{i}" for i in range(60)), " ".join(f"menu{i}" for i in range(80))
+    rows = [(3 * i + 1, f"{own} {i}" + (f"\n{menu}" if i < 60 else f"\nrare {menu}" if i < 109 else "")) for i in range(600)]
+    got = {r.doc_id for r in corpus_pipeline.quality(spark, framed(rows), data).collect()}
+    assert got == {3 * i + 1 for i in range(60, 600)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockledger.llm import pii
 from stockledger.llm.jaccard import jaccard_join
-from stockledger.llm.lines import quality_rules
+from stockledger.llm.lines import cleaned
 from stockledger.llm.pieces import encode_decode
 from stockledger.llm.queries import piece_model, table
 from stockledger.llm.shared import semi, shared_folder, without, written
@@ -24,10 +24,8 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, lines limited by number alone; rows are told apart by id and text."""
-    rejected = written(quality_rules(docs, min_share=0).where(~F.col("kept")).select("doc_id", "text_key").distinct())
-    keyed = _documents(docs).withColumn("text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return without(keyed, rejected, "doc_id", "text_key").select(*COLUMNS)
+    """Documents that the quality rules keep, without the lines that too many texts of their source hold."""
+    return cleaned(_documents(docs), min_share=0)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

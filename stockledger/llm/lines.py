@@ -13,10 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.llm.shared import WordHashes, as_bytes, mixed, slices, word_hashes, written
+from stockledger.llm.shared import BROADCAST_ROWS, WordHashes, as_bytes, mixed, slices, word_hashes, written
 
 # Fixed values of the base rules.
 MIN_WORDS = 50
@@ -79,7 +79,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own: dict[int, int] = {}
             for line in held:
                 words = line.lower().split()
-                line_key = xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
+                line_key = xxhash.xxh64_intdigest(b" ".join(words), seed=42)  # as _line_key has it
+                line_key -= 2**64 if line_key >= 2**63 else 0
                 own[line_key] = own.get(line_key, 0) + len(words)
             kept.append([{"line": k, "words": v} for k, v in own.items()])
         keys = np.array([xxhash.xxh64_intdigest(t, seed=42) for t in texts], np.uint64).view(np.int64)
@@ -92,6 +93,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def _line_key(line: Column) -> Column:
+    """The key of a line: its words, A to Z lower-cased, with one space between."""
+    lower = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.xxhash64(F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " ")))
+
+
+def _host(host: str) -> Column:
+    return F.coalesce(F.col(host).cast("string"), F.lit(""))
+
+
 def quality_rules(
     docs: DataFrame,
     host: str = "source",
@@ -106,11 +117,45 @@ def quality_rules(
     rows give repeated rows. An empty table gives an empty one. text_key is xxhash64 of the text (null: empty). Other
     columns do not matter.
     """
-    own = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
-        "text",
+    return _judged(docs, host, min_documents, min_share, min_kept_share).drop("host", "removed")
+
+
+def cleaned(
+    docs: DataFrame,
+    host: str = "source",
+    min_documents: int = MIN_DOCUMENTS,
+    min_share: float = MIN_SHARE,
+    min_kept_share: float = MIN_KEPT_SHARE,
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, all columns, texts without their removed lines.
+
+    The other lines of a text stay as they are, blank ones too; a column n_chars follows a text that has changed.
+    """
+    judged = _judged(docs, host, min_documents, min_share, min_kept_share)
+    keys = ["doc_id", "host", "text_key"]
+    edits = written(judged.where("NOT kept OR n_removed_words > 0").select(*keys, "kept", "removed").distinct())
+    few = (edits.agg(F.sum(F.size("removed") + 1)).first()[0] or 0) <= BROADCAST_ROWS // 4
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"), _host(host).alias("host"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"),
     )
+    named = edits.withColumnsRenamed({k: f"edit_{k}" for k in keys})
+    same = [keyed[k].eqNullSafe(named[f"edit_{k}"]) for k in keys]
+    left = keyed.join(F.broadcast(named) if few else named, same, "left").where("kept IS NULL OR kept")
+    held = F.filter(F.split(F.col("_row.text"), "\n", -1), lambda x: ~F.array_contains("removed", _line_key(x)))
+    changed = F.col("removed").isNotNull()
+    text = F.when(changed, F.array_join(held, "\n")).otherwise(F.col("_row.text"))
+    out = left.withColumn("_text", text)
+    made = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        made["n_chars"] = F.when(changed, F.length("_text").cast(kind)).otherwise(F.col("_row.n_chars"))
+    return out.select(*[made.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+
+
+def _judged(docs: DataFrame, host: str, min_documents: int, min_share: float, min_kept_share: float) -> DataFrame:
+    """The rows of :func:`quality_rules` with their host and the keys of their removed lines."""
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _host(host).alias("host"), "text")
     counted = written(
         as_bytes(own, "host", "doc_id").mapInArrow(_counted, _COUNTED).withColumn("row", F.monotonically_increasing_id())
     )
@@ -130,7 +175,9 @@ def quality_rules(
     held = counted.select(
         "row", "host", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"), F.explode("lines").alias("held")
     ).select("row", "host", "salt", "held.line", "held.words")
-    lost = held.join(removed, ["host", "line", "salt"]).groupBy("row").agg(F.sum("words").alias("lost"))
+    lost = held.join(removed, ["host", "line", "salt"]).groupBy("row").agg(
+        F.sum("words").alias("lost"), F.array_sort(F.collect_list("line")).alias("removed")
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
@@ -141,6 +188,7 @@ def quality_rules(
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             (~F.col("base_failed") & (F.col("n_words") - F.col("n_removed_words") >= min_kept_share * F.col("n_words"))).alias("kept"),
-            "n_removed_words", "text_key",
+            "n_removed_words", "text_key", "host",
+            F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"),
         )
     )

@@ -58,3 +58,15 @@ def test_frequent_lines_of_a_large_host(spark, data, framed):
     rows = [(3 * i + 1, f"{own} {i}" + (f"\n{menu}" if i < 60 else f"\nrare {menu}" if i < 109 else "")) for i in range(600)]
     got = {r.doc_id for r in corpus_pipeline.quality(spark, framed(rows), data).collect()}
     assert got == {3 * i + 1 for i in range(60, 600)}
+
+
+def test_frequent_lines_leave_the_texts(spark, data, framed):
+    """Kept texts go on without the lines that too many texts share, all else as it was; n_chars follows."""
+    own = {i: "\n".join(" ".join(f"w{i}x{k}y{j}é" for j in range(20)) for k in range(3)) for i in range(63)}
+    rows = [(3 * i + 1, f" {own[i]}\n\n{'SHARED  Menu' if i % 2 else 'Shared menu '}\tline\nlast\u00a0 {i}\n") for i in range(60)]
+    rows += [(9000, f"{own[60]}\nShared menu line"), (None, f"{own[61]}\nshared Menu line"), (9001, f"{own[62]}\n\n")]
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.quality(spark, framed(rows), data).collect()}
+    for d, t in rows:
+        here = d is None or d % 3  # a source of its own has the others
+        want = "\n".join(x for x in t.split("\n") if "shared" not in x.lower()) if here else t
+        assert got[d] == (want, len(want) if want != t else 0)

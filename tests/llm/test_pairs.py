@@ -98,6 +98,23 @@ def test_repeated_passages_are_found(spark, data, documents):
         assert r.similarity == pytest.approx(len(a & b) / len(a | b)) and r.similarity >= 0.75
 
 
+def test_stray_shingles_do_not_hide_a_passage(monkeypatch):
+    """A phrase that both texts have at other distances from a passage; the passage is found all the same."""
+    rng = np.random.default_rng(3)
+    for same in (46, 60, 200):
+        for limit in (10**6, 0):
+            monkeypatch.setattr(passages, "MATCHES", limit)
+            whole, stray = rng.integers(1, 2**62, same).astype(np.uint64), np.array([7], np.uint64)
+            x, y = (np.concatenate([rng.integers(1, 2**62, 9), whole, rng.integers(1, 2**62, n), stray]).astype(np.uint64)
+                    for n in (same // 4, same // 2))
+            assert passages.verified(x, y) == [(9, 9 + same, 9, 9 + same, 1.0)]
+            y[9 + same // 2 - 2 : 9 + same // 2 + 1] = rng.integers(1, 2**62, 3)  # and one that is not verbatim
+            assert [r[:4] for r in passages.verified(x, y)] == [(9, 9 + same, 9, 9 + same)]
+            two = passages.verified(np.concatenate([x, x[::-1]]), np.concatenate([y[::-1], y]))
+            assert len(two) >= 2
+            assert passages.verified(x[:54], y[55:]) == []
+
+
 def test_passages_of_awkward_rows(framed, documents, awkward):
     passages_of = passages.near_passages(framed(documents[:20] + awkward)).collect()
     assert all(r.a < r.b for r in passages_of)

@@ -2,9 +2,9 @@
 
 Four base patterns and looser ones propose overlapping candidates with their positions. Each candidate
 is reduced to a few small integers about its format and its context. The trees are fitted on counts of
-these over all candidates, labelled by the strict validators of the base kinds. A threshold per kind is
+these over all candidates, labelled by the validator of their own form. A threshold per kind is
 the lowest that keeps the wanted precision on documents set aside. Valid base spans always stay;
-looser candidates join them if they score enough and overlap no better span.
+looser candidates join them if they are valid, score enough and overlap no better span.
 
 Texts are only touched by column expressions. The driver sees the table of counts, whose size is bounded by
 the number of bins, and fits the trees on it.
@@ -34,7 +34,8 @@ BASE = {
 # Looser forms of the same kinds; they overlap the base patterns and each other.
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+"
-    r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
+    # A full stop with a space behind it only ends a sentence.
+    r"(?:(?:\.|\x20\.\x20?|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63}+){1,8}+",
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}([\x20./_-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+])(?:00[0-9]{1,3}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
@@ -48,7 +49,7 @@ CUES = {
     "phone": r"(?i)phone|tel|call|mobile|fax",
 }
 
-FEATURES = ["kind", "digits", "length", "separators", "before", "after", "cue", "letters"]
+FEATURES = ["kind", "digits", "length", "separators", "before", "after", "cue", "letters", "form"]
 
 ROUNDS, DEPTH, RATE = 24, 2, 0.4
 
@@ -79,7 +80,22 @@ def luhn(digits: Column) -> Column:
 _PART = "0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
-def _valid(kind: str, text: Column) -> Column:
+# Top-level domains a loose e-mail address may end in.
+_DOMAINS = (
+    "com|org|net|edu|gov|mil|int|arpa|info|biz|name|pro|aero|coop|museum|jobs|mobi|travel|cat|tel|asia|post|app|dev|xyz|online|"
+    "site|shop|blog|tech|cloud|email|a[cdefgilmoqrstuwxz]|b[abdefghijmnorstvwyz]|c[acdfghiklmnoruvwxyz]|d[ejkmoz]|e[ceghrstu]|"
+    "f[ijkmor]|g[abdefghilmnpqrstuwy]|h[kmnrtu]|i[delmnoqrst]|j[emop]|k[eghimnprwyz]|l[abcikrstuvy]|m[acdeghklmnopqrstuvwxyz]|"
+    "n[acefgilopruz]|om|p[aefghklmnrstwy]|qa|r[eosuw]|s[abcdeghijklmnorstuvxyz]|t[cdfghjklmnortvwz]|u[agksyz]|v[aceginu]|w[fs]|"
+    "y[et]|z[amw]"
+)
+
+
+def _valid(kind: str, text: Column, base: bool) -> Column:
+    if not base and kind == "email":
+        return text.rlike(rf"(?i)(?:\.|\(dot\)|\[dot\])\x20?(?:{_DOMAINS})$")
+    if not base and kind == "ip":
+        # Eight groups of which each has two digits are a hardware address or times.
+        return ~text.rlike("^(?:[0-9A-Fa-f]{2}:){7}[0-9A-Fa-f]{2}$")
     digits = _only_digits(text)
     if kind == "card":
         return F.length(digits).between(16, 19) & luhn(digits)
@@ -133,12 +149,13 @@ def candidates(docs: DataFrame) -> DataFrame:
             separators = F.length(F.regexp_replace(m, "[0-9A-Za-z]", ""))
             return F.struct(
                 F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lit(base).alias("base"),
-                _valid(kind, m).alias("valid"),
+                _valid(kind, m, base).alias("valid"),
                 F.struct(
                     F.lit(KINDS.index(kind)).alias("kind"), _bin(digits, _DIGIT_BINS).alias("digits"),
                     _bin(F.length(m), _LENGTH_BINS).alias("length"), F.least(separators, F.lit(8)).alias("separators"),
                     _class_of(near).alias("before"), _class_of(behind).alias("after"),
                     before.rlike(CUES[kind]).cast("int").alias("cue"), m.rlike("[A-Za-z]").cast("int").alias("letters"),
+                    _valid(kind, m, base).cast("int").alias("form"),
                 ).alias("features"),
             )
 
@@ -250,7 +267,7 @@ def chosen(found: DataFrame, model: Model) -> DataFrame:
         return (a["end"] <= b["start"]) | (b["end"] <= a["start"])
 
     loose = F.transform(
-        F.filter("found", lambda c: ~c["base"] & ~F.exists("_base", lambda b: ~apart(b, c))),
+        F.filter("found", lambda c: ~c["base"] & c["valid"] & ~F.exists("_base", lambda b: ~apart(b, c))),
         lambda c: c.withField("score", model.score_column(c["features"])),
     )
     marked = marked.withColumn("_loose", F.filter(loose, lambda c: c["score"] >= F.element_at(limits, c["kind"])))

@@ -55,3 +55,21 @@ def test_trees_learn_a_format(spark):
     model = pii.fit(found.select("doc_id", "found"))
     assert model.trees and model.thresholds["phone"] < math.inf
     assert all(model.score(dict.fromkeys(pii.FEATURES, 0)) < 20 for _ in range(1))
+
+
+def test_loose_spans_do_not_depend_on_the_mix(framed):
+    """True loose spans are taken and false ones are not, whether a hundredth or half of the candidates are false."""
+    true = {
+        "email": "joe{i} @ host{i}.com", "ip": "2001:db8:0:1:0:0:{i:x}:a1", "card": "4111.1111.1111.1111", "phone": "(212) 555-{i:04d}",
+    }
+    false = {"email": "word{i} @ word{i}.Then", "ip": "256.1.{i}.999", "card": "9999.8888.7777.6666", "phone": "+1 {i:04d}"}
+    for every in (100, 2):
+        rows, want = [], {}
+        for n in range(800):
+            kind, i = pii.KINDS[n % 4], n // 4
+            wrong = i % every == 1
+            span = (false if wrong else true)[kind].format(i=i)
+            rows.append((n, f"so {span}. Then {span if n % 8 < 4 else 'more'}"))
+            want[n] = [] if wrong else [(kind, 3, 3 + len(span))] + [(kind, 10 + len(span), 10 + 2 * len(span))] * (n % 8 < 4)
+        got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.personal_data(framed(rows)).collect()}
+        assert {n: (got[n], want[n]) for n in want if got[n] != want[n]} == {}

@@ -24,7 +24,7 @@ def differences(df, con, sql: str) -> str:
     """Empty when both give the same bag of rows under the same column names and types."""
     names = sorted(df.columns)
     described = con.execute(f"DESCRIBE {sql}").fetchall()
-    types = {d[0]: {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean"}.get(d[1], d[1]) for d in described}
+    types = {d[0]: {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean", "INTEGER": "int"}.get(d[1], d[1]) for d in described}
     if types != dict(df.dtypes):
         return f"types {dict(df.dtypes)} and {types}"
     spark_rows = Counter(tuple(r[n] for n in names) for r in df.collect())

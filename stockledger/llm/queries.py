@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger.llm import chat, lines, oracles, pii
+from stockledger.llm.audit import source_divergence
+from stockledger.llm.exact import exact_duplicates
 from stockledger.llm.jaccard import jaccard_join
 from stockledger.llm.passages import near_passages
 from stockledger.llm.pieces import encode_decode
@@ -16,6 +18,7 @@ from stockledger.llm.quality import quality_scores
 from stockledger.llm.shards import shard_by_bytes
 from stockledger.llm.suffixes import substring_dedup
 from stockledger.llm.tiling import contaminated
+from stockledger.llm.zones import cluster
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +107,18 @@ def op9_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_segment_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_zone_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_extendible_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("chain")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_boosted_pii": op1_boosted_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -115,10 +130,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_histogram_sort": op9_histogram_sort,
     "op10_string_tiling": op10_string_tiling,
+    "op11_segment_trees": op11_segment_trees,
+    "op12_zone_maps": op12_zone_maps,
+    "op13_extendible_hash": op13_extendible_hash,
 }
 
 ORACLES: dict[str, str] = {
     "op5_ngram_jaccard": oracles.OP5,
     "op7_line_frequency": oracles.op7(lines.MIN_DOCUMENTS, lines.MIN_SHARE, lines.MIN_KEPT_SHARE),
     "op8_chat_formatting": oracles.OP8,
+    "op11_segment_trees": oracles.OP11,
+    "op12_zone_maps": oracles.op12(),
+    "op13_extendible_hash": oracles.OP13,
 }

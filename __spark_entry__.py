@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 import os
 import sys
 import uuid
 from collections.abc import Callable, Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # however this file is loaded
 
 from stockledger.functions import (  # noqa: E402
-    long_from_bytes,
     long_to_bytes,
     non_negative,
+    or_unknown,
     strict_long,
     upper_line,
+    zero_fill,
 )
 from stockledger.operators import (  # noqa: E402
     asof_lookup,
@@ -43,9 +43,9 @@ from stockledger.operators import (  # noqa: E402
 from stockledger.plans import GivenFeeds, Ledger  # noqa: E402
 from stockledger.schemas import UNKNOWN_CATEGORY  # noqa: E402
 from stockledger.sources import reads  # noqa: E402
-from stockledger.sources.changes import json_changes, pull_after  # noqa: E402
-from stockledger.sources.kept import KeptTables, shared_dir  # noqa: E402
-from stockledger.sources.sinks import json_documents, latest_of_changes, published, to_index, topic_records  # noqa: E402
+from stockledger.sources.changes import json_changes, long_pairs, pull_after  # noqa: E402
+from stockledger.sources.kept import BatchLog, KeptTables, shared_dir  # noqa: E402
+from stockledger.sources.sinks import json_documents, latest_of_changes, published, published_stock, topic_records  # noqa: E402
 from stockledger.sources.tables import (  # noqa: E402
     OrderFeeds,
     OrderTables,
@@ -54,7 +54,19 @@ from stockledger.sources.tables import (  # noqa: E402
     event_stream,
     timed_feeds,
 )
-from stockledger.streaming import category_at_arrival, keep, keep_category_totals, keep_windows  # noqa: E402
+from stockledger.streaming import (  # noqa: E402
+    BoundedWindows,
+    CheckedFeed,
+    closing_row,
+    keep,
+    keep_category_rows,
+    keep_category_totals,
+    keep_interval_join,
+    keep_interval_sums,
+    keep_regrouped,
+    keep_windows,
+    latest_names,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -117,14 +129,10 @@ def changelog_latest(t: OrderTables) -> DataFrame:
 
 
 def published_topics(t: OrderTables) -> DataFrame:
-    """All eleven totals as the rows of their topics."""
+    """All eleven totals as the rows of their topics: one pass of the lines by item and category, one by customer."""
     ledger = Ledger(t.feeds())
-    wide = [
-        (ledger.item_totals(), "item_totals", "item_id"),
-        (ledger.customer_totals(), "customer_totals", "customer_id"),
-        (ledger.category_totals(), "category_totals", "category_id"),
-    ]
-    return reduce(DataFrame.unionByName, [published(*w) for w in wide])
+    customers = published(ledger.customer_totals(), "customer_totals", "customer_id")
+    return published_stock(ledger).unionByName(customers)
 
 
 def items_json(t: OrderTables) -> DataFrame:
@@ -134,12 +142,8 @@ def items_json(t: OrderTables) -> DataFrame:
 def long_topic_records(t: OrderTables) -> DataFrame:
     """Items at hand as topic bytes, shown in hex, and read back."""
     records = topic_records(_hand(t))
-    return records.select(
-        F.hex("key").alias("key_hex"),
-        F.hex("value").alias("value_hex"),
-        long_from_bytes("key").alias("key"),
-        long_from_bytes("value").alias("value"),
-    )
+    shown = records.select("*", F.hex("key").alias("ts"), F.hex("value").alias("seq"))
+    return long_pairs(shown).withColumnsRenamed({"ts": "key_hex", "seq": "value_hex"})
 
 
 # Projections and checks.
@@ -381,6 +385,7 @@ def window_fetch(t: OrderTables) -> DataFrame:
 # one's checkpoint; what is kept is then read.
 
 SLICES = 4
+_DAY = 24 * 3600 * 1_000_000
 
 # Ship dates at which the slices of timed feeds begin, in microseconds.
 _SLICE_STARTS = [757382400000000, 820454400000000, 883612800000000]
@@ -409,7 +414,7 @@ def _streamed(t: OrderTables, slice_of: dict[str, str], start: Callable[[OrderTa
 
 
 def _by_hash(*names: str) -> dict[str, str]:
-    first = {"lineitem": "l_orderkey", "part": "p_partkey", "customer": "c_custkey", "events": "event_id"}
+    first = {"lineitem": "l_orderkey", "part": "p_partkey", "customer": "c_custkey", "orders": "o_orderkey", "events": "event_id"}
     return {n: f"pmod(xxhash64({first[n]}), {SLICES})" for n in names}
 
 
@@ -451,19 +456,24 @@ def stream_items_with_customer(t: OrderTables) -> DataFrame:
     return tables.named("items-with-cust-store")
 
 
-def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
-    """All facts in order of their time, each under the category its item then had."""
+def _totals_at_arrival(t: OrderTables) -> KeptTables:
+    """Category totals and items kept from all facts in order of their time."""
     timed, names = timed_feeds(t.table), ("item", "customer", "category", "replenishment", "sale", "ret")
     rows = {n: getattr(timed, n) for n in names}
     work, tables = _work_dir(t), _new_tables(t)
-    day = 24 * 3600 * 1_000_000
     for _ in _arrivals(rows, dict.fromkeys(names, _SLICE_OF.format("seq")), f"{work}/in"):
         live = GivenFeeds(
             **{n: t.spark.readStream.schema(df.schema).parquet(f"{work}/in/{n}.parquet") for n, df in rows.items()}
         )
         keep_category_totals(
-            live, tables, f"{work}/checkpoint", bucket=day, availableNow=True
+            live, tables, f"{work}/checkpoint", bucket=_DAY, availableNow=True
         ).awaitTermination()
+    return tables
+
+
+def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
+    """All facts in order of their time, each under the category its item then had."""
+    tables = _totals_at_arrival(t)
     names = ("refill-qty-by-cat", "sale-qty-by-cat", "rets-qty-by-cat", "items-at-hand-per-cat")
     stores = [f"{n}-store" for n in names] + [f"{n}-store-0.8" for n in names[:3]]
     return reduce(
@@ -473,16 +483,19 @@ def stream_category_totals_at_arrival(t: OrderTables) -> DataFrame:
 
 
 def stream_category_rows(t: OrderTables) -> DataFrame:
-    """Sales one by one with the category their item had when they came, from keyed state."""
+    """Sales one by one with the category their item had when they came."""
     timed, work = timed_feeds(t.table), _work_dir(t)
     rows = {"sale": timed.sale, "item": timed.item}
+    tables, log = _new_tables(t), BatchLog(t.spark, f"{work}/out")
     for _ in _arrivals(rows, dict.fromkeys(rows, _SLICE_OF.format("seq")), f"{work}/in"):
         sale, item = (
             t.spark.readStream.schema(df.schema).parquet(f"{work}/in/{n}.parquet") for n, df in rows.items()
         )
-        found = category_at_arrival(sale.withColumn("kind", F.lit("sold")), item, "seq")
-        to_index(found, f"{work}/out", f"{work}/checkpoint", fmt="parquet", availableNow=True).awaitTermination()
-    return t.spark.read.parquet(f"{work}/out").select("category_id", "kind", "quantity")
+        facts = sale.withColumn("kind", F.lit("sold"))
+        keep_category_rows(
+            facts, item, tables, log, "sales", f"{work}/checkpoint", bucket=_DAY, availableNow=True
+        ).awaitTermination()
+    return log.read("sales", "category_id bigint, kind string, quantity bigint")
 
 
 def stream_windowed_count(t: OrderTables) -> DataFrame:
@@ -497,6 +510,198 @@ def stream_windowed_count(t: OrderTables) -> DataFrame:
     return _windows(tables.windows("counts").withColumnRenamed("key", "event_type"))
 
 
+def stream_window_fetch(t: OrderTables) -> DataFrame:
+    """One key's windows of a store that a stream fills."""
+    tables = _new_tables(t)
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        live = windowed_total(event_stream(arriving.stream("events")), "event_type", "ts", "1 day")
+        return keep_windows(live, tables, "daily", "event_type", checkpoint, availableNow=True)
+
+    _streamed(t, _by_hash("events"), start)
+    return reads.window_fetch(tables.windows("daily"), "key", "click", 1704153600000, 1705276800000)
+
+
+# Days of January 2024 at which the slices of the events begin.
+_EVENT_SLICE = "CASE WHEN ts < '2024-01-09' THEN 0 WHEN ts < '2024-01-16' THEN 1 WHEN ts < '2024-01-23' THEN 2 ELSE 3 END"
+_EVENTS_END = datetime(2030, 1, 1)
+
+
+def _live_clicks(t: OrderTables, start: Callable[[DataFrame, DataFrame, str], StreamingQuery]) -> None:
+    """Run a stream of clicks and purchases, the purchases a slice behind, until rows that close both feeds."""
+    clicks, purchases = _clicks_and_purchases(t)
+    rows, work = {"clicks": clicks, "purchases": purchases}, _work_dir(t)
+    slices = {"clicks": _EVENT_SLICE, "purchases": f"least({_EVENT_SLICE} + 1, {SLICES - 1})"}
+
+    def go_on() -> None:
+        live = [t.spark.readStream.schema(df.schema).parquet(f"{work}/in/{n}.parquet") for n, df in rows.items()]
+        start(*live, f"{work}/checkpoint").awaitTermination()
+
+    for _ in _arrivals(rows, slices, f"{work}/in"):
+        go_on()
+    for n, df in rows.items():
+        closing_row(df, _EVENTS_END, "user_id", -1).write.mode("append").parquet(f"{work}/in/{n}.parquet")
+    go_on()
+
+
+def stream_interval_left(t: OrderTables) -> DataFrame:
+    """Clicks with the purchases within 50 minutes, joined live."""
+    log, joined = BatchLog(t.spark, f"{_work_dir(t)}/log"), []
+
+    def start(clicks: DataFrame, purchases: DataFrame, checkpoint: str) -> StreamingQuery:
+        joined[:] = [interval_left_join(clicks, purchases, "user_id", late="1 hour").schema]
+        return keep_interval_join(
+            clicks, purchases, "user_id", log, "pairs", checkpoint, late="1 hour", availableNow=True
+        )
+
+    _live_clicks(t, start)
+    return log.read("pairs", joined[0]).where(F.col("ts") < F.lit(_EVENTS_END)).select(
+        "user_id",
+        F.col("event_id").alias("click_id"),
+        F.col("right_event_id").alias("purchase_id"),
+        F.col("right_cents").alias("cents"),
+    )
+
+
+def stream_interval_sum(t: OrderTables) -> DataFrame:
+    """Per user, the running sum of the purchases that clicks met, kept live."""
+    log, tables = BatchLog(t.spark, f"{_work_dir(t)}/log"), _new_tables(t)
+
+    def start(clicks: DataFrame, purchases: DataFrame, checkpoint: str) -> StreamingQuery:
+        return keep_interval_sums(
+            clicks, purchases, "user_id", "cents", log, tables, "bought", checkpoint, late="1 hour",
+            before=_EVENTS_END, availableNow=True,
+        )
+
+    _live_clicks(t, start)
+    return tables.view("bought").withColumnRenamed("key", "user_id")
+
+
+def stream_retracted_by_category(t: OrderTables) -> DataFrame:
+    """Sold by category after every batch: an item that moves, or sells, is taken back with its old total and added with its new one."""
+    timed, work, tables = timed_feeds(t.table), _work_dir(t), _new_tables(t)
+    rows = {"sale": timed.sale, "item": timed.item}
+
+    def regroup(batch_id: int) -> None:
+        keep_regrouped(
+            tables, "item_totals", "by_category", batch_id,
+            lambda row: or_unknown(row["category_id"]), lambda row: zero_fill(row["sold"]),
+        )
+
+    for _ in _arrivals(rows, dict.fromkeys(rows, _SLICE_OF.format("seq")), f"{work}/in"):
+        sale, item = (
+            t.spark.readStream.schema(df.schema).parquet(f"{work}/in/{n}.parquet") for n, df in rows.items()
+        )
+        live = Ledger(GivenFeeds(item, item, item, sale, sale, sale)).item_totals(["sold"], ["category_id"])
+        keep(
+            live, tables, "item_totals", "item_id", f"{work}/checkpoint", only_changed=True, then=regroup, availableNow=True
+        ).awaitTermination()
+    after = [
+        tables.view_at("by_category", n).where("members > 0").select(
+            F.lit(n).cast("bigint").alias("batch_id"), F.col("key").alias("category_id"), F.col("value").alias("quantity"), "members"
+        )
+        for n in range(tables.last_common("item_totals", "by_category") + 1)
+    ]
+    return reduce(DataFrame.unionByName, after)
+
+
+def changelog_real_changes(t: OrderTables) -> DataFrame:
+    """The largest sale of every item, published only when a batch raises it."""
+    tables = _new_tables(t)
+    shipped = {"lineitem": _SLICE_OF.format("unix_micros(CAST(l_shipdate AS TIMESTAMP))")}
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        largest = reduce_by_key(OrderFeeds(arriving.stream, t.table).sale, "item_id", "quantity", "max")
+        return keep(largest, tables, "largest", "item_id", checkpoint, only_changed=True, availableNow=True)
+
+    _streamed(t, shipped, start)
+    return tables.changes("largest").select("key", F.col("max_quantity").alias("value"), "batch_id")
+
+
+def _bounded_windows(t: OrderTables) -> BoundedWindows:
+    """Daily counts of events of which every tenth comes one slice late, every hundredth two."""
+    events, work = event_stream(t.table("events")), _work_dir(t)
+    log = BatchLog(t.spark, f"{work}/log")
+    windows = BoundedWindows(log, events.schema, "event_type", "ts", "1 day", timedelta(days=2))
+    for _ in _arrivals({"events": events}, {"events": _LATE_SLICE}, f"{work}/in"):
+        live = t.spark.readStream.schema(events.schema).parquet(f"{work}/in/events.parquet")
+        windows.keep(live, f"{work}/checkpoint", availableNow=True).awaitTermination()
+    return windows
+
+
+_LATE_SLICE = (
+    f"least({_EVENT_SLICE} + CASE WHEN event_id % 100 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END, {SLICES - 1})"
+)
+
+
+def stream_bounded_windows(t: OrderTables) -> DataFrame:
+    return _windows(_bounded_windows(t).totals())
+
+
+def stream_late_rows(t: OrderTables) -> DataFrame:
+    """The events that came after their window was final."""
+    late = _bounded_windows(t).late_rows()
+    return late.select("event_id", "event_type", F.unix_millis("window_start").alias("window_start_ms"))
+
+
+def _checked(t: OrderTables, rows: DataFrame, key: str, number: str, amounts: list[str]) -> DataFrame:
+    """Both outputs of a live check: the numbers that passed, and the texts that did not with the reason."""
+    work = _work_dir(t)
+    feed = CheckedFeed(BatchLog(t.spark, f"{work}/log"), "feed", rows.schema, [number], amounts)
+    for _ in _arrivals({"feed": rows}, {"feed": f"pmod(xxhash64({key}), {SLICES})"}, f"{work}/in"):
+        live = t.spark.readStream.schema(rows.schema).parquet(f"{work}/in/feed.parquet")
+        feed.keep(live, f"{work}/checkpoint", availableNow=True).awaitTermination()
+    passed = feed.accepted().withColumnsRenamed({number: "value"})
+    return passed.unionByName(feed.rejected().withColumnRenamed(number, "rejected"), allowMissingColumns=True)
+
+
+def stream_page_numbers(t: OrderTables) -> DataFrame:
+    segment = F.regexp_extract("url", r"([^/?#]*)(?:[?#].*)?$", 1)
+    return _checked(t, t.table("pages").select("page_id", segment.alias("number")), "page_id", "number", [])
+
+
+def stream_balances(t: OrderTables) -> DataFrame:
+    balance = F.floor("c_acctbal").cast("bigint").cast("string")
+    rows = t.table("customer").select(F.col("c_custkey").alias("customer_id"), balance.alias("quantity"))
+    return _checked(t, rows, "customer_id", "quantity", ["quantity"])
+
+
+def stream_reads_at_batch(t: OrderTables) -> DataFrame:
+    """Stock by category and the items' categories, both as each batch left them."""
+    tables, read = _totals_at_arrival(t), []
+    for n in range(tables.last_common("category_totals", "item_latest") + 1):
+        items = tables.view_at("item_latest", n).select("key", F.col("category_id").alias("value"))
+        stock = tables.named("items-at-hand-per-cat-store", n)
+        for name, rows in (("item_latest", items), ("items-at-hand-per-cat-store", stock)):
+            read.append(rows.select(F.lit(n).cast("bigint").alias("batch_id"), F.lit(name).alias("name"), "key", "value"))
+    return reduce(DataFrame.unionByName, read)
+
+
+def stream_customer_names(t: OrderTables) -> DataFrame:
+    """The store of customer names, which orders of every slice re-send."""
+    tables = _new_tables(t)
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        feed = customer_changes(arriving.stream("customer"), arriving.stream("orders"), t.table("customer"))
+        names = latest_names(feed, "customer_id")
+        return keep(names, tables, "customer_latest", "customer_id", checkpoint, only_changed=True, availableNow=True)
+
+    _streamed(t, _by_hash("customer", "orders"), start)
+    return tables.named("customer-store")
+
+
+def stream_category_names(t: OrderTables) -> DataFrame:
+    """The store of category names, renamed by parts of every slice."""
+    tables = _new_tables(t)
+
+    def start(arriving: OrderTables, checkpoint: str) -> StreamingQuery:
+        names = latest_names(category_changes(arriving.stream("part")), "category_id")
+        return keep(names, tables, "category_latest", "category_id", checkpoint, only_changed=True, availableNow=True)
+
+    _streamed(t, _by_hash("part"), start)
+    return tables.named("category-store")
+
+
 QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "q1_replenished_by_item": _ledger(Ledger.replenished_by_item),
     "q2_sold_by_item": _ledger(Ledger.sold_by_item),
@@ -565,6 +770,18 @@ QUERIES: dict[str, Callable[[OrderTables], DataFrame]] = {
     "stream_category_totals_at_arrival": stream_category_totals_at_arrival,
     "stream_category_rows": stream_category_rows,
     "stream_windowed_count": stream_windowed_count,
+    "stream_window_fetch": stream_window_fetch,
+    "stream_interval_left": stream_interval_left,
+    "stream_interval_sum": stream_interval_sum,
+    "stream_retracted_by_category": stream_retracted_by_category,
+    "changelog_real_changes": changelog_real_changes,
+    "stream_bounded_windows": stream_bounded_windows,
+    "stream_late_rows": stream_late_rows,
+    "stream_page_numbers": stream_page_numbers,
+    "stream_balances": stream_balances,
+    "stream_reads_at_batch": stream_reads_at_batch,
+    "stream_customer_names": stream_customer_names,
+    "stream_category_names": stream_category_names,
 }
 
 
@@ -582,23 +799,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # The text operators and their pipeline, where their subpackage is there.
 
 
-def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    if not importlib.util.find_spec("stockledger.llm"):
+def _llm(of_queries: str, of_pipeline: str) -> dict:
+    """What the subpackage and the pipeline register; nothing where the one or the other cannot be imported."""
+    try:
+        found = dict(getattr(importlib.import_module("stockledger.llm.queries"), of_queries))
+    except ImportError:
         return {}
-    found = dict(importlib.import_module("stockledger.llm.queries").QUERIES)
-    if importlib.util.find_spec("corpus_pipeline"):
-        found["pipeline"] = importlib.import_module("corpus_pipeline").run
-    return found
+    try:
+        of_all = getattr(importlib.import_module("corpus_pipeline"), of_pipeline)
+    except ImportError:
+        return found
+    return found if of_all is None else found | {"pipeline": of_all}
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _llm("QUERIES", "run")
 
 
 def _llm_oracles() -> dict[str, str]:
-    if not importlib.util.find_spec("stockledger.llm"):
-        return {}
-    found = dict(importlib.import_module("stockledger.llm.queries").ORACLES)
-    if importlib.util.find_spec("corpus_pipeline"):
-        sql = importlib.import_module("corpus_pipeline").ORACLE_SQL
-        found |= {} if sql is None else {"pipeline": sql}
-    return found
+    return _llm("ORACLES", "ORACLE_SQL")
 
 
 # The same questions in SQL, written as the join chains they are usually asked as.
@@ -754,10 +973,64 @@ def _windows_sql(total: str, days: int) -> str:
         FROM ev, (SELECT unnest(range({days})) AS back) b GROUP BY 1, 2"""
 
 
+def _shipped_slice(ts: str) -> str:
+    return f"""CASE WHEN {ts} < '1994-01-01' THEN 0 WHEN {ts} < '1996-01-01' THEN 1
+        WHEN {ts} < '1998-01-01' THEN 2 ELSE 3 END"""
+
+
+def _regrouped_sql(n: int) -> str:
+    """Sold by category over the items and sales of slices 0 to n."""
+    return f"""SELECT CAST({n} AS BIGINT) AS batch_id, COALESCE(i.category_id, 999999) AS category_id,
+        CAST(SUM(COALESCE(s.q, 0)) AS BIGINT) AS quantity, COUNT(*) AS members
+        FROM (SELECT item_id, arg_max(category_id, ts) AS category_id FROM item_changes
+            WHERE {_shipped_slice("ts")} <= {n} GROUP BY 1) i
+        FULL JOIN (SELECT item_id, SUM(quantity) AS q FROM sale_ts WHERE {_shipped_slice("ts")} <= {n} GROUP BY 1) s
+        ON s.item_id = i.item_id GROUP BY 2"""
+
+
+def _at_batch_sql(n: int) -> str:
+    """Items and stock by category after slice n."""
+    return f"""SELECT CAST({n} AS BIGINT) AS batch_id, 'item_latest' AS name, item_id AS key, arg_max(category_id, ts) AS value
+        FROM item_changes WHERE {_shipped_slice("ts")} <= {n} GROUP BY item_id
+    UNION ALL SELECT {n}, 'items-at-hand-per-cat-store', c.category_id, CAST(COALESCE(a.q, 0) AS BIGINT)
+        FROM category c LEFT JOIN (SELECT COALESCE(i.category_id, 999999) AS category_id,
+            SUM(CASE WHEN f.kind = 's' THEN -f.quantity ELSE f.quantity END) AS q
+            FROM (SELECT * FROM ({_TIMED_FACTS}) x WHERE {_shipped_slice("ts")} <= {n}) f
+            ASOF LEFT JOIN item_changes i ON f.item_id = i.item_id AND f.ts >= i.ts GROUP BY 1) a
+        ON c.category_id = a.category_id"""
+
+
+# Events in the slices they arrive in, with the end of their day and whether it was final when they came.
+_LATE_EVENTS = f"""placed AS (SELECT *, date_trunc('day', ts) AS day, {_LATE_SLICE} AS slice FROM ev),
+    clock AS (SELECT s.slice, MAX(p.ts) - INTERVAL 2 DAY AS cut
+        FROM (SELECT DISTINCT slice FROM placed) s JOIN placed p ON p.slice < s.slice GROUP BY 1),
+    judged AS (SELECT p.*, COALESCE(p.day + INTERVAL 1 DAY <= c.cut, false) AS late
+        FROM placed p LEFT JOIN clock c ON c.slice = p.slice)"""
+
+
+def _checked_sql(key: str, number: str, ok: str, reason: str, rows: str) -> str:
+    return f"""SELECT {key}, CASE WHEN {ok} THEN CAST({number} AS BIGINT) END AS value,
+        CASE WHEN NOT ({ok}) THEN {number} END AS rejected, CASE WHEN NOT ({ok}) THEN '{reason}' END AS reason
+        FROM ({rows}) x"""
+
+
 def _latest_sql(key: str, value: str, changes: str) -> str:
     return f"SELECT {key}, arg_max({value}, seq) AS {value} FROM ({changes}) c GROUP BY {key}"
 
 
+_CUSTOMER_LATEST = _latest_sql(
+    "customer_id",
+    "name",
+    """SELECT c_custkey AS customer_id, c_name AS name, -1 AS seq FROM customer
+    UNION ALL SELECT c_custkey, concat(c_name, ' ', o_orderpriority), o_orderkey
+    FROM orders JOIN customer ON o_custkey = c_custkey""",
+)
+_CATEGORY_LATEST = _latest_sql(
+    "category_id",
+    "name",
+    "SELECT CAST(p_size AS BIGINT) AS category_id, p_name AS name, p_partkey AS seq FROM part",
+)
+
 ORACLES = {
     "q1_replenished_by_item": _with(_filled_sql("item", "item_id", "replenishment")),
     "q2_sold_by_item": _with(_filled_sql("item", "item_id", "sale")),
@@ -870,18 +1143,8 @@ ORACLES = {
         {_PAIRED} GROUP BY 1"""
     ),
     "item_latest": _latest_sql("item_id", "category_id", _VIEWS["item_changes"]),
-    "customer_latest": _latest_sql(
-        "customer_id",
-        "name",
-        """SELECT c_custkey AS customer_id, c_name AS name, -1 AS seq FROM customer
-        UNION ALL SELECT c_custkey, concat(c_name, ' ', o_orderpriority), o_orderkey
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
-    ),
-    "category_latest": _latest_sql(
-        "category_id",
-        "name",
-        "SELECT CAST(p_size AS BIGINT) AS category_id, p_name AS name, p_partkey AS seq FROM part",
-    ),
+    "customer_latest": _CUSTOMER_LATEST,
+    "category_latest": _CATEGORY_LATEST,
     "reduce_min_max": _with(
         """SELECT customer_id, MIN(quantity) AS min_quantity, MAX(quantity) AS max_quantity,
         CAST(SUM(quantity) AS BIGINT) AS sum_quantity FROM sale GROUP BY 1"""
@@ -937,6 +1200,40 @@ ORACLES = {
         f"SELECT COALESCE(i.category_id, 999999) AS category_id, 'sold' AS kind, f.quantity {_ASOF}"
     ),
     "stream_windowed_count": _with(_windows_sql("COUNT(*)", 2)),
+    "stream_window_fetch": _with(
+        f"""SELECT window_start_ms AS key, total AS value FROM ({_windows_sql("COUNT(*)", 1)}) w
+        WHERE event_type = 'click' AND window_start_ms BETWEEN 1704153600000 AND 1705276800000"""
+    ),
+    "stream_interval_left": _with(_INTERVAL),
+    "stream_interval_sum": _with(
+        f"""SELECT l.user_id, CAST(SUM(COALESCE(r.cents, 0)) AS BIGINT) AS cents
+        {_PAIRED} GROUP BY 1"""
+    ),
+    "stream_retracted_by_category": _with(" UNION ALL ".join(_regrouped_sql(n) for n in range(SLICES))),
+    "changelog_real_changes": _with(
+        f"""SELECT key, CAST(so_far AS BIGINT) AS value, CAST(batch_id AS BIGINT) AS batch_id
+        FROM (SELECT *, lag(so_far) OVER (PARTITION BY key ORDER BY batch_id) AS before
+            FROM (SELECT key, batch_id, MAX(q) OVER (PARTITION BY key ORDER BY batch_id) AS so_far
+                FROM (SELECT item_id AS key, {_shipped_slice("ts")} AS batch_id, MAX(quantity) AS q
+                    FROM sale_ts GROUP BY 1, 2)))
+        WHERE before IS NULL OR so_far > before"""
+    ),
+    "stream_bounded_windows": _with(
+        f"""SELECT event_type, epoch_ms(day) AS window_start_ms, COUNT(*) AS total
+        FROM (WITH {_LATE_EVENTS} SELECT * FROM judged) WHERE NOT late GROUP BY 1, 2"""
+    ),
+    "stream_late_rows": _with(
+        f"""SELECT event_id, event_type, epoch_ms(day) AS window_start_ms
+        FROM (WITH {_LATE_EVENTS} SELECT * FROM judged) WHERE late"""
+    ),
+    "stream_page_numbers": _checked_sql("page_id", "number", _LONG_TEXT, "unparsable: number", _PAGE_NUMBERS),
+    "stream_balances": _checked_sql(
+        "customer_id", "quantity", "CAST(quantity AS BIGINT) >= 0", "negative: quantity",
+        "SELECT c_custkey AS customer_id, CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS quantity FROM customer",
+    ),
+    "stream_reads_at_batch": _with(" UNION ALL ".join(_at_batch_sql(n) for n in range(SLICES))),
+    "stream_customer_names": f"SELECT customer_id AS key, name AS value FROM ({_CUSTOMER_LATEST}) x",
+    "stream_category_names": f"SELECT category_id AS key, name AS value FROM ({_CATEGORY_LATEST}) x",
 }
 
 

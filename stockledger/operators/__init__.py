@@ -1,4 +1,4 @@
-from stockledger.operators.checks import split_negative, split_unparsable
+from stockledger.operators.checks import split_negative, split_unparsable, with_reason
 from stockledger.operators.interval import interval_left_join, interval_left_sum
 from stockledger.operators.keyed import (
     latest_by_key,
@@ -27,5 +27,6 @@ __all__ = [
     "split_unparsable",
     "sum_by_key",
     "windowed_total",
+    "with_reason",
     "zero_filled",
 ]

@@ -23,3 +23,11 @@ def split_negative(df: DataFrame, column: str = "quantity") -> tuple[DataFrame,
     """Rows with a value of zero or more, and rows with a null or negative one."""
     ok = F.coalesce(F.col(column) >= 0, F.lit(False))
     return df.where(ok), df.where(~ok)
+
+
+def with_reason(df: DataFrame, numbers: Sequence[str], amounts: Sequence[str] = ()) -> DataFrame:
+    """Rows of texts with a ``reason``: the first column that is no whole number, or else the first negative amount; null where none is."""
+    bad = [F.when(try_long(c).isNull(), F.lit(f"unparsable: {c}")) for c in numbers]
+    below = [F.when(try_long(c) < 0, F.lit(f"negative: {c}")) for c in amounts]
+    none = F.lit(None).cast("string")
+    return df.withColumn("reason", F.coalesce(*bad, *below, none))

@@ -50,8 +50,8 @@ def interval_left_join(
     Right columns come back as ``right_<name>``. Streams need ``late``, the
     watermark of both sides; a left row without a match is then held until the
     watermark has passed it. ``salts`` splits every (key, bucket) that many ways,
-    at the price of that many copies of the right side; a row's salt is a hash of the
-    row, so a task that is run again deals its rows out alike.
+    at the price of that many copies of the right side. In batch a row's salt goes by its place, so equal rows spread; in a
+    stream it is a hash of the row. A task that is run again deals its rows out alike.
     """
     if clash := {f"right_{c}" for c in right.columns} & set(left.columns):
         raise ValueError(f"left columns that would be hidden: {sorted(clash)}")
@@ -64,7 +64,8 @@ def interval_left_join(
     )
     together = (F.col(key) == F.col(f"right_{key}")) & (F.col("__bucket") == F.col("__right_bucket"))
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        place = F.xxhash64(*left.columns) if left.isStreaming else F.monotonically_increasing_id()
+        salt = F.pmod(place, F.lit(salts)).cast("int")
         mine = mine.withColumn("__salt", salt)
         theirs = theirs.withColumn("__right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         together = together & (F.col("__salt") == F.col("__right_salt"))

@@ -49,26 +49,34 @@ def asof_lookup(
     ``default`` stands for a null value and for a fact before the first change. A change at
     the same instant as a fact counts as before it; of several changes at one instant the
     largest ``seq`` wins. ``ts`` may also be a bigint order, with ``bucket`` a number of
-    its units. The facts are read twice: once for the buckets they ask about, once whole.
+    its units. The facts are read twice: once for the instants they ask about, one row per key and instant
+    before the exchange, and once whole, to be joined with the answers on (key, instant). No
+    task orders facts, and adaptive execution splits the facts of a hot instant.
     """
     asked, told = _asked(facts, key, ts, bucket), _told(changes, key, value, ts, seq, bucket)
-    whole = F.struct(*[F.col(c) for c in facts.columns]).alias("__fact")
-    rows = asked(whole).withColumn("__rank", F.lit(1)).unionByName(
-        told.withColumn("__rank", F.lit(0)), allowMissingColumns=True
+    instants = (
+        asked().withColumn("__asked", F.lit(True))
+        .unionByName(told, allowMissingColumns=True)
+        .groupBy("__key", "__bin", "__at")
+        .agg(F.max_by("__told", "__seq").alias("__told"), F.max("__asked").alias("__asked"))
     )
-    ordered = Window.partitionBy("__key", "__bin").orderBy("__at", "__rank", "__seq")
+    ordered = Window.partitionBy("__key", "__bin").orderBy("__at")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = rows.withColumn("__own", F.last("__told", ignorenulls=True).over(so_far)).where("__rank = 1")
+    own = instants.withColumn("__own", F.last("__told", ignorenulls=True).over(so_far)).where("__asked")
     inherited = (
-        _bins(asked(), told)
+        _bins(instants)
         .withColumn("__carried", F.last("__tail", ignorenulls=True).over(_earlier_bins()))
         .where("__asked AND __carried IS NOT NULL")
         .select("__key", "__bin", "__carried")
     )
-    found = F.coalesce("__own", "__carried")["value"]
-    return own.join(inherited, ["__key", "__bin"], "left").select(
+    answers = own.join(inherited, ["__key", "__bin"], "left").select(
+        "__key", "__at", F.coalesce("__own", "__carried").alias("__found")
+    )
+    at, _ = _placed(_at(facts, ts), bucket)
+    rows = facts.select(F.struct(*[F.col(c) for c in facts.columns]).alias("__fact"), F.col(key).alias("__key"), at)
+    return rows.join(answers.where("__found IS NOT NULL"), ["__key", "__at"], "left").select(
         *[F.col("__fact")[c].alias(c) for c in facts.columns],
-        _or_default(found, default, changes.schema[value].dataType).alias(value),
+        _or_default(F.col("__found")["value"], default, changes.schema[value].dataType).alias(value),
     )
 
 
@@ -152,14 +160,11 @@ def _told(
     )
 
 
-def _bins(asked: DataFrame, told: DataFrame) -> DataFrame:
+def _bins(instants: DataFrame) -> DataFrame:
     """One row per (key, bucket): whether facts ask about it, and the last change in it."""
-    when = F.when(F.col("__told").isNotNull(), F.struct("__at", "__seq"))
-    return (
-        asked.withColumn("__asked", F.lit(True))
-        .unionByName(told, allowMissingColumns=True)
-        .groupBy("__key", "__bin")
-        .agg(F.max("__asked").alias("__asked"), F.max_by("__told", when).alias("__tail"))
+    when = F.when(F.col("__told").isNotNull(), F.col("__at"))
+    return instants.groupBy("__key", "__bin").agg(
+        F.max("__asked").alias("__asked"), F.max_by("__told", when).alias("__tail")
     )
 
 

@@ -39,12 +39,16 @@ class Ledger:
         moves = self.feeds.moves("customer_id", kinds)
         return spine_totals(self.feeds.customer, moves, "customer_id", kinds)
 
-    def category_moves(self, kinds: Sequence[str] = KINDS) -> DataFrame:
-        """Item totals under their item's latest category, unknown ones under the sentinel."""
+    def categorised_items(self, kinds: Sequence[str] = KINDS) -> DataFrame:
+        """Item totals with the items' latest category; a negative quantity fails, as by category it must."""
         moves = self.feeds.moves("item_id", kinds).select(
             "item_id", *[non_negative(k).alias(k) for k in kinds]
         )
-        items = spine_totals(self.feeds.item, moves, "item_id", kinds, ["category_id"])
+        return spine_totals(self.feeds.item, moves, "item_id", kinds, ["category_id"])
+
+    def category_moves(self, kinds: Sequence[str] = KINDS) -> DataFrame:
+        """Item totals under their item's latest category, unknown ones under the sentinel."""
+        items = self.categorised_items(kinds)
         return items.select(or_unknown("category_id").alias("category_id"), *kinds)
 
     def category_totals(

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockledger.functions import long_to_bytes
+from stockledger.functions import long_to_bytes, or_unknown
 from stockledger.operators.keyed import latest_by_key
-from stockledger.plans.ledger import total_value
+from stockledger.plans.ledger import Ledger, total_value
 from stockledger.schemas import TOTAL_NAMES
 
 
@@ -43,6 +43,41 @@ def published(totals: DataFrame, table: str, key: str) -> DataFrame:
     )
 
 
+def published_stock(ledger: Ledger) -> DataFrame:
+    """The topics of the by-item and the by-category totals, (topic, key, value), from one pass of the facts.
+
+    A category's totals are sums of its items', so every item's row is turned into its own topics' values and its share of its category's,
+    and both are summed per topic and key beside the dimension's marks. One more exchange, of a few values an item.
+    """
+    items, known = ledger.categorised_items(), F.col("seq").isNotNull()
+
+    def entries(table: str, key, mark) -> list:
+        return [
+            F.struct(
+                F.lit(f"{name}-topic").alias("topic"), key.alias("key"),
+                total_value(column).alias("value"), mark.alias("known"),
+            )
+            for name, (of, column) in TOTAL_NAMES.items()
+            if of == table
+        ]
+
+    own = entries("item_totals", F.col("item_id"), known)
+    shares = entries("category_totals", or_unknown("category_id"), F.lit(False))
+    rows = items.select(F.explode(F.array(*own, *shares)).alias("e")).select("e.*")
+    none = F.lit(0).cast("bigint")
+    names = F.array(*[F.lit(f"{n}-topic") for n, (of, _) in TOTAL_NAMES.items() if of == "category_totals"])
+    marks = ledger.feeds.category.select(
+        F.explode(names).alias("topic"), F.col("category_id").alias("key"), none.alias("value"), F.lit(True).alias("known")
+    )
+    return (
+        rows.unionByName(marks)
+        .groupBy("topic", "key")
+        .agg(F.sum("value").alias("value"), F.max("known").alias("known"))
+        .where("known")
+        .drop("known")
+    )
+
+
 def json_documents(rows: DataFrame) -> DataFrame:
     """Each row as one JSON document."""
     return rows.select(F.to_json(F.struct(*rows.columns)).alias("document"))

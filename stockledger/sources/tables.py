@@ -211,12 +211,15 @@ def item_changes(part: DataFrame) -> DataFrame:
     return first.unionByName(moved)
 
 
-def customer_changes(customer: DataFrame, orders: DataFrame) -> DataFrame:
-    """A customer's name as first entered, then as each order re-sends it with its priority."""
+def customer_changes(customer: DataFrame, orders: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """A customer's name as first entered, then as each order re-sends it with its priority.
+
+    A stream of orders takes the names from a static table ``named``.
+    """
     entered = customer.selectExpr(
         "c_custkey AS customer_id", "c_name AS name", "CAST(-1 AS BIGINT) AS seq"
     )
-    resent = orders.join(customer, F.expr("o_custkey = c_custkey")).selectExpr(
+    resent = orders.join(customer if named is None else named, F.expr("o_custkey = c_custkey")).selectExpr(
         "c_custkey AS customer_id",
         "concat_ws(' ', c_name, o_orderpriority) AS name",
         "o_orderkey AS seq",

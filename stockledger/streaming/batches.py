@@ -1,10 +1,10 @@
-"""By-category totals at arrival without keyed Python state, a micro-batch at a time.
+"""Category lookup at arrival without keyed Python state, a micro-batch at a time: totals, or the facts themselves.
 
 Each batch looks its facts up in the item changes of the same batch and in the
-items kept before it, with the batch as-of join, and adds the sums to the kept
-totals. All of it is joins and aggregates over whole batches, hot items included,
-so this is the form for large feeds; ``category_at_arrival`` is for consumers that
-need the looked-up facts themselves as a stream.
+items kept before it, with the batch as-of join. ``keep_category_totals`` adds the sums to kept
+totals, ``keep_category_rows`` appends the looked-up facts to a log. All of it is joins and
+aggregates over whole batches: no task takes an item's facts into memory, hot items included, so these are the forms
+for large feeds; ``category_at_arrival`` hands the facts on as a streaming DataFrame.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stockledger.functions import non_negative, required
 from stockledger.operators.keyed import latest_by_key
-from stockledger.operators.lookup import asof_totals
+from stockledger.operators.lookup import asof_lookup, asof_totals
 from stockledger.plans.feeds import KINDS, Feeds
 from stockledger.schemas import UNKNOWN_CATEGORY
-from stockledger.sources.kept import KeptTables
+from stockledger.sources.kept import BatchLog, KeptTables
 
 ITEMS = "item_latest"
 TOTALS = "category_totals"
@@ -71,6 +71,63 @@ def keep_category_totals(
     )
 
 
+def keep_category_rows(
+    facts: DataFrame,
+    item_changes: DataFrame,
+    tables: KeptTables,
+    log: BatchLog,
+    name: str,
+    checkpoint: str,
+    order: str = "seq",
+    bucket: int = 1_000_000,
+    **trigger,
+) -> StreamingQuery:
+    """Append (category_id, kind, quantity) of every fact to a log, the category as its item had it when the fact came.
+
+    ``facts`` is (item_id, kind, quantity, <order>), ``item_changes`` (item_id, category_id, <order>), see
+    :func:`keep_category_totals`. Facts meet their category by an equality join on (item, instant), in which adaptive execution
+    splits what is hot, and the instants are distinct before anything orders them.
+    """
+    seq = F.col(order).cast("bigint").alias("seq")
+    items = item_changes.select("item_id", required("category_id", "category_id").alias("category_id"), seq)
+    mine = facts.select("item_id", "kind", required("quantity", "quantity").alias("quantity"), seq)
+    records = mine.withColumn("fact", F.lit(True)).unionByName(items, allowMissingColumns=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = batch.where("fact").select("item_id", "kind", "quantity", "seq")
+        changes = batch.where("fact IS NULL").select("item_id", "category_id", "seq")
+        versions = changes.unionByName(_known(tables, batch_id, found))
+        looked_up = asof_lookup(
+            found, versions, "item_id", "category_id", UNKNOWN_CATEGORY, ts="seq", bucket=bucket
+        )
+        log.write(name, looked_up.select("category_id", "kind", "quantity"), batch_id)
+        tables.publish(ITEMS, _newest(changes), batch_id)
+
+    return (
+        records.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
+def _known(tables: KeptTables, batch_id: int, facts: DataFrame) -> DataFrame:
+    """The items kept before a batch as versions before all others; only those the batch has facts of."""
+    return (
+        tables.view_before(ITEMS, batch_id, _ITEM_ROW)
+        .select(F.col("key").alias("item_id"), "category_id")
+        .join(facts.select("item_id").distinct(), "item_id", "left_semi")
+        .withColumn("seq", F.lit(BEFORE_ALL).cast("bigint"))
+    )
+
+
+def _newest(changes: DataFrame) -> DataFrame:
+    """A batch's last version of every item it changes, as rows of the kept table."""
+    newest = latest_by_key(changes.withColumn("at", F.col("seq")), "item_id", ["category_id", "at"])
+    return newest.select(F.col("item_id").alias("key"), "category_id", F.col("at").alias("seq"))
+
+
 def _add(batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int) -> None:
     """Both tables are read as they were before this batch, so repeating it changes nothing."""
     changes = batch.where("kind = 'item'").select("item_id", "category_id", "seq")
@@ -78,14 +135,7 @@ def _add(batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int) -> No
     facts = batch.where(F.col("kind").isin(*KINDS)).select(
         "item_id", "seq", *[F.when(F.col("kind") == k, checked).alias(k) for k in KINDS]
     )
-    # Of the items kept, only those the batch has facts of are looked at any further.
-    known = (
-        tables.view_before(ITEMS, batch_id, _ITEM_ROW)
-        .select(F.col("key").alias("item_id"), "category_id")
-        .join(facts.select("item_id").distinct(), "item_id", "left_semi")
-        .withColumn("seq", F.lit(BEFORE_ALL).cast("bigint"))
-    )
-    versions = changes.unionByName(known)
+    versions = changes.unionByName(_known(tables, batch_id, facts))
     sums = asof_totals(
         facts,
         versions,
@@ -115,8 +165,4 @@ def _add(batch: DataFrame, batch_id: int, tables: KeptTables, bucket: int) -> No
         .drop("changed")
     )
     tables.publish(TOTALS, totals, batch_id)
-    newest = latest_by_key(changes.withColumn("at", F.col("seq")), "item_id", ["category_id", "at"])
-    tables.publish(
-        ITEMS, newest.select(F.col("item_id").alias("key"), "category_id", F.col("at").alias("seq")),
-        batch_id,
-    )
+    tables.publish(ITEMS, _newest(changes), batch_id)

@@ -8,6 +8,7 @@ the category of each fact first, which is the keyed state of ``category_at_arriv
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -28,15 +29,27 @@ def keep(
     table: str,
     key: str,
     checkpoint: str,
+    only_changed: bool = False,
+    then: Callable[[int], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Keep a streaming total as a table, its key column renamed to ``key``."""
+    """Keep a streaming total as a table, its key column renamed to ``key``.
+
+    ``only_changed`` publishes no row that is as it was kept; ``then`` is called with the number of every batch published.
+    """
     use_rocksdb(tables.spark)
+    publish = tables.writer(table, only_changed)
+
+    def write(changes: DataFrame, batch_id: int) -> None:
+        publish(changes, batch_id)
+        if then:
+            then(batch_id)
+
     return (
         rows.withColumnRenamed(key, "key")
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(tables.writer(table))
+        .foreachBatch(write)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )

@@ -1,0 +1,358 @@
+"""Live joins, retractions, late rows, rejects, and what kept tables promise about them."""
+
+import itertools
+import os
+import random
+import shutil
+import subprocess
+import sys
+from collections import Counter, defaultdict
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+import __spark_entry__ as registered
+from stockledger.functions import or_unknown, zero_fill
+from stockledger.operators import asof_lookup, interval_left_join, with_reason
+from stockledger.sources import reads
+from stockledger.sources.kept import BatchLog, KeptTables, changed
+from stockledger.streaming import (
+    BoundedWindows,
+    CheckedFeed,
+    add_to_kept,
+    closing_row,
+    keep_category_rows,
+    keep_interval_sums,
+    keep_regrouped,
+    retractions,
+)
+from tests.conftest import rows
+from tests.test_streaming import _finish, _lose_last_commit
+
+T0 = datetime(2024, 1, 1)
+PAIR = "key bigint, value bigint"
+
+
+def _at(minutes):
+    return T0 + timedelta(minutes=minutes)
+
+
+def _land(spark, folder, values, schema):
+    """One more file of a feed, and the feed as a stream."""
+    spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(schema).parquet(folder)
+
+
+# Kept tables.
+
+
+def _eight_batches(spark, root):
+    tables = KeptTables(spark, root, epoch=2)
+    for n in range(8):
+        tables.publish("t", spark.createDataFrame([(n % 3, n)], PAIR), n)
+    return tables
+
+
+def test_every_deletion_that_is_allowed(spark, run_dir):
+    """Snapshots cover batches 0 to 5; those of the newest epoch and its predecessor stay."""
+    folders = [f"changes/batch_id={n}" for n in range(4)] + ["snapshot/epoch=0", "snapshot/epoch=1"]
+    for k, chosen in enumerate(itertools.chain.from_iterable(itertools.combinations(folders, n) for n in (0, 1, 2, 4, 6))):
+        if k % 3 == 0 or len(chosen) == 6:
+            tables = _eight_batches(spark, f"{run_dir}/{k}")
+            for folder in chosen:
+                shutil.rmtree(f"{run_dir}/{k}/t/{folder}")
+            assert tables.last_batch("t") == 7
+            assert rows(tables.view("t")) == [(0, 6), (1, 7), (2, 5)]
+            assert rows(tables.view_before("t", 7, PAIR)) == [(0, 6), (1, 4), (2, 5)]
+
+
+def test_last_batch_of_new_and_growing_tables(spark, run_dir):
+    tables = KeptTables(spark, run_dir, epoch=3)
+    assert tables.last_batch("t") == -1
+    for n in range(11):
+        tables.publish("t", spark.createDataFrame([], PAIR), n)
+        assert tables.last_batch("t") == n
+
+
+def test_only_changes_are_published(spark, run_dir):
+    tables = KeptTables(spark, run_dir, epoch=2)
+    schema = "key bigint, value bigint, name string"
+    steps = [
+        ([(1, 5, "a"), (2, None, None), (None, 1, "x")], 3),
+        ([(1, 5, "a"), (2, None, None), (None, 1, "x")], 0),
+        ([(1, 5, None), (2, None, None), (3, None, None)], 2),
+        ([(1, 5, None), (3, 0, None)], 1),
+        ([], 0),
+    ]
+    for n, (values, real) in enumerate(steps):
+        for _ in range(2):  # a repeated batch publishes the same
+            tables.publish_changed("t", spark.createDataFrame(values, schema), n)
+        assert tables.changes("t").where(F.col("batch_id") == n).count() == real
+    assert rows(tables.view("t")) == [(1, 5, None), (2, None, None), (3, 0, None), (None, 1, "x")]
+    assert changed(tables.view("t"), tables.view("t")).count() == 0
+
+
+def test_a_lookup_reads_one_row_group_of_a_file(spark, run_dir):
+    """Sorted files with Bloom filters: what the scan puts out is what one row group holds, or nothing."""
+    many, group = 40_000, {"parquet.block.size": "20000", "parquet.page.size": "4000", "parquet.block.size.row.check.max": "500"}
+    tables = KeptTables(spark, run_dir, epoch=1, options=group)
+    values = spark.range(many).select((F.col("id") * 2).alias("key"), F.xxhash64("id").alias("value"))
+    tables.publish("t", values.repartition(1), 0)
+    tables.publish("t", values.where("key % 5 = 0").repartition(1), 1)
+    for key, found in ((20_000, 1), (20_001, 0), (2 * many + 1, 0)):
+        df = reads.by_key(tables.view("t"), key)
+        assert len(df.collect()) == found
+        assert _scanned(df) <= 2 * many // 10 if found else _scanned(df) == 0
+    assert _scanned_all(tables.view("t")) > many
+
+
+def _scanned_all(df):
+    df.collect()
+    return _scanned(df)
+
+
+def _scanned(df):
+    """Rows that the file scans of an executed query put out."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            total += node.metrics().get("numOutputRows").get().value()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_tables_of_one_stream_are_read_at_one_batch(spark, run_dir):
+    tables = KeptTables(spark, run_dir, epoch=2)
+    for n in range(5):
+        tables.publish("a", spark.createDataFrame([(1, n)], PAIR), n)
+    for n in range(4):  # the stream stopped between its two tables
+        tables.publish("b", spark.createDataFrame([(1, n * 10)], PAIR), n)
+    last = tables.last_common("a", "b")
+    assert last == 3
+    assert rows(tables.view_at("a", last)) == [(1, 3)] and rows(tables.view_at("b", last)) == [(1, 30)]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        tables.view_at("b", 4)
+
+
+# Retraction.
+
+
+def test_regrouped_totals_equal_a_recomputation_after_every_batch(spark, run_dir):
+    """Rows change group, value, both or neither; values and groups are null; batches are repeated."""
+    rng, state = random.Random(5), {}
+    tables = KeptTables(spark, run_dir, epoch=2)
+    for n in range(6):
+        batch = {k: (rng.choice([None, 10, 20, 30]), rng.choice([None, 1, 2, 3])) for k in rng.sample(range(12), 5)}
+        if n == 3:
+            batch = {}
+        state |= batch
+        for _ in range(1 + n % 2):
+            df = spark.createDataFrame([(k, *v) for k, v in batch.items()], "key bigint, g bigint, q bigint")
+            tables.publish("source", df, n)
+            keep_regrouped(tables, "source", "target", n, lambda r: or_unknown(r["g"]), lambda r: zero_fill(r["q"]))
+        want = defaultdict(lambda: [0, 0])
+        for g, q in state.values():
+            want[999999 if g is None else g][0] += q or 0
+            want[999999 if g is None else g][1] += 1
+        got = tables.view_at("target", n).where("members > 0")
+        assert rows(got, "key", "value", "members") == sorted((k, *v) for k, v in want.items())
+
+
+def test_retractions_are_old_and_new(spark):
+    revisions = spark.sql(
+        "SELECT 1 AS key, named_struct('g', 10L, 'q', 5L) AS old, named_struct('g', 20L, 'q', 7L) AS new"
+        " UNION ALL SELECT 2, NULL, named_struct('g', 20L, 'q', 1L)"
+    )
+    got = retractions(revisions, lambda r: r["g"], lambda r: r["q"])
+    assert rows(got) == [("+", 20, 1), ("+", 20, 7), ("-", 10, 5)]
+
+
+def test_added_totals_touch_only_their_keys(spark, run_dir):
+    tables = KeptTables(spark, run_dir, epoch=2)
+    for n, values in enumerate([[(1, 5), (2, 6), (None, 1)], [(1, 1), (1, 2)], [(None, 3)], []]):
+        for _ in range(2):
+            add_to_kept(tables, "t", spark.createDataFrame(values, PAIR), n)
+    assert rows(tables.view("t")) == [(1, 8), (2, 6), (None, 4)]
+    assert rows(tables.changes("t"), "batch_id", "key") == [(0, 1), (0, 2), (0, None), (1, 1), (2, None)]
+
+
+# The live interval join.
+
+TIMED = "k bigint, ts timestamp, v bigint"
+
+
+def test_interval_sums_survive_a_lost_commit(spark, run_dir):
+    rng = random.Random(4)
+    sides = {"l": [], "r": []}
+    log, tables = BatchLog(spark, f"{run_dir}/log"), KeptTables(spark, f"{run_dir}/kept", epoch=2)
+    end = _at(100_000)
+
+    def go_on(l, r):
+        _finish(keep_interval_sums(
+            l, r, "k", "v", log, tables, "sums", f"{run_dir}/c", late="30 minutes", before=end, availableNow=True
+        ))
+
+    for n in range(4):
+        feeds = []
+        for side, lag in (("l", 0), ("r", 1)):  # the right rows come a slice late
+            span = range((n - lag) * 300, (n - lag) * 300 + 300)
+            values = [(rng.randrange(4), _at(rng.choice(span)), rng.randrange(1, 9)) for _ in range(25)] if span.start >= 0 else []
+            sides[side] += values
+            feeds.append(_land(spark, f"{run_dir}/{side}", values, TIMED))
+        go_on(*feeds)
+        if n == 2:
+            _lose_last_commit(f"{run_dir}/c")
+    feeds = []
+    for side in sides:
+        closing = closing_row(spark.createDataFrame([], TIMED), end, "k", -1)
+        closing.write.mode("append").parquet(f"{run_dir}/{side}")
+        feeds.append(spark.readStream.schema(TIMED).parquet(f"{run_dir}/{side}"))
+    go_on(*feeds)
+    pairs = interval_left_join(*(spark.createDataFrame(sides[s], TIMED) for s in ("l", "r")), "k")
+    want = pairs.groupBy("k").agg(F.sum(F.coalesce("right_v", F.lit(0))).alias("v"))
+    assert rows(tables.view("sums")) == rows(want)
+    joined = log.read("sums", pairs.schema).where(F.col("ts") < F.lit(end))
+    assert rows(joined, "k", "v", "ts", "right_v", "right_ts") == rows(pairs, "k", "v", "ts", "right_v", "right_ts")
+
+
+def test_equal_left_rows_are_spread_over_the_salts(spark):
+    left = spark.createDataFrame([(1, _at(0), 7)] * 400, TIMED)
+    right = spark.createDataFrame([(1, _at(5), 9)], TIMED)
+    joined = interval_left_join(left, right, "k", salts=4)
+    assert joined.count() == 400 and set(joined.select("right_v").distinct().collect()) == {(9,)}
+    shown = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in shown
+
+
+# Windows with bounded state.
+
+
+def _judged(batches, size, slide, late):
+    """Totals of windows and late (window, row) pairs, a batch at a time."""
+    totals, late_rows, newest = Counter(), [], None
+    for values in batches:
+        cut = None if newest is None else newest - late
+        for k, ts, v in values:
+            if ts is None:
+                late_rows.append((k, ts, v, None))
+                continue
+            start = T0 + ((ts - T0) // slide) * slide
+            while start + size > ts:
+                if cut is not None and start + size <= cut:
+                    late_rows.append((k, ts, v, start))
+                else:
+                    totals[k, start] += v
+                start -= slide
+        newest = max([t for _, t, _ in values if t is not None] + ([newest] if newest else []), default=None)
+    return sorted((k, s, v) for (k, s), v in totals.items()), late_rows
+
+
+@pytest.mark.parametrize("slide", [60, 20])
+def test_bounded_windows_lose_no_row(spark, run_dir, slide):
+    """Rows out of order, rows far too late, rows without a time, an empty batch, a lost commit."""
+    rng = random.Random(slide)
+    batches = [[(rng.randrange(3), _at(max(0, 200 * n + rng.randrange(-300, 200))), rng.randrange(1, 9)) for _ in range(20)] for n in range(5)]
+    batches[2] += [(1, None, 4), (2, _at(1), 100)]
+    batches.insert(3, [])
+    log = BatchLog(spark, f"{run_dir}/log")
+    schema = spark.createDataFrame([], TIMED).schema
+    size, late = timedelta(minutes=60), timedelta(minutes=45)
+    windows = BoundedWindows(log, schema, "k", "ts", "60 minutes", late, f"{slide} minutes", "v")
+    for n, values in enumerate(batches):
+        feed = _land(spark, f"{run_dir}/in", values, TIMED)
+        _finish(windows.keep(feed, f"{run_dir}/c", availableNow=True))
+        if n == 3:
+            _lose_last_commit(f"{run_dir}/c")
+    totals, late_rows = _judged(batches, size, timedelta(minutes=slide), late)
+    assert rows(windows.totals(), "k", "window_start", "total") == totals
+    assert Counter(rows(windows.late_rows(), "k", "ts", "v", "window_start")) == Counter(late_rows)
+    newest = max(t for b in batches for _, t, _ in b if t)
+    still_open = log.batch("windows", len(batches) - 1, "k bigint, window_end timestamp, final boolean").where("NOT final")
+    assert still_open.count() and still_open.where(F.col("window_end") <= F.lit(newest - late)).count() == 0
+
+
+# Checks in the live feed.
+
+
+def test_accepted_and_rejected_are_all(spark, run_dir):
+    schema = "id bigint, amount string, n string"
+    texts = ["1", "-1", "x", None, "", "+7", "9223372036854775808", "0", " 1", "007"]
+    batches = [[(i, a, b) for i, (a, b) in enumerate(zip(texts, reversed(texts)))], [(50, "5", "-5")], []]
+    log = BatchLog(spark, f"{run_dir}/log")
+    feed = CheckedFeed(log, "feed", spark.createDataFrame([], schema).schema, ["amount", "n"], ["amount"])
+    for values in batches:
+        _finish(feed.keep(_land(spark, f"{run_dir}/in", values, schema), f"{run_dir}/c", availableNow=True))
+        _lose_last_commit(f"{run_dir}/c")
+    _finish(feed.keep(spark.readStream.schema(schema).parquet(f"{run_dir}/in"), f"{run_dir}/c", availableNow=True))
+    assert rows(feed.accepted()) == [(0, 1, 7), (9, 7, 1), (50, 5, -5)]
+    bad = dict.fromkeys((2, 3, 4, 6, 8), "unparsable: amount") | dict.fromkeys((1, 5, 7), "unparsable: n")
+    assert rows(feed.rejected(), "id", "reason") == sorted(bad.items())
+    assert rows(feed.rejected(), "id", "amount") == sorted((i, texts[i]) for i in bad)
+    checked = with_reason(spark.createDataFrame([(1, "-1", "3"), (2, "-1", "x"), (3, "1", "-3")], schema), ["amount", "n"], ["amount"])
+    assert rows(checked, "id", "reason") == [(1, "negative: amount"), (2, "unparsable: n"), (3, None)]
+
+
+# Category by arrival.
+
+
+def test_hot_item_by_arrival_in_bounded_memory(spark, run_dir):
+    """A third of all facts are one item's, many at one instant; each category as it was when they came."""
+    rng = random.Random(9)
+    log, tables = BatchLog(spark, f"{run_dir}/log"), KeptTables(spark, f"{run_dir}/kept", epoch=2)
+    facts, changes = [], []
+    for n in range(4):
+        base = n * 1000
+        changes_now = [(rng.randrange(5), rng.randrange(10, 15), base + s) for s in rng.sample(range(1000), 6)]
+        facts_now = [(rng.choice([0, 0, 0, 1, 2, 3, 4, 77]), "sold", rng.randrange(9), base + rng.choice([500, rng.randrange(1000)])) for _ in range(300)]
+        facts += facts_now
+        changes += changes_now
+        f = _land(spark, f"{run_dir}/f", facts_now, "item_id bigint, kind string, quantity bigint, seq bigint")
+        c = _land(spark, f"{run_dir}/i", changes_now, "item_id bigint, category_id bigint, seq bigint")
+        _finish(keep_category_rows(f, c, tables, log, "out", f"{run_dir}/c", bucket=100, availableNow=True))
+        if n == 1:
+            _lose_last_commit(f"{run_dir}/c")
+
+    def category(item, seq):
+        known = [(s, c) for i, c, s in changes if i == item and s <= seq]
+        return max(known)[1] if known else 999999
+
+    want = sorted((category(i, s), k, q) for i, k, q, s in facts)
+    assert rows(log.read("out", "category_id bigint, kind string, quantity bigint")) == want
+
+
+def test_nothing_orders_facts(spark):
+    """Instants are grouped before any window; the facts are in one join and in no sort by time."""
+    f = spark.createDataFrame([(1, 5, 2, "x")] * 3, "item bigint, at bigint, q bigint, note string")
+    c = spark.createDataFrame([(1, 8, 1, 1)], "item bigint, cat bigint, at bigint, seq bigint")
+    shown = asof_lookup(f, c, "item", "cat", ts="at", bucket=10)._jdf.queryExecution().optimizedPlan().toString()
+    for line in shown.splitlines():
+        assert not ("Window" in line and "note" in line)
+
+
+# Registration.
+
+
+def test_published_topics_join_the_lines_twice(spark, data):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registered.queries()["published_topics"](spark, data)
+        shown = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shown.count("SortMergeJoin") == 2
+
+
+def test_queries_without_what_the_text_operators_import():
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(os.path.abspath(registered.__file__))
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert said.stdout.split() == [str(len(registered.QUERIES)), str(len(registered.ORACLES))], said.stderr[-500:]

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockledger.llm.shared import WordHashes, as_bytes, slices, word_hashes, written
+from stockledger.llm.shared import WordHashes, as_bytes, place_bound, slices, word_hashes, written
 
 WORD_ROWS, SHAPE_ROWS, DIMENSIONS = 2**14, 2**11, 32
 
@@ -194,17 +194,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, training_rows: int = TRAI
 
     Labels of held-out ids (crc32 of the id as text divisible by 5) are never read into the fit, nor are null labels.
     A null or empty text has the zero vector and a score like any other; a null id counts as not held
-    out. Without labels of both classes every score is their smoothed mean. Repeated rows give repeated rows.
+    out. Without labels of both classes every score is their smoothed mean. Repeated rows give repeated rows and count once in
+    the fit, which takes the ``training_rows`` labelled rows of the smallest hashes. A very long text is a slice of its own.
     """
     vectors = written(document_vectors(docs, context_table(docs)))
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
     )
+    place = F.xxhash64("doc_id", "vector").alias("place")
+    labelled = vectors.join(known, "doc_id").select("vector", "quality", place)
+    # Rows that are repeated count once, and what lies beyond the bound stays where it is.
+    bound = place_bound(written(labelled.select("place").distinct()), training_rows)
     sample = (
-        vectors.join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "vector").limit(training_rows)
-        .select("vector", "quality").collect()
+        labelled.where(F.col("place") <= bound).groupBy("place")
+        .agg(F.first("vector").alias("vector"), F.max("quality").alias("quality"))
+        .orderBy("place").limit(training_rows).collect()
     )
     x = _matrix([bytes(r["vector"]) for r in sample])
     network = Network(x, np.array([1.0 if r["quality"] >= 1 else 0.0 for r in sample]))

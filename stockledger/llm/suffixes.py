@@ -4,9 +4,9 @@ Every string of ``LENGTH`` bytes has, among its first ``LENGTH - GRAM`` + 1 star
 (``GRAM`` bytes) has the smallest hash. Equal strings have it at the same place, so only suffixes
 that begin at such anchors need sorting, and of these only those whose gram occurs in two documents.
 
-1. Anchors' hashes are exchanged in bucketed blobs; those in one document only drop out.
+1. Anchors' hashes are exchanged in bucketed blobs, one for all that a slice of documents shares; those in one document only drop out.
 2. The remaining anchors' suffixes are sorted within each slice of documents, equal ones folded, and
-   exchanged as front-coded runs, cut at splitters taken from a sample of grams.
+   exchanged as front-coded runs, cut at splitters taken from a sample of their grams.
 3. Runs are merged by a loser tree that carries each run's common prefix with the last output
    and compares only what lies behind it. The common prefixes of neighbours fall out of the merge, and
    with them, for every offset, which strings are equal and the smallest document that holds them.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockledger.llm.shared import BROADCAST_ROWS, as_bytes, mixed, slices, written
+from stockledger.llm.shared import BROADCAST_ROWS, as_bytes, mixed, place_bound, slices, written
 
 LENGTH, GRAM = 50, 25
 STARTS = LENGTH - GRAM + 1
@@ -115,24 +115,40 @@ def _runs_of(values: np.ndarray) -> np.ndarray:
 # Step 1: anchors that occur in two documents.
 
 
+# Ordinal of an anchor that stands for those its slice has in two documents already.
+_KNOWN = 2**32 - 1
+
+
 def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Anchors by bucket of their hash; in bucket -1 - n, those of documents of target bucket n that two documents of a slice have."""
     for part, texts in slices(batches):
         _, ends, places, hashes = _anchored(texts)
         if not len(places):
             continue
         doc = np.searchsorted(ends, places, side="right")
         ordinal = np.arange(len(places)) - np.searchsorted(doc, doc)  # the how-manieth anchor of its document
-        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bounds = np.append(_runs_of(bucket[order]), len(order))
-        ids = np.array(part.column("doc_id").to_pylist(), np.int64)
+        ids = np.array(part.column("doc_id").to_pylist(), np.int64)[doc]
+        order = np.lexsort((ids, hashes))
+        starts = _runs_of(hashes[order])
+        sizes = np.diff(np.append(starts, len(order)))
+        several = ids[order[starts]] != ids[order[starts + sizes - 1]]
+        here, alone = order[np.repeat(several, sizes)], order[np.repeat(~several, sizes)]
+        stands = order[starts[several]]
+        target = -1 - (mixed(ids[here].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        sent = np.concatenate([alone, stands])
+        bucket = ((hashes[sent] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        number = np.concatenate([ordinal[alone], np.full(len(stands), _KNOWN), ordinal[here]])
+        at, bucket = np.concatenate([sent, here]), np.concatenate([bucket, target])
+        again = np.lexsort((ids[at], bucket))
+        at, bucket, number = at[again], bucket[again], number[again]
+        bounds = np.append(_runs_of(bucket), len(at))
         out = []
         for a, b in zip(bounds[:-1], bounds[1:]):
-            at = order[a:b]
-            firsts = _runs_of(doc[at])
+            own = ids[at[a:b]]
+            firsts = _runs_of(own)
             out.append((
-                int(bucket[at[0]]), _blob(ids[doc[at[firsts]]], np.int64), _blob(np.diff(np.append(firsts, len(at))), np.uint32),
-                _blob(hashes[at], np.uint32), _blob(ordinal[at], np.uint32),
+                int(bucket[a]), _blob(own[firsts], np.int64), _blob(np.diff(np.append(firsts, b - a)), np.uint32),
+                _blob(hashes[at[a:b]], np.uint32), _blob(number[a:b], np.uint32),
             ))
         yield pa.RecordBatch.from_arrays(
             [pa.array([x[i] for x in out], pa.int64() if i == 0 else pa.binary()) for i in range(5)],
@@ -146,13 +162,19 @@ def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
 
 def _shared(table: pa.Table, targets: int) -> pa.Table:
     """Anchors of this bucket that two documents have, by document in one row for each target bucket."""
+    if table.column("bucket")[0].as_py() < 0:
+        targets_of = pa.array([-1 - b for b in table.column("bucket").to_pylist()], pa.int64())
+        return pa.table({"target": targets_of} | {n: table.column(n) for n in ("docs", "counts", "ordinals")})
     doc = np.repeat(_joined(table, "docs", np.int64), _joined(table, "counts", np.uint32))
     hashes, ordinals = _joined(table, "hashes", np.uint32), _joined(table, "ordinals", np.uint32)
     order = np.lexsort((doc, hashes))
     starts = _runs_of(hashes[order])
     sizes = np.diff(np.append(starts, len(order)))
     several = doc[order[starts]] != doc[order[starts + sizes - 1]]
+    if len(starts):
+        several |= np.logical_or.reduceat(ordinals[order] == _KNOWN, starts)
     kept = order[np.repeat(several, sizes)]
+    kept = kept[ordinals[kept] != _KNOWN]
     target = (mixed(doc[kept].view(np.uint64)) % np.uint64(targets)).astype(np.int64)
     again = np.lexsort((doc[kept], target))
     kept, target = kept[again], target[again]
@@ -199,6 +221,11 @@ def _keys(matrix: np.ndarray) -> list[np.ndarray]:
     return list(padded.view(">u8").astype(np.uint64).T)
 
 
+def _grams_of(matrix: np.ndarray) -> np.ndarray:
+    """The first gram of every row of bytes, to be compared; suffixes of one gram have to stay in one range."""
+    return np.ascontiguousarray(matrix[:, :GRAM]).view(f"S{GRAM}").ravel()
+
+
 def _front_coded(matrix: np.ndarray) -> tuple[np.ndarray, bytes]:
     """How many bytes each row shares with the row before it, and the rest of each row."""
     same = matrix[1:] == matrix[:-1]
@@ -258,7 +285,7 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch], splitters: np.ndarray) -> It
         lowest = np.minimum.reduceat(ids[order], np.flatnonzero(fresh))
         sizes = np.bincount(entry)
         context = mixed(mixed(sum((mixed(k[head] + np.uint64(i)) * _power(i + 1) for i, k in enumerate(keys)), np.uint64(0))))
-        ranges = np.searchsorted(splitters, keys[0][head], side="right")
+        ranges = np.searchsorted(splitters, _grams_of(right[head]), side="right")
         bounds = np.append(_runs_of(ranges), len(head))
         offsets = np.append(np.flatnonzero(fresh), len(order))
         out = []
@@ -353,18 +380,23 @@ def _classes_at(shared: np.ndarray, depth: int) -> np.ndarray:
     return np.cumsum(shared < depth)
 
 
-# kind 0: bytes a document loses; 1: smallest documents of a folded suffix; 2: members of one.
-_FOUND = "kind int, id bigint, a binary, b binary"
+# kind 0: bytes that documents of a target bucket lose, the starts and ends of ``counts`` intervals each; 1: smallest documents of
+# a folded suffix; 2: members of one.
+_FOUND = "kind int, id bigint, docs binary, counts binary, a binary, b binary"
 
 
-def _merged(table: pa.Table) -> pa.Table:
+def _found_rows(rows: list[tuple]) -> dict[str, pa.Array]:
+    names = [x.split()[0] for x in _FOUND.split(", ")]
+    types = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+    return {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types))}
+
+
+def _merged(table: pa.Table, targets: int) -> pa.Table:
     """The runs of one range merged, and what follows for their members."""
     if table.column("range")[0].as_py() < 0:
-        names = [np.frombuffer(x, np.int64)[0] for x in table.column("folded").to_pylist()]
-        return pa.table({
-            "kind": pa.array([2] * len(names), pa.int32()), "id": pa.array(names, pa.int64()),
-            "a": table.column("docs"), "b": table.column("places"),
-        })
+        names = [int(np.frombuffer(x, np.int64)[0]) for x in table.column("folded").to_pylist()]
+        members = zip(names, table.column("docs").to_pylist(), table.column("places").to_pylist())
+        return pa.table(_found_rows([(2, name, b"", b"", docs, places) for name, docs, places in members]))
     columns = {name: table.column(name).to_pylist() for name in table.column_names if name != "range"}
 
     def joined(name: str, kind: type) -> np.ndarray:
@@ -403,46 +435,59 @@ def _merged(table: pa.Table) -> pa.Table:
     entry = np.repeat(np.arange(total), members)
     ids, places = joined("docs", np.int64), joined("places", np.int64)
     keys = np.flatnonzero(folded != 0)
-    kinds, names = [1] * len(keys), folded[keys].view(np.int64).tolist()
-    first, second = [smallest[:, k].tobytes() for k in keys], [b""] * len(keys)
+    out = [(1, int(folded[k : k + 1].view(np.int64)[0]), b"", b"", smallest[:, k].tobytes(), b"") for k in keys]
     for at in range(0, len(ids), RANGE_SUFFIXES):
         piece = slice(at, at + RANGE_SUFFIXES)
-        docs, starts, ends = _intervals(ids[piece], places[piece], smallest[:, entry[piece]])
-        kinds, names, first, second = kinds + [0] * len(docs), names + docs, first + starts, second + ends
-    return pa.table({
-        "kind": pa.array(kinds, pa.int32()), "id": pa.array(names, pa.int64()),
-        "a": pa.array(first, pa.binary()), "b": pa.array(second, pa.binary()),
-    })
+        out += _intervals(ids[piece], places[piece], smallest[:, entry[piece]], targets)
+    return pa.table(_found_rows(out))
 
 
-def _intervals(ids: np.ndarray, places: np.ndarray, smallest: np.ndarray) -> tuple[list[int], list[bytes], list[bytes]]:
-    """Per document the starts and ends of what smaller documents hold; ``smallest`` by offset and member."""
+def _intervals(ids: np.ndarray, places: np.ndarray, smallest: np.ndarray, targets: int) -> list[tuple]:
+    """What smaller documents hold, in one row for each target bucket of documents; ``smallest`` by offset and member."""
     offset, member = np.nonzero(smallest < ids)
-    starts = places[member] - offset
-    order = np.lexsort((starts, ids[member]))
-    starts, ids = starts[order], ids[member][order]
+    starts, ids = places[member] - offset, ids[member]
+    target = (mixed(ids.view(np.uint64)) % np.uint64(targets)).astype(np.int64)
+    order = np.lexsort((starts, ids, target))
+    starts, ids, target = starts[order], ids[order], target[order]
     # Strings that overlap or touch are one interval: most members lose all of theirs.
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (ids[1:] != ids[:-1]) | (starts[1:] > starts[:-1] + LENGTH)
     at = np.flatnonzero(fresh)
     ends = starts[np.append(at[1:], len(starts)) - 1] + LENGTH if len(at) else at
-    starts, ids = starts[at], ids[at]
-    docs = _runs_of(ids)
-    spans = list(zip(docs, np.append(docs[1:], len(ids))))
-    return ids[docs].tolist(), [_blob(starts[a:b], np.int64) for a, b in spans], [_blob(ends[a:b], np.int64) for a, b in spans]
+    starts, ids, target = starts[at], ids[at], target[at]
+    bounds = np.append(_runs_of(target), len(at))
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        firsts = _runs_of(ids[a:b])
+        counts = np.diff(np.append(firsts, b - a))
+        out.append((
+            0, int(target[a]), ids[a:b][firsts].tobytes(), _blob(counts, np.uint32), _blob(starts[a:b], np.int64), _blob(ends[a:b], np.int64),
+        ))
+    return out
+
+
+def _of_documents(table: pa.Table) -> pa.Table:
+    """All intervals of every document of a target bucket."""
+    doc = np.repeat(_joined(table, "docs", np.int64), _joined(table, "counts", np.uint32))
+    starts, ends = _joined(table, "a", np.int64), _joined(table, "b", np.int64)
+    order = np.argsort(doc, kind="stable")
+    doc, starts, ends = doc[order], starts[order], ends[order]
+    bounds = np.append(_runs_of(doc), len(doc))
+    spans = list(zip(bounds[:-1], bounds[1:]))
+    return pa.table({
+        "doc_id": pa.array(doc[bounds[:-1]]),
+        "starts": pa.array([starts[a:b].tobytes() for a, b in spans], pa.binary()),
+        "ends": pa.array([ends[a:b].tobytes() for a, b in spans], pa.binary()),
+    })
 
 
-def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answered(batches: Iterator[pa.RecordBatch], targets: int) -> Iterator[pa.RecordBatch]:
     """Intervals of the members of folded suffixes, from the answer to their suffix."""
     for batch in batches:
         for row in batch.to_pylist():
             ids, places = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["places"], np.int64)
             smallest = np.repeat(np.frombuffer(row["answer"], np.int64)[:, None], len(ids), axis=1)
-            docs, starts, ends = _intervals(ids, places, smallest)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(starts, pa.binary()), pa.array(ends, pa.binary())],
-                names=["kind", "id", "a", "b"],
-            )
+            yield pa.RecordBatch.from_pydict(_found_rows(_intervals(ids, places, smallest, targets)))
 
 
 # Step 4: cutting.
@@ -466,7 +511,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for row in batch.to_pylist():
             size, offset = len(row["text"]), row["offset"]
-            starts, ends = (np.frombuffer(b"".join(row[c]), np.int64) - offset for c in ("starts", "ends"))
+            starts, ends = (np.frombuffer(row[c], np.int64) - offset for c in ("starts", "ends"))
             own = (ends > 0) & (starts < size)  # the others are of other texts with this id
             n, runs, kept = cut(row["text"], np.clip(starts[own], 0, size), np.clip(ends[own], 0, size))
             rows.append((row["doc_id"], row["uid"], n, runs, hashlib.sha256(kept).hexdigest(), kept))
@@ -512,18 +557,19 @@ def substring_dedup(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
         )
     )
     suffixes = (shared.agg(F.sum(F.octet_length("ordinals")).alias("n")).first()["n"] or 0) // 4
-    splitters = _splitters(texts, leading, suffixes // RANGE_SUFFIXES + 1)
-    marked = shared.groupBy("target").applyInArrow(_by_document, "doc_id bigint, ordinals binary")
+    marked = written(shared.groupBy("target").applyInArrow(_by_document, "doc_id bigint, ordinals binary"))
+    splitters = _splitters(texts, marked, suffixes // RANGE_SUFFIXES + 1)
     # In one order, so that a task that is run again cuts its texts into the same slices.
     met = as_bytes(texts, "doc_id", "offset").join(marked, "doc_id").sortWithinPartitions("doc_id", "offset")
     runs = met.mapInArrow(lambda batches: _sorted_runs(batches, splitters), _RUN)
-    found = written(runs.groupBy("range").applyInArrow(_merged, _FOUND))
+    found = written(runs.groupBy("range").applyInArrow(lambda table: _merged(table, buckets), _FOUND))
     # The same folded suffix comes from many runs and has one answer for all.
     answers = found.where("kind = 1").select("id", F.col("a").alias("answer")).dropDuplicates(["id"])
     members = found.where("kind = 2").select("id", F.col("a").alias("docs"), F.col("b").alias("places"))
-    answered = members.join(answers, "id").mapInArrow(_answered, _FOUND)
-    intervals = found.where("kind = 0").unionByName(answered).groupBy(F.col("id").alias("doc_id")).agg(
-        F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends")
+    answered = members.join(answers, "id").mapInArrow(lambda batches: _answered(batches, buckets), _FOUND)
+    intervals = (
+        found.where("kind = 0").unionByName(answered).groupBy("id")
+        .applyInArrow(_of_documents, "doc_id bigint, starts binary, ends binary")
     )
     done = as_bytes(texts, "doc_id", "uid", "offset").join(intervals, "doc_id").mapInArrow(_cut_out, _DOC)
     if not keep_texts:
@@ -534,23 +580,32 @@ def substring_dedup(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
 SAMPLED_TEXTS, SAMPLED_ANCHORS = 2_000, 200
 
 
-def _splitters(texts: DataFrame, leading: DataFrame, n: int) -> np.ndarray:
-    """Cuts of the order of suffixes, by their first eight bytes, from a bounded sample of texts.
+def _splitters(texts: DataFrame, marked: DataFrame, n: int) -> np.ndarray:
+    """Cuts of the order of suffixes, by their grams, from a bounded sample of the documents whose suffixes are sorted.
 
     The sample decides only how even the ranges are, nothing about results.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in slices(batches):
-            codes, _, places, _ = _anchored(texts)
-            some = places[:: max(1, len(places) // (SAMPLED_ANCHORS * max(len(texts), 1)))]
-            framed = np.concatenate([codes, np.zeros(8, np.uint8)])
-            yield pa.RecordBatch.from_arrays([pa.array([_blob(_keys(_words_of(framed, some, 8))[0], np.uint64)], pa.binary())], names=["keys"])
-
-    few = leading.select("doc_id", "uid").orderBy("uid").limit(SAMPLED_TEXTS)
-    sample = as_bytes(texts.join(F.broadcast(few), ["doc_id", "uid"], "left_semi")).mapInArrow(run, "keys binary").collect()
-    keys = np.sort(np.frombuffer(b"".join(bytes(r["keys"]) for r in sample), np.uint64))
-    return np.unique(keys[np.arange(1, n) * len(keys) // n]) if len(keys) else keys
+        for part, texts in slices(batches):
+            codes, ends, places, _ = _anchored(texts)
+            doc = np.searchsorted(ends, places, side="right")
+            first = np.searchsorted(doc, np.arange(len(texts)))
+            out = []
+            for f, wanted in zip(first, part.column("ordinals").to_pylist()):
+                at = f + np.unique(np.frombuffer(wanted, np.uint32)).astype(np.int64)
+                at = at[at < len(places)]
+                out.append(places[at[:: max(1, len(at) // SAMPLED_ANCHORS)]])
+            framed = np.concatenate([codes, np.zeros(GRAM, np.uint8)])
+            grams = _words_of(framed, np.concatenate(out), GRAM) if out else np.zeros((0, GRAM), np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(grams).tobytes()], pa.binary())], names=["grams"])
+
+    place = F.xxhash64("doc_id")
+    bound = place_bound(marked.select(place.alias("place")), SAMPLED_TEXTS)
+    few = marked.where(place <= bound)  # twice SAMPLED_TEXTS at most
+    sample = as_bytes(texts, "doc_id").join(F.broadcast(few), "doc_id").mapInArrow(run, "grams binary").collect()
+    grams = np.sort(np.frombuffer(b"".join(bytes(r["grams"]) for r in sample), f"S{GRAM}"))
+    return np.unique(grams[np.arange(1, n) * len(grams) // n]) if len(grams) else grams
 
 
 def _answers(rows: DataFrame, firsts: DataFrame, done: DataFrame, keep_texts: bool, own: DataFrame) -> DataFrame:

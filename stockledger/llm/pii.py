@@ -2,9 +2,10 @@
 
 Four base patterns and looser ones propose overlapping candidates with their positions. Each candidate
 is reduced to a few small integers about its format and its context. The trees are fitted on counts of
-these over all candidates, labelled by the validator of their own form. A threshold per kind is
-the lowest that keeps the wanted precision on documents set aside. Valid base spans always stay;
-looser candidates join them if they are valid, score enough and overlap no better span.
+these over all candidates, labelled by the validator of their own form, which the trees do not see. On documents set aside the
+scores are calibrated (isotonic regression), and a kind's threshold is the lowest score whose calibrated probability is high enough.
+Valid base spans always stay; a looser candidate joins them if the model says so, whatever its own validator says, and it overlaps
+no better span.
 
 Texts are only touched by column expressions. The driver sees the table of counts, whose size is bounded by
 the number of bins, and fits the trees on it.
@@ -49,14 +50,14 @@ CUES = {
     "phone": r"(?i)phone|tel|call|mobile|fax",
 }
 
-FEATURES = ["kind", "digits", "length", "separators", "before", "after", "cue", "letters", "form"]
+FEATURES = ["kind", "digits", "length", "separators", "before", "after", "cue", "letters", "tail", "checksum", "largest"]
 
-ROUNDS, DEPTH, RATE = 24, 2, 0.4
+ROUNDS, DEPTH, RATE = 24, 3, 0.4
 
-# Share of right spans a threshold must keep on the documents set aside.
-PRECISION = 0.98
+# Calibrated probability of being right from which on a looser span is taken.
+TAKEN_FROM = 0.9
 
-_DIGIT_BINS = (1, 4, 8, 10, 12, 16, 20)
+_DIGIT_BINS = (4, 7, 10, 13, 16, 20)
 _LENGTH_BINS = (8, 12, 16, 20, 32, 64)
 
 
@@ -155,7 +156,9 @@ def candidates(docs: DataFrame) -> DataFrame:
                     _bin(F.length(m), _LENGTH_BINS).alias("length"), F.least(separators, F.lit(8)).alias("separators"),
                     _class_of(near).alias("before"), _class_of(behind).alias("after"),
                     before.rlike(CUES[kind]).cast("int").alias("cue"), m.rlike("[A-Za-z]").cast("int").alias("letters"),
-                    _valid(kind, m, base).cast("int").alias("form"),
+                    (_tail_of(m) if kind == "email" else F.lit(0)).alias("tail"),
+                    F.when(digits >= 12, luhn(_only_digits(m)).cast("int")).otherwise(0).alias("checksum"),
+                    _largest_in(m).alias("largest"),
                 ).alias("features"),
             )
 
@@ -170,6 +173,23 @@ def _class_of(sign: Column) -> Column:
     return F.when(sign == "", 0).when(sign.rlike(r"\s"), 1).when(sign.rlike(r"[0-9A-Za-z]"), 2).otherwise(3)
 
 
+def _tail_of(text: Column) -> Column:
+    """How the last label looks: 1 to 3 small letters (two, three, more), 4 a word with a capital, 5 capitals, 6 anything else."""
+    last = F.regexp_extract(text, "([A-Za-z0-9-]+)$", 1)
+    looks = ("[a-z]{2}", "[a-z]{3}", "[a-z]{4,}", "[A-Z][a-z]+", "[A-Z]+")
+    out = F.lit(6)
+    for i, pattern in reversed(list(enumerate(looks))):
+        out = F.when(last.rlike(f"^{pattern}$"), i + 1).otherwise(out)
+    return out
+
+
+def _largest_in(text: Column) -> Column:
+    """The largest number: 0 up to 255 or none, 1 up to 999, 2 more."""
+    numbers = F.regexp_extract_all(text, F.lit("0*([0-9]+)"), F.lit(1))
+    size = F.transform(numbers, lambda n: F.when(F.length(n) > 3, 2).when(n.cast("int") > 255, 1).otherwise(0))
+    return F.coalesce(F.array_max(size), F.lit(0))
+
+
 # The model: regression trees on small integers, boosted on counts.
 
 
@@ -180,7 +200,7 @@ class Model:
     thresholds: dict[str, float]
 
     def score(self, features: dict[str, int]) -> float:
-        return self.base + sum(_leaf(t, features) for t in self.trees)
+        return sum((_leaf(t, features) for t in self.trees), self.base)
 
     def score_column(self, features: Column) -> Column:
         return sum((_tree_column(t, features) for t in self.trees), F.lit(self.base))
@@ -226,7 +246,7 @@ def _grown(rows: list[tuple], depth: int) -> object:
 def fit(found: DataFrame) -> Model:
     """Trees and thresholds from all candidates of ``found`` (doc_id and the array of candidates).
 
-    Documents whose hash is divisible by four are set aside for the thresholds. Without
+    Documents whose hash is divisible by four are set aside for the calibration. Without
     candidates there are no trees and no looser span is taken.
     """
     each = found.select(
@@ -247,16 +267,30 @@ def fit(found: DataFrame) -> Model:
         model.trees.append(tree)
         scores = [s + _leaf(tree, r[0]) for s, r in zip(scores, train)]
     for i, kind in enumerate(KINDS):
-        aside = sorted(((model.score(x), y, n) for x, y, n, a in rows if a and x["kind"] == i), reverse=True)
-        good, seen = 0.0, 0.0
-        for at, (score, y, n) in enumerate(aside):
-            good, seen = good + y * n, seen + n
-            last = at + 1 == len(aside) or aside[at + 1][0] < score
-            if last and good >= PRECISION * seen:
-                model.thresholds[kind] = score
+        aside = [(model.score(x), y * n, n) for x, y, n, a in rows if a and x["kind"] == i]
+        for score, probability in reversed(calibrated(aside)):
+            if probability < TAKEN_FROM:
+                break
+            model.thresholds[kind] = score - 1e-6  # sums may differ in the last place
     return model
 
 
+def calibrated(scored: list[tuple[float, float, float]]) -> list[tuple[float, float]]:
+    """(score, probability) by score, never falling, of (score, right ones, all): neighbours that would fall are pooled."""
+    by_score: dict[float, list[float]] = {}
+    for score, good, n in scored:
+        sums = by_score.setdefault(score, [0.0, 0.0])
+        sums[0] += good
+        sums[1] += n
+    pools: list[list] = []
+    for score in sorted(by_score):
+        pools.append([[score], *by_score[score]])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            scores, good, n = pools.pop()
+            pools[-1] = [pools[-1][0] + scores, pools[-1][1] + good, pools[-1][2] + n]
+    return [(score, good / n) for scores, good, n in pools for score in scores]
+
+
 def chosen(found: DataFrame, model: Model) -> DataFrame:
     """``spans`` in place of ``found``: kind, start, end, base of what is to be redacted, by kind and place."""
     limits = F.create_map(*[F.lit(x) for k in KINDS for x in (k, float(model.thresholds[k]))])
@@ -267,7 +301,7 @@ def chosen(found: DataFrame, model: Model) -> DataFrame:
         return (a["end"] <= b["start"]) | (b["end"] <= a["start"])
 
     loose = F.transform(
-        F.filter("found", lambda c: ~c["base"] & c["valid"] & ~F.exists("_base", lambda b: ~apart(b, c))),
+        F.filter("found", lambda c: ~c["base"] & ~F.exists("_base", lambda b: ~apart(b, c))),
         lambda c: c.withField("score", model.score_column(c["features"])),
     )
     marked = marked.withColumn("_loose", F.filter(loose, lambda c: c["score"] >= F.element_at(limits, c["kind"])))
@@ -315,7 +349,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and ``spans`` of every row of ``docs``; see :func:`chosen`.
 
     Null and empty texts have no spans. Repeated rows give repeated rows, other columns do not
-    matter, an empty table gives an empty one.
+    matter, an empty table gives an empty one. Long texts are matched in linear time.
     """
     found = written(candidates(docs.select("doc_id", "text")).drop("text"))
     return chosen(found, fit(found))

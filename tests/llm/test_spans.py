@@ -73,3 +73,30 @@ def test_loose_spans_do_not_depend_on_the_mix(framed):
             want[n] = [] if wrong else [(kind, 3, 3 + len(span))] + [(kind, 10 + len(span), 10 + 2 * len(span))] * (n % 8 < 4)
         got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.personal_data(framed(rows)).collect()}
         assert {n: (got[n], want[n]) for n in want if got[n] != want[n]} == {}
+
+
+def _loose_emails(texts, framed):
+    got = pii.personal_data(framed(list(enumerate(texts)))).collect()
+    return [len([s for s in r.spans if s.kind == "email"]) for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_trees_decide(framed, monkeypatch):
+    """Without the trees all candidates of a kind have one score, and all or none are taken."""
+    texts = [f"so joe{i} @ host{i}.{'com' if i % 2 else 'Then'} it" for i in range(400)]
+    assert _loose_emails(texts, framed) == [i % 2 for i in range(400)]
+    monkeypatch.setattr(pii, "ROUNDS", 0)
+    assert len(set(_loose_emails(texts, framed))) == 1
+
+
+def test_context_alone_decides(framed):
+    """Spans of one format, right where a cue is before them and wrong elsewhere; the model then goes by the cue."""
+    texts = [f"{'mail' if i % 2 else 'seen'} joe{i % 7} @ host.{'com' if i % 2 else 'zzz'} it" for i in range(400)]
+    texts += ["mail joe1 @ host.zzz it", "seen joe1 @ host.com it"]
+    assert _loose_emails(texts, framed) == [*(i % 2 for i in range(400)), 1, 0]
+
+
+def test_calibration_never_falls():
+    assert pii.calibrated([(0.1, 1, 4), (0.2, 0, 4), (0.3, 3, 4), (0.3, 1, 4), (0.4, 9, 9)]) == [
+        (0.1, 0.125), (0.2, 0.125), (0.3, 0.5), (0.4, 1.0),
+    ]
+    assert pii.calibrated([]) == []

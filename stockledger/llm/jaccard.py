@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.components import components
-from stockledger.llm.shared import WordHashes, as_bytes, mixed, semi, shingles, slices, word_hashes, written
+from stockledger.llm.shared import WordHashes, as_bytes, mixed, semi, shingles, slices, without, word_hashes, written
 
 # Sets with one signature all of whose pairs are looked at; in larger groups all pair with the first.
 CROWD = 8
@@ -244,10 +244,10 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` doc_id, n_shingles, component_id and n_links.
+    """Per row of ``docs`` doc_id, n_shingles, component_id and n_verified.
 
-    component_id is the smallest doc_id reachable by links, itself included. n_links counts the verified links between
-    different sets that hold the components together; it is 0 for later copies of a set. Null and empty texts have no
+    component_id is the smallest doc_id reachable by links, itself included. n_verified counts the links that were verified to
+    find the components; it is no count of all links, as large groups are held together by their first set. Null and empty texts have no
     shingles and link with nothing. Rows with equal sets link whatever their ids; rows that repeat an id
     count as one document with all their sets. A row without an id is its own component, null. Other columns do not matter.
     """
@@ -262,7 +262,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     )
     bounds = firsts.agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
     if not bounds["all"]:
-        return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
+        return sets.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_verified"))
     bands = band_starts(bounds["largest"])
     plans = [Plan(a, b) for a, b in zip(bands, bands[1:])]
     buckets = max(12, bounds["all"] // BUCKET_SIGNATURES + 1)
@@ -271,7 +271,13 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         cache = WordHashes()
         yield from _signed((_distinct(texts, cache) for _, texts in slices(batches)), bands, plans, buckets)
 
-    signed = as_bytes(docs.where("doc_id IS NOT NULL")).mapInArrow(sign, _SIGNED)
+    # Later copies of a set send nothing: a group of copies has the signatures of one document.
+    of_first = firsts.select("doc_id")
+    copies = written(
+        sets.where("doc_id IS NOT NULL").select("doc_id").distinct().join(of_first, "doc_id", "left_anti")
+    )
+    signing = without(docs.where("doc_id IS NOT NULL"), copies, "doc_id")
+    signed = as_bytes(signing).mapInArrow(sign, _SIGNED)
     grouped = written(signed.groupBy("bucket").applyInArrow(_grouped, _GROUPED))
     crowded = grouped.where("kind = 1").groupBy("x").agg(F.sum("n").alias("crowded"))
     needed = grouped.where("kind = 2").groupBy("x").agg(F.min("n").alias("needed"))
@@ -346,7 +352,7 @@ def _classes(sets: DataFrame, firsts: DataFrame, links: DataFrame) -> DataFrame:
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     links = written(links)
     both = links.select("a").unionByName(links.select(F.col("b").alias("a")))
-    degrees = both.groupBy("a").agg(F.count(F.lit(1)).alias("n_links")).withColumnRenamed("a", "doc_id")
+    degrees = both.groupBy("a").agg(F.count(F.lit(1)).alias("n_verified")).withColumnRenamed("a", "doc_id")
     # Rows that repeat an id may have several sets: they tie those together.
     ties = sets.where("n_shingles > 0").join(firsts.select("set_key", F.col("doc_id").alias("first")), "set_key")
     ties = written(ties.select("doc_id", "first").distinct())
@@ -357,6 +363,6 @@ def _classes(sets: DataFrame, firsts: DataFrame, links: DataFrame) -> DataFrame:
         .join(degrees, "doc_id", "left")
         .select(
             "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+            F.coalesce("n_verified", F.lit(0)).cast("bigint").alias("n_verified"),
         )
     )

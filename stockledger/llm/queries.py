@@ -48,7 +48,7 @@ def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("n_verified")
 
 
 def op6_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,9 +24,9 @@ MAX_REPEATED_PERCENT = 50
 
 # A line is boilerplate in a host if at least so many documents, and so large a share of
 # the host's documents, hold it; a document is depleted if it keeps a smaller share of its words.
-# The SQL twin states these limits; a share of 0 leaves the number alone, which does not grow with the host.
+# The SQL twin states these limits. A share of 0 leaves the number alone, which does not grow with the host.
 MIN_DOCUMENTS = 50
-MIN_SHARE = 0.2
+MIN_SHARE = 0.0
 MIN_KEPT_SHARE = 0.5
 
 # Rows with one line of one host are dealt over so many keys of the join with removed lines.

@@ -7,21 +7,20 @@ below it are within tolerance of its share. Rows then move once, straight to the
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockledger.llm.shared import written
+from stockledger.llm.shared import BROADCAST_ROWS, written
 
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
 # Candidate boundaries tried in one pass for each splitter still open.
 PROBES = 15
 
-# Pieces a shard is numbered in, each a sort of its own.
-PIECES = 16
+# Rows of the pieces a shard is numbered in, each a sort of its own; keys are hashes, so pieces of equal width are even.
+PIECE_ROWS = 100_000
 
 
 def interval_of(key: str, bounds: Sequence[int]) -> Column:
@@ -81,33 +80,32 @@ def shard_by_bytes(rows: DataFrame, size: str, n: int, order: Sequence[str], tol
     Bytes of the shards differ by the tolerance at each end, or by one row where rows are larger. The key is a
     hash of the ``order`` columns and of the row's place in the written table, so copies
     of a row spread like any others. A null size counts as zero. An empty table gives an empty one. Columns
-    called key, size_, shard, slot or piece are rejected.
+    called key, shard, slot, piece or offset are rejected.
     """
-    if clash := {"key", "size_", "shard", "slot", "piece"} & set(rows.columns):
+    if clash := {"key", "shard", "slot", "piece", "offset"} & set(rows.columns):
         raise ValueError(f"reserved column names: {sorted(clash)}")
     placed = F.xxhash64(*order, F.monotonically_increasing_id())
     keyed = written(rows.withColumn("key", placed))
     sized = keyed.select("key", F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size"))
     bounds = splitters(sized, n, tolerance)
-    pieces: list[int] = []
-    for a, b in zip([LOWEST, *bounds], [*bounds, HIGHEST]):
-        pieces += [a + (b - a) * k // PIECES for k in range(PIECES)]
-    starts = sorted(set(pieces[1:]))
-    piece = interval_of("key", starts)
-    # Rows of the pieces before, from an exact count; at most one row per piece.
-    counts = {r["piece"]: r["n"] for r in keyed.groupBy(piece.alias("piece")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    ends = [bisect_right(bounds, s) for s in [LOWEST, *starts]]  # the shard of each piece
-    first, seen = [], dict.fromkeys(range(n), 0)
-    for i, s in enumerate(ends):
-        first.append(seen[s])
-        seen[s] += counts.get(i, 0)
-    within = Window.partitionBy("piece").orderBy("key")
-    offsets = F.array(*[F.lit(x).cast("bigint") for x in first])
-    shards = F.array(*[F.lit(x) for x in ends])
+    pieces = max(1, -(-keyed.count() // (n * PIECE_ROWS)))
+    # Halves of keys, as the distance of two longs may not be one.
+    lows = [b >> 1 for b in (LOWEST, *bounds)]
+    steps = [min(((high >> 1) - low) // pieces + 1, HIGHEST) for low, high in zip(lows, [*bounds, HIGHEST])]
+    into = F.shiftright("key", 1) - F.get(F.array(*[F.lit(x).cast("bigint") for x in lows]), F.col("shard"))
+    wide = F.get(F.array(*[F.lit(x).cast("bigint") for x in steps]), F.col("shard"))
+    dealt = keyed.withColumn("shard", interval_of("key", bounds)).withColumn(
+        "piece", F.call_function("div", into, wide).cast("int")
+    )
+    # Rows of the shard's pieces before, from an exact count of each.
+    counts = dealt.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = written(counts.select("shard", "piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
+    few = n * pieces <= BROADCAST_ROWS
+    within = Window.partitionBy("shard", "piece").orderBy("key")
     return (
-        keyed.withColumn("piece", piece)
-        .withColumn("slot", F.row_number().over(within).cast("bigint") - 1)
-        .withColumn("slot", F.col("slot") + F.get(offsets, F.col("piece")))
-        .withColumn("shard", F.get(shards, F.col("piece")).cast("int"))
-        .drop("key", "piece")
+        dealt.withColumn("slot", F.row_number().over(within).cast("bigint") - 1)
+        .join(F.broadcast(offsets) if few else offsets, ["shard", "piece"])
+        .withColumn("slot", F.col("slot") + F.col("offset"))
+        .select(*rows.columns, "slot", F.col("shard").cast("int").alias("shard"))
     )

@@ -175,7 +175,8 @@ def test_benchmark_items_are_found(spark, data, documents):
 
 
 def test_reordered_passages_and_awkward_rows(spark, framed, awkward, monkeypatch):
-    monkeypatch.setattr(tiling, "BLOCK_BYTES", 40)  # a block for each item
+    monkeypatch.setattr(tiling, "FILTER_BITS", 64)  # a filter that lets nearly everything through
+    monkeypatch.setattr(tiling, "HEAP", 1)  # and each item by itself
     words = [f"w{i}" for i in range(40)]
     turned = words[30:] + ["gap"] + words[:12] + ["gap"] + words[12:30]
     rows = [(1, "so " + " ".join(turned).upper() + "!"), (2, " ".join(words[:18])), (3, " ".join(reversed(words)))]

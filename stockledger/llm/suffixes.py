@@ -136,7 +136,8 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         stands = order[starts[several]]
         target = -1 - (mixed(ids[here].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         sent = np.concatenate([alone, stands])
-        bucket = ((hashes[sent] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # Anchors are small hashes, so they are mixed once more to fall evenly.
+        bucket = ((mixed(hashes[sent]) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         number = np.concatenate([ordinal[alone], np.full(len(stands), _KNOWN), ordinal[here]])
         at, bucket = np.concatenate([sent, here]), np.concatenate([bucket, target])
         again = np.lexsort((ids[at], bucket))
@@ -148,7 +149,7 @@ def _offered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             firsts = _runs_of(own)
             out.append((
                 int(bucket[a]), _blob(own[firsts], np.int64), _blob(np.diff(np.append(firsts, b - a)), np.uint32),
-                _blob(hashes[at[a:b]], np.uint32), _blob(number[a:b], np.uint32),
+                _blob(hashes[at[a:b]], np.uint32) if bucket[a] >= 0 else b"", _blob(number[a:b], np.uint32),
             ))
         yield pa.RecordBatch.from_arrays(
             [pa.array([x[i] for x in out], pa.int64() if i == 0 else pa.binary()) for i in range(5)],

@@ -36,6 +36,9 @@ BUCKET_ANCHORS, RANGE_SUFFIXES = 1_000_000, 150_000
 # A suffix that more documents of one slice share keeps them at home and meets its answer in a join.
 FOLDED = 16
 
+# Bytes of answers to folded suffixes that are broadcast at most; more are joined by a shuffle.
+ANSWER_BYTES = 16 * 1024 * 1024
+
 # Bytes whose grams are hashed at once.
 PIECE = 256 * 1024
 
@@ -565,9 +568,11 @@ def substring_dedup(docs: DataFrame, keep_texts: bool = False) -> DataFrame:
     runs = met.mapInArrow(lambda batches: _sorted_runs(batches, splitters), _RUN)
     found = written(runs.groupBy("range").applyInArrow(lambda table: _merged(table, buckets), _FOUND))
     # The same folded suffix comes from many runs and has one answer for all.
-    answers = found.where("kind = 1").select("id", F.col("a").alias("answer")).dropDuplicates(["id"])
+    answers = written(found.where("kind = 1").select("id", F.col("a").alias("answer")).dropDuplicates(["id"]))
+    # A suffix that very many documents share is one id; where answers are few its members stay where they are.
+    at_hand = answers.count() * 8 * (STARTS + 1) <= ANSWER_BYTES
     members = found.where("kind = 2").select("id", F.col("a").alias("docs"), F.col("b").alias("places"))
-    answered = members.join(answers, "id").mapInArrow(lambda batches: _answered(batches, buckets), _FOUND)
+    answered = members.join(F.broadcast(answers) if at_hand else answers, "id").mapInArrow(lambda batches: _answered(batches, buckets), _FOUND)
     intervals = (
         found.where("kind = 0").unionByName(answered).groupBy("id")
         .applyInArrow(_of_documents, "doc_id bigint, starts binary, ends binary")

@@ -15,6 +15,7 @@ point lookup at most one row group of a file.
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -28,8 +29,10 @@ from stockledger.sources.sinks import latest_of_changes
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else the session's warehouse."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else, with a warning, the session's warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        warnings.warn("spark.checkpoint.dir is not set: kept tables go to the warehouse, which all executors must share", stacklevel=2)
     return named or spark.conf.get("spark.sql.warehouse.dir")
 
 

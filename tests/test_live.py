@@ -10,18 +10,21 @@ from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from stockledger.functions import or_unknown, zero_fill
 from stockledger.operators import asof_lookup, interval_left_join, with_reason
+from stockledger.plans import Ledger
 from stockledger.sources import reads
 from stockledger.sources.kept import BatchLog, KeptTables, changed
+from stockledger.sources.sinks import published_stock, to_index
 from stockledger.streaming import (
     BoundedWindows,
     CheckedFeed,
     add_to_kept,
+    category_at_arrival,
     closing_row,
     keep_category_rows,
     keep_interval_sums,
@@ -29,7 +32,7 @@ from stockledger.streaming import (
     retractions,
 )
 from tests.conftest import rows
-from tests.test_streaming import _finish, _lose_last_commit
+from tests.test_streaming import Log, _finish, _lose_last_commit
 
 T0 = datetime(2024, 1, 1)
 PAIR = "key bigint, value bigint"
@@ -329,6 +332,33 @@ def test_hot_item_by_arrival_in_bounded_memory(spark, run_dir):
     assert rows(log.read("out", "category_id bigint, kind string, quantity bigint")) == want
 
 
+def test_hot_item_in_keyed_state_waits_by_chunks(spark, run_dir):
+    """The same rows from keyed state, fed a few rows at a time; the hot item has more groups than others."""
+    rng, facts, changes, state = random.Random(10), [], [], f"{run_dir}/c"
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "7")
+    try:
+        for n in range(3):
+            base = n * 1000
+            changes_now = [(rng.randrange(4), rng.randrange(10, 15), base + s) for s in rng.sample(range(1000), 5)]
+            facts_now = [(rng.choice([0, 0, 0, 1, 2, 77]), "sold", rng.randrange(9), base + rng.randrange(1000)) for _ in range(120)]
+            facts += facts_now
+            changes += changes_now
+            f = _land(spark, f"{run_dir}/f", facts_now, "item_id bigint, kind string, quantity bigint, seq bigint")
+            c = _land(spark, f"{run_dir}/i", changes_now, "item_id bigint, category_id bigint, seq bigint")
+            found = category_at_arrival(f, c, salts=lambda item: F.when(item == 0, 3).otherwise(1))
+            _finish(to_index(found, f"{run_dir}/out", state, fmt="parquet", availableNow=True))
+    finally:
+        spark.conf.unset(name)
+
+    def category(item, seq):
+        known = [(s, c) for i, c, s in changes if i == item and s <= seq]
+        return max(known)[1] if known else 999999
+
+    got = spark.read.parquet(f"{run_dir}/out").select("category_id", "kind", "quantity")
+    assert rows(got) == sorted((category(i, s), k, q) for i, k, q, s in facts)
+
+
 def test_nothing_orders_facts(spark):
     """Instants are grouped before any window; the facts are in one join and in no sort by time."""
     f = spark.createDataFrame([(1, 5, 2, "x")] * 3, "item bigint, at bigint, q bigint, note string")
@@ -338,6 +368,30 @@ def test_nothing_orders_facts(spark):
         assert not ("Window" in line and "note" in line)
 
 
+# Topics.
+
+
+def test_stock_topics_equal_the_totals_one_by_one(spark, run_dir):
+    """Items without facts, facts without an item, categories nobody is in, and the sentinel as a category."""
+    log = Log(spark, f"{run_dir}/feeds")
+    log.add(
+        item=[(1, 10), (2, 20), (3, 10), (4, 999999)], category=[(10, "a"), (20, "b"), (30, "c"), (999999, "rest")],
+        customer=[(7, "x")], replenishment=[(1, 5), (9, 2), (4, 1)], sale=[(1, 7, 3), (2, 7, 4), (9, 7, 6)], ret=[(2, 7, 1)],
+    )
+    ledger = Ledger(log.batch())
+    totals = {
+        "refill-qty-by-item": ledger.replenished_by_item(), "sale-qty-by-item": ledger.sold_by_item(),
+        "rets-qty-by-item": ledger.returned_by_item(), "items-at-hand": ledger.items_at_hand(),
+        "refill-qty-by-cat": ledger.replenished_by_category(), "sale-qty-by-cat": ledger.sold_by_category(),
+        "rets-qty-by-cat": ledger.returned_by_category(), "items-at-hand-per-cat": ledger.items_at_hand_by_category(),
+    }
+    want = sorted((f"{name}-topic", *r) for name, df in totals.items() for r in rows(df))
+    assert rows(published_stock(ledger)) == want
+    log.add(sale=[(1, 7, -1)])
+    with pytest.raises(PySparkException, match="must not be negative"):
+        published_stock(Ledger(log.batch())).collect()
+
+
 # Registration.
 
 

@@ -79,7 +79,8 @@ def format_chat(
     other. A null role or parts is empty; a null conv_id is a conversation. ``loss_mask`` holds, for each turn
     of ``trained_role``, its position and the code points [begin, end) of its content in
     the turn's segment (``formatted`` cut behind each ``<|end|>``). A part of unknown type costs
-    one token. A conversation is one output row, so its turns do meet in one task.
+    one token. A conversation is one output row, so its turns do meet in one task. Other columns of ``rows``, whatever
+    their names, do not matter; texts may be as long as a row can hold; no row gives no conversation.
     """
     own = rows.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),

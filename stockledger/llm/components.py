@@ -14,7 +14,8 @@ def components(links: DataFrame) -> DataFrame:
     Every round replaces the links by stars: each id is linked to the smallest id it can see, first
     from the side of the larger ids, then from the smaller. Rounds grow with the logarithm
     of the longest chain. Each is written, so a lost executor costs one round. A hot id
-    is aggregated on the map side before it is shuffled. Nothing is collected but one number a round.
+    is aggregated on the map side before it is shuffled. Nothing is collected but one number a round. Links with a null end or
+    of an id with itself say nothing; repeated links are one; without links there are no ids.
     """
     edges = written(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()

@@ -70,21 +70,20 @@ def exact_duplicates(
 
 
 def firsts(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; see :func:`exact_duplicates`. ``docs`` must not have a column text_sha256."""
+    """The rows of ``docs`` that stay, all columns; see :func:`exact_duplicates`."""
     found = written(exact_duplicates(docs).select("doc_id", "text_sha256", "kept"))
     # Rows that are repeated have the digest and the id of the one that stays, and are told apart by nothing.
     names = ["doc_id", "text_sha256"]
     of_row = found.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays"))
     gone = written(of_row.where("NOT stays").select(*names))
     repeated = written(of_row.where("stays AND n > 1").select(*names))
-    digest = F.sha2(normalised(F.col("text")).cast("binary"), 256)
-    left = without(docs.withColumn("text_sha256", digest), gone, *names)
+    digest = F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256")
+    left = without(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", digest), gone, *names)
     once = without(left, repeated, *names)
     marked = repeated.select(F.col("doc_id").alias("again_id"), F.col("text_sha256").alias("again_sha256"))
-    again = left.join(
-        marked, F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("text_sha256") == F.col("again_sha256")), "left_semi"
-    )
-    return once.unionByName(again.dropDuplicates(names)).drop("text_sha256")
+    same = F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("text_sha256") == F.col("again_sha256"))
+    again = left.join(marked, same, "left_semi").dropDuplicates(names)
+    return once.unionByName(again).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def _placed(keys: DataFrame, capacity: int) -> DataFrame:

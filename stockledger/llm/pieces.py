@@ -79,7 +79,8 @@ def encode_decode(docs: DataFrame, model: str, key: str = "doc_id", keep_texts:
 
     Ids are those of the library for the whole text, and the model's end id. A null text is
     empty: it has the end id only and decodes to nothing. Repeated rows give repeated rows;
-    other columns of ``docs`` do not matter.
+    other columns of ``docs`` do not matter. A very long text is cut into its chunks like any other; what is held of it
+    besides its ids is the table, which is bounded.
     """
     fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     if keep_texts:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -23,8 +24,10 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one under the warehouse only where none is named."""
+    """The folder that driver and executors share; one under the warehouse, with a warning, only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        warnings.warn("spark.checkpoint.dir is not set: tables go to the warehouse, which all executors must share", stacklevel=2)
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/llm-work"
 
 

@@ -1,10 +1,10 @@
 """Centroid clustering over zone maps: vectors in the order of a Hilbert curve, cut into blocks with min/max boxes.
 
-Vectors that follow each other on the curve are near each other, so a block of them has a small box. The distance from a
-centroid to any vector of the block lies between the distances to the nearest and the farthest point of the box;
-a centroid whose least distance exceeds another's largest is nobody's nearest there. Only the rest, the block's candidates,
-are compared with the vectors, exactly and a block at a time; a block with one candidate adds the sums it was stored with. The
-blocks are written once and read in every round. What the driver holds is the centroids.
+Vectors that follow each other on the curve are near each other, so a block of them has a small box. How much farther one
+centroid is than another, in squared distances, is linear in the vector, so its least value over the box is taken at one end of each
+side. Where that bound says a centroid is farther than the one nearest the box's middle all over the box, it is nobody's nearest there. Only the rest,
+the block's candidates, are compared with the vectors, exactly and a block at a time; a block with one candidate adds the sums it was stored
+with. The blocks are written once and read in every round. What the driver holds is the centroids.
 """
 
 from __future__ import annotations
@@ -80,6 +80,7 @@ def blocks(whole: DataFrame, dims: int) -> DataFrame:
     low, high = np.zeros(dims, np.int64), np.zeros(dims, np.int64)
     for r in spans:
         low[r["dim"]], high[r["dim"]] = r["low"], r["high"]
+    # The curve's first bits decide most of the order, so the widest dimensions come first.
     curve = whole.withColumn("place", F.monotonically_increasing_id()).mapInArrow(
         _on_curve(low, high), "vec_id bigint, vector binary, place bigint, curve binary"
     )
@@ -113,9 +114,12 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 def candidates(low: np.ndarray, high: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """Numbers of the centroids that may be the nearest of some point in the box, ascending."""
-    gap = np.maximum(np.maximum(low - centroids, centroids - high), 0)
-    reach = np.maximum(np.abs(centroids - low), np.abs(centroids - high))
-    return np.flatnonzero((gap * gap).sum(1) <= (reach * reach).sum(1).min())
+    middle = np.abs(2 * centroids - (low + high))  # twice the distance from the box's middle, in each dimension
+    best = centroids[(middle.astype(np.float64) ** 2).sum(1).argmin()]
+    # Squared distance of each centroid less that of the best: a constant, and twice the vector times this.
+    slope = best - centroids
+    least = np.minimum(2 * low * slope, 2 * high * slope).sum(1)
+    return np.flatnonzero((centroids * centroids).sum(1) - (best * best).sum() + least <= 0)
 
 
 def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,11 +176,12 @@ def _spans(dims: int):
 
 def _on_curve(low: np.ndarray, high: np.ndarray):
     width = np.maximum(high - low + 1, 1)
+    order = np.argsort(-width, kind="stable")
 
     def run(batches: _Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = _vectors(batch.column("vector"), len(low)).astype(np.int64)
-            places = hilbert(((vectors - low) << CURVE_BITS) // width, CURVE_BITS)
+            places = hilbert((((vectors - low) << CURVE_BITS) // width)[:, order], CURVE_BITS)
             curve = pa.array([p.tobytes() for p in places], pa.binary())
             names = ["vec_id", "vector", "place"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), curve], [*names, "curve"])

@@ -170,12 +170,31 @@ def test_bounds_never_lose_the_nearest():
         assert (near[zones.nearest(vectors, centroids[near])[0]] == zones.nearest(vectors, centroids)[0]).all()
 
 
-def test_blocks_have_small_boxes(spark, data):
-    """Boxes along the curve spare comparisons that boxes in table order would not."""
+def test_blocks_hold_every_vector_once(spark, data):
     whole = spark.read.parquet(f"{data}/embeddings.parquet")
     vectors = whole.select("vec_id", "embedding").mapInArrow(zones._whole_numbers(64, 64), "vec_id bigint, vector binary")
-    sizes = [len(r.ids) for r in zones.blocks(vectors, 64).collect()]
-    assert sum(sizes) == vectors.count() and max(sizes) <= zones.BLOCK
+    got = zones.blocks(vectors, 64).collect()
+    assert Counter(i for r in got for i in r.ids) == Counter(r.vec_id for r in vectors.collect())
+    assert max(len(r.ids) for r in got) <= zones.BLOCK
+
+
+def test_boxes_spare_comparisons_where_vectors_cluster(spark):
+    """Vectors around twelve places: half of the blocks and more have one candidate, blocks in the order of the table have all."""
+    rng = np.random.default_rng(8)
+    places = rng.normal(0, 1, (12, 64))
+    rows = [(i, (places[i % 12] + rng.normal(0, 0.05, 64)).tolist()) for i in range(12_000)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    vectors = frame.mapInArrow(zones._whole_numbers(64, 64), "vec_id bigint, vector binary")
+    centroids = np.floor(64 * places).astype(np.int64)
+
+    def left(blobs):
+        whole = [np.frombuffer(b"".join(v), "<i4").reshape(-1, 64).astype(np.int64) for v in blobs]
+        return [len(zones.candidates(w.min(0), w.max(0), centroids)) for w in whole]
+
+    along = left([[r.vectors] for r in zones.blocks(vectors, 64).collect()])
+    table = [bytes(r.vector) for r in vectors.collect()]
+    across = left([table[i : i + zones.BLOCK] for i in range(0, len(table), zones.BLOCK)])
+    assert np.median(along) == 1 and np.mean(along) < np.mean(across) / 2
 
 
 # Divergence.

@@ -54,12 +54,7 @@ def asof_lookup(
     task orders facts, and adaptive execution splits the facts of a hot instant.
     """
     asked, told = _asked(facts, key, ts, bucket), _told(changes, key, value, ts, seq, bucket)
-    instants = (
-        asked().withColumn("__asked", F.lit(True))
-        .unionByName(told, allowMissingColumns=True)
-        .groupBy("__key", "__bin", "__at")
-        .agg(F.max_by("__told", "__seq").alias("__told"), F.max("__asked").alias("__asked"))
-    )
+    instants = _instants(asked().withColumn("__asked", F.lit(True)).unionByName(told, allowMissingColumns=True))
     ordered = Window.partitionBy("__key", "__bin").orderBy("__at")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = instants.withColumn("__own", F.last("__told", ignorenulls=True).over(so_far)).where("__asked")
@@ -100,11 +95,7 @@ def asof_totals(
     sums = [F.sum(m).alias(m) for m in measures]
     asked = _asked(facts, key, ts, bucket)(*measures).withColumn("__asked", F.lit(True))
     told = _told(changes, key, value, ts, seq, bucket)
-    instants = (
-        asked.unionByName(told, allowMissingColumns=True)
-        .groupBy("__key", "__bin", "__at")
-        .agg(F.max_by("__told", "__seq").alias("__told"), F.max("__asked").alias("__asked"), *sums)
-    )
+    instants = _instants(asked.unionByName(told, allowMissingColumns=True), *sums)
     ordered = Window.partitionBy("__key", "__bin").orderBy("__at")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = (
@@ -156,16 +147,35 @@ def _told(
         F.col(key).alias("__key"),
         *_placed(_at(changes, ts), bucket),
         F.col(seq).cast("bigint").alias("__seq"),
-        F.struct(F.col(value).alias("value")).alias("__told"),
+        F.col(value).alias("__value"),
+        F.lit(True).alias("__told_any"),
     )
 
 
+def _instants(rows: DataFrame, *sums: Column) -> DataFrame:
+    """One row per key and instant, with ``__told``: the change that wins there as a struct, null where there is none.
+
+    The struct is made behind the aggregate, whose buffers are then of fixed width and hash.
+    """
+    found = rows.groupBy("__key", "__bin", "__at").agg(
+        F.max_by("__value", "__seq").alias("__value"), F.max("__told_any").alias("__told_any"),
+        F.max("__asked").alias("__asked"), *sums,
+    )
+    return found.withColumn("__told", _struct_if("__told_any")).drop("__value", "__told_any")
+
+
+def _struct_if(mark: str) -> Column:
+    return F.when(F.col(mark), F.struct(F.col("__value").alias("value")))
+
+
 def _bins(instants: DataFrame) -> DataFrame:
     """One row per (key, bucket): whether facts ask about it, and the last change in it."""
-    when = F.when(F.col("__told").isNotNull(), F.col("__at"))
-    return instants.groupBy("__key", "__bin").agg(
-        F.max("__asked").alias("__asked"), F.max_by("__told", when).alias("__tail")
+    told = F.col("__told").isNotNull()
+    last = instants.groupBy("__key", "__bin").agg(
+        F.max("__asked").alias("__asked"), F.max(F.when(told, True)).alias("__told_any"),
+        F.max_by(F.col("__told")["value"], F.when(told, F.col("__at"))).alias("__value"),
     )
+    return last.withColumn("__tail", _struct_if("__told_any")).drop("__value", "__told_any")
 
 
 def _earlier_bins():

@@ -133,7 +133,9 @@ def cleaned(
     """
     judged = _judged(docs, host, min_documents, min_share, min_kept_share)
     keys = ["doc_id", "host", "text_key"]
-    edits = written(judged.where("NOT kept OR n_removed_words > 0").select(*keys, "kept", "removed").distinct())
+    # Of rows that go, nothing need be known of their lines.
+    lost = F.when(F.col("kept"), F.col("removed")).otherwise(F.array().cast("array<bigint>")).alias("removed")
+    edits = written(judged.where("NOT kept OR n_removed_words > 0").select(*keys, "kept", lost).distinct())
     few = (edits.agg(F.sum(F.size("removed") + 1)).first()[0] or 0) <= BROADCAST_ROWS // 4
     keyed = docs.select(
         F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("doc_id"), _host(host).alias("host"),

@@ -340,7 +340,7 @@ def _prefix_pairs(each: DataFrame, named: DataFrame) -> DataFrame:
     ranked = written(ranked)
     mixed_up = ranked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     left = written(ranked.join(mixed_up.select("token"), "token", "left_semi"))
-    other = left.toDF("y", "token", "m", "other")
+    other = left.select(F.col("label").alias("y"), "token", F.col("n").alias("m"), F.col("component").alias("other"))
     return (
         left.withColumnRenamed("label", "x").join(other, "token")
         .where("component < other AND 4 * least(n, m) >= 3 * greatest(n, m)")

@@ -192,3 +192,36 @@ def test_components(spark):
     got = dict(tuple(r) for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect())
     assert got == {x: find(x) for p in pairs if p[0] != p[1] for x in p}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_hidden_links_meet_by_shingle(spark):
+    """Sets that crowds may hide pair by a rare shingle they share, whatever the order of the columns that a join leaves."""
+    sets = {10: [1, 2, 3, 4], 20: [1, 2, 3, 5], 30: [6, 7, 8, 9]}
+    each = spark.createDataFrame([(t, label) for label, own in sets.items() for t in own], "token bigint, label bigint")
+    named = spark.createDataFrame([(label // 10, label, 4, label // 10) for label in sets], "doc_id bigint, label bigint, n bigint, component bigint")
+    assert [tuple(r) for r in jaccard._prefix_pairs(each, named).collect()] == [(10, 20)]
+
+
+def test_near_copies_around_one_common_passage(framed):
+    """Short documents of a passage all share: their segments are crowded, and some links are only found by rare shingles."""
+    rng = random.Random(2)
+    common, texts = [f"c{i}" for i in range(25)], []
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(rng.choice((3, 5, 8, 12, 20, 40, 90, 300)))]
+        for _ in range(rng.choice([1, 2, 15, 40])):
+            words = list(base)
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                at, kind = rng.randrange(len(words)), rng.random()
+                if kind < 0.4:
+                    words[at] = f"n{rng.random()}"
+                elif kind < 0.7:
+                    del words[at]
+                else:
+                    words.insert(at, f"n{rng.random()}")
+                words = words or ["z"]
+            if rng.random() < 0.3:
+                base = words
+            texts.append(" ".join(words + (common if rng.random() < 0.6 else [])))
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(framed(rows)).collect()}
+    assert got == brute.linked(dict(rows))

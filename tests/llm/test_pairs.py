@@ -225,3 +225,44 @@ def test_near_copies_around_one_common_passage(framed):
     rows = list(enumerate(texts))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(framed(rows)).collect()}
     assert got == brute.linked(dict(rows))
+
+
+def _repeating(rng, passage, repeats=40):
+    """A passage between its own shingles in disorder, and foreign ones that keep the whole from being similar."""
+    foreign = [rng.integers(1, 2**60, 900).astype(np.uint64) for _ in range(2)]
+    mixed = [rng.permutation(np.repeat(passage, repeats)) for _ in range(2)]
+    return np.concatenate([passage[:3], foreign[0], mixed[0], passage, mixed[1], foreign[1], passage[-3:]])
+
+
+def test_repeated_shingles_do_not_hide_a_passage():
+    rng = np.random.default_rng(5)
+    passage = rng.integers(1, 2**60, 60).astype(np.uint64)
+    x, y = _repeating(rng, passage), _repeating(rng, passage)
+    at = 3 + 900 + 40 * 60
+    assert [at, at, 60] in passages.aligned_runs(x, y).tolist()
+    assert any(a <= at and at + 60 <= b and c <= at and at + 60 <= d for a, b, c, d, _ in passages.verified(x, y))
+    # One shingle again and again on both sides of what differs: the runs are long, the whole is not alike.
+    same = np.full(300, 7, np.uint64)
+    x, y = (np.concatenate([same, rng.integers(10, 2**60, 100).astype(np.uint64), same]) for _ in range(2))
+    assert {r[:4] for r in passages.verified(x, y)} >= {(0, 300, 0, 300), (400, 700, 400, 700)}
+
+
+@pytest.mark.parametrize("limit", [0, 8])
+def test_runs_equal_brute_force(monkeypatch, limit):
+    monkeypatch.setattr(passages, "MATCHES", limit)
+    monkeypatch.setattr(passages, "SEED", 4)
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        x, y = (rng.integers(5, 5 + rng.choice([1, 2, 10]), rng.integers(1, 40)).astype(np.uint64) for _ in range(2))
+        want = []
+        for i in range(len(x)):
+            for j in range(len(y)):
+                if x[i] == y[j] and (i == 0 or j == 0 or x[i - 1] != y[j - 1]):
+                    k = 0
+                    while i + k < len(x) and j + k < len(y) and x[i + k] == y[j + k]:
+                        k += 1
+                    want.append([i, j, k])
+        got = passages.aligned_runs(x, y).tolist()
+        assert sorted(r for r in got if r[2] >= 4) == sorted(r for r in want if r[2] >= 4)
+        if limit and len(want) <= limit * (len(x) + len(y)):
+            assert sorted(got) == sorted(want)

@@ -266,3 +266,8 @@ def test_runs_equal_brute_force(monkeypatch, limit):
         assert sorted(r for r in got if r[2] >= 4) == sorted(r for r in want if r[2] >= 4)
         if limit and len(want) <= limit * (len(x) + len(y)):
             assert sorted(got) == sorted(want)
+
+
+def test_each_document_with_a_passage_has_rows(spark, data):
+    got = {(r.doc_id, r.other_doc_id, r.a_start, r.a_end, r.b_start, r.b_end) for r in queries.op3_compact_windows(spark, data).collect()}
+    assert got and {(b, a, *second, *first) for a, b, *ends in got for first, second in [(ends[:2], ends[2:])]} == got

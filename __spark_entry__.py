@@ -398,10 +398,19 @@ def _work_dir(t: OrderTables) -> str:
 
 
 def _arrivals(rows: dict[str, DataFrame], slice_of: dict[str, str], folder: str) -> Iterator[None]:
-    """Append the rows of every table, slice by slice, to its folder of files."""
+    """Append the rows of every table, slice by slice, to its folder of files.
+
+    They are divided once, so a table that is a join is joined once, not for every slice.
+    """
+    divided = f"{folder}-divided"
+    for name, df in rows.items():
+        df.withColumn("__slice", F.expr(slice_of[name]).cast("int")).write.partitionBy("__slice").parquet(f"{divided}/{name}")
     for k in range(SLICES):
         for name, df in rows.items():
-            df.where(f"({slice_of[name]}) = {k}").write.mode("append").parquet(f"{folder}/{name}.parquet")
+            schema = T.StructType([*df.schema, T.StructField("__slice", T.IntegerType())])
+            whole = df.sparkSession.read.schema(schema).parquet(f"{divided}/{name}")
+            arrived = whole.where(F.col("__slice") == k).select(*df.columns)
+            arrived.write.mode("append").parquet(f"{folder}/{name}.parquet")
         yield
 
 

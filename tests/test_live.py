@@ -410,3 +410,21 @@ def test_queries_without_what_the_text_operators_import():
     root = os.path.dirname(os.path.abspath(registered.__file__))
     said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert said.stdout.split() == [str(len(registered.QUERIES)), str(len(registered.ORACLES))], said.stderr[-500:]
+
+
+def test_arrivals_read_a_table_once(spark, run_dir):
+    """All slices together hold every row once, and a row is made once, not for every slice."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(n):
+        made.add(1)
+        return n
+
+    rows = spark.range(100).select(counted(F.when(F.col("id") != 7, F.col("id"))).alias("n"))
+    sizes = []
+    for _ in registered._arrivals({"t": rows, "none": rows.where("n < 0")}, {"t": "pmod(n, 3)", "none": "0"}, f"{run_dir}/in"):
+        sizes.append(spark.read.parquet(f"{run_dir}/in/t.parquet").count())
+    assert sizes == [34, 66, 99, 99]  # the row without a slice belongs to none
+    assert spark.read.schema(rows.schema).parquet(f"{run_dir}/in/none.parquet").count() == 0
+    assert made.value == 200  # one pass for each of the two tables

@@ -10,19 +10,19 @@ Empty segments agree but are not indexed. So a set knows how many signatures a l
 least: those that must agree less its empty segments. Groups of a signature yield all their pairs if
 they are small, and pairs with one of them if they are crowded; a pair is a candidate if the signatures it was seen
 to share, and the crowded groups its sets are in, can reach that number. Sets whose crowded groups
-alone could reach it, or that can promise nothing, are joined by a prefix of their rarest shingles too. Candidates
-are verified on the texts.
+alone could reach it, or that can promise nothing, are joined by a prefix of their rarest shingles too, where the places of
+a shared one and a bitmap of either set allow a link. Candidates are verified on the texts.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.components import components
@@ -34,6 +34,12 @@ CROWD = 8
 # Signatures one reducer sorts at once.
 BUCKET_SIGNATURES = 3_000_000
 
+# Bits that stand for a set where pairs are only compared if these are alike.
+BITS = 1024
+
+# Pairs under rare shingles, for each set under them, from which one set is compared with the others first.
+PAIRS_A_ROW = 4
+
 
 def _distinct(texts: list[bytes], cache: WordHashes) -> list[np.ndarray]:
     hashes, starts = word_hashes([t.lower().split() for t in texts], cache)
@@ -302,50 +308,142 @@ def _documents(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
 
 
 def _hidden(docs: DataFrame, firsts: DataFrame, unsure: DataFrame, links: DataFrame) -> DataFrame:
-    """The links, and those between sets whose crowded or empty segments may have hidden them."""
+    """The links, and those between sets whose crowded or empty segments may have hidden them.
+
+    Where many sets share a rare shingle, one of them is compared with the others first, as long as that finds links: what it ties together
+    needs no pairs of its own. What is left apart is compared pair by pair, if place, size and bits allow a link.
+    """
     left = written(firsts.join(unsure, "label", "left_semi"))
     if not left.take(1):
         return links
     found = components(links).withColumnRenamed("id", "doc_id")
-    named = left.join(found, "doc_id", "left").select("doc_id", "label", "n", F.coalesce("component", "doc_id").alias("component"))
+    named = written(left.join(found, "doc_id", "left").select("doc_id", "label", "n", F.coalesce("component", "doc_id").alias("component")))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for _, texts in slices(batches):
-            own = _distinct(texts, cache)
-            labels = np.repeat(np.array([_label_of(s) for s in own], np.uint64).view(np.int64), [len(s) for s in own])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64)), pa.array(labels)], names=["token", "label"])
+            own = [s for s in _distinct(texts, cache) if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.array([_label_of(s) for s in own], np.uint64).view(np.int64)),
+                    pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64())),
+                    pa.array([_bits(s) for s in own], pa.list_(pa.int64())),
+                ],
+                names=["label", "tokens", "bits"],
+            )
 
     ids = written(named.select("doc_id").distinct())
-    each = as_bytes(semi(docs, ids, "doc_id")).mapInArrow(tokens, "token bigint, label bigint")
-    pairs = _documents(_prefix_pairs(each, written(named)), firsts)
+    each = as_bytes(semi(docs, ids, "doc_id")).mapInArrow(tokens, "label bigint, tokens array<bigint>, bits array<bigint>")
+    each = written(each.join(named.select("label"), "label", "left_semi").dropDuplicates(["label"]))
+    bits = each.select("label", "bits")
+
+    def tied(rows: DataFrame) -> DataFrame:
+        """The rows with the components that links with a chosen set leave; these links are kept."""
+        nonlocal links
+        at, turn = named.select("doc_id", "component").distinct(), 0
+        while _pairs_left(rows) > PAIRS_A_ROW * rows.count():
+            hubs = _documents(_hub_pairs(rows, bits, turn), firsts)
+            more = written(_verified(hubs, docs))
+            if not more.take(1):
+                break
+            ends = more.join(at.toDF("a", "p"), "a").join(at.toDF("b", "q"), "b")
+            now = written(components(ends.select(F.col("p").alias("a"), F.col("q").alias("b"))).toDF("component", "now"))
+            links, turn, rows, at = links.unionByName(more), turn + 1, written(_renamed(rows, now)), written(_renamed(at, now))
+        return rows
+
+    tokens_of = each.select(F.explode("tokens").alias("token"), "label")
+    pairs = _documents(_prefix_pairs(tokens_of, named, bits, tied), firsts)
     return links.unionByName(written(_verified(pairs, docs)))
 
 
-def _prefix_pairs(each: DataFrame, named: DataFrame) -> DataFrame:
-    """Pairs (x, y) of sets of different components that share one of their rarest shingles.
+def _renamed(rows: DataFrame, now: DataFrame) -> DataFrame:
+    now = rows.join(now, "component", "left").withColumn("component", F.coalesce("now", "component"))
+    return now.select(*rows.columns)
+
+
+def _bits(tokens: np.ndarray) -> np.ndarray:
+    """How many shingles fall on each of ``BITS`` places, odd or even: sets differ in as many shingles as bits, at least."""
+    at = (mixed(tokens ^ np.uint64(0x27D4EB2F165667C5)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
+# Sets of n and m shingles link when they share 3 (n + m) / 7 of them, or differ in (n + m) / 7 at most.
+
+
+def _reach(n: str, place: str, m: str) -> str:
+    """Whether a set whose first ``place`` shingles are not in the other one can share enough."""
+    return f"7 * ({n} - {place}) >= 3 * ({n} + {m})"
+
+
+_ALIKE = "7 * aggregate(zip_with(bits, other_bits, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c) <= n + m"
+
+
+def _prefix_rows(each: DataFrame, named: DataFrame) -> DataFrame:
+    """label, n, component, token and place of every set's rarest shingles.
 
     Linked sets share at least 3/4 of the larger, so in any one order of all shingles each has a common one among its first
-    s - ceil(3 s / 4) + 1. The order is by the number of sets, so what many components share comes last. Shingles
-    whose sets are all in one component have no pairs left.
+    s - ceil(3 s / 4) + 1. The order is by the number of sets, so what many components share comes last. Shingles of one set are left out.
     """
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
-    first = "slice(all, 1, size(all) - CAST(ceil(size(all) * 3 / 4) AS INT) + 1).token"
+    first = "slice(all, 1, size(all) - CAST(ceil(size(all) * 3 / 4) AS INT) + 1)"
     ranked = (
         each.join(often, "token").groupBy("label")
         .agg(F.array_sort(F.collect_set(F.struct("sets", "token"))).alias("all"))
-        .select("label", F.explode(F.expr(first)).alias("token"))
+        .select("label", F.posexplode(F.expr(first)).alias("place", "at"))
+        .where("at.sets > 1").select("label", "place", "at.token")
         .join(named.select("label", "n", "component"), "label")
     )
-    ranked = written(ranked)
-    mixed_up = ranked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    left = written(ranked.join(mixed_up.select("token"), "token", "left_semi"))
-    other = left.select(F.col("label").alias("y"), "token", F.col("n").alias("m"), F.col("component").alias("other"))
-    return (
-        left.withColumnRenamed("label", "x").join(other, "token")
-        .where("component < other AND 4 * least(n, m) >= 3 * greatest(n, m)")
-        .select("x", "y").distinct()
+    return written(ranked)
+
+
+def _able(rows: DataFrame) -> DataFrame:
+    """Rows whose shingle is not too late in its set for the smallest set that has it."""
+    smallest = rows.groupBy("token").agg(F.min("n").alias("least"))
+    return written(rows.join(smallest, "token").where(_reach("n", "place", "least")).drop("least"))
+
+
+def _mixed(rows: DataFrame, *more: Column) -> DataFrame:
+    """The shingles whose sets are in several components; the others have no pairs left."""
+    return rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), *more).where("low <> high").drop("low", "high")
+
+
+def _pairs_left(rows: DataFrame) -> float:
+    counted = _mixed(rows, F.count(F.lit(1)).cast("double").alias("sets"))
+    return counted.agg(F.sum(F.col("sets") * F.col("sets"))).first()[0] or 0.0
+
+
+def _hub_pairs(rows: DataFrame, bits: DataFrame, turn: int) -> DataFrame:
+    """Pairs (x, y) of a set and the one chosen under a shingle: first the set with the smallest part of rarer shingles, later any."""
+    rank = F.struct(F.col("place") / F.col("n"), "label") if turn == 0 else F.struct(F.xxhash64("label", F.lit(turn)), "label")
+    chosen = F.min_by(F.struct("label", "n", "place", "component"), rank).alias("hub")
+    met = rows.join(_mixed(rows, chosen), "token").where(
+        f"component <> hub.component AND {_reach('n', 'place', 'hub.n')} AND {_reach('hub.n', 'hub.place', 'n')}"
+    )
+    pairs = written(met.select(F.col("label").alias("x"), F.col("hub.label").alias("y"), "n", F.col("hub.n").alias("m")).distinct())
+    with_bits = pairs.join(bits.withColumnRenamed("label", "x"), "x").join(bits.toDF("y", "other_bits"), "y")
+    return with_bits.where(_ALIKE).select("x", "y")
+
+
+def _prefix_pairs(
+    each: DataFrame, named: DataFrame, bits: DataFrame | None = None, tied: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Pairs (x, y) of sets of different components that share one of their rarest shingles.
+
+    With bits of the sets, only those that can link: the first shingle two sets share has a place in both from which enough is left, and
+    their bits differ in few places. ``tied`` may put sets together before. Shingles whose sets are all in one component have no pairs left.
+    """
+    rows, may_link = _prefix_rows(each, named), "component < other AND 4 * least(n, m) >= 3 * greatest(n, m)"
+    if bits is not None:
+        rows = _able(rows)
+        may_link += f" AND {_reach('n', 'place', 'm')} AND {_reach('m', 'other_place', 'n')} AND {_ALIKE}"
+    if tied:
+        rows = tied(rows)
+    left = rows.join(_mixed(rows), "token", "left_semi")
+    left = written(left if bits is None else left.join(bits, "label"))
+    other = left.select(
+        "token", *[F.col(c).alias(d) for c, d in zip(("label", "n", "component", "place", "bits"), ("y", "m", "other", "other_place", "other_bits")) if c in left.columns]
     )
+    return left.withColumnRenamed("label", "x").join(other, "token").where(may_link).select("x", "y").distinct()
 
 
 def _classes(sets: DataFrame, firsts: DataFrame, links: DataFrame) -> DataFrame:

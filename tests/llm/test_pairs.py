@@ -227,6 +227,43 @@ def test_near_copies_around_one_common_passage(framed):
     assert got == brute.linked(dict(rows))
 
 
+def test_one_crowd_of_near_copies_is_not_verified_pair_by_pair(framed, monkeypatch):
+    """Near copies, many of them too far from the first: links are those of all pairs, the texts compared a few for each row."""
+    rng = random.Random(6)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for k in range(160):
+        words = list(base)
+        for at in rng.sample(range(150), 3 if k == 0 else rng.choice([0, 1, 2, 3, 5, 7])):
+            words[at] = f"n{k}x{at}"
+        texts.append(" ".join(words))
+    rows, compared, verified = list(enumerate(texts)), [], jaccard._verified
+
+    def counted(pairs, docs):
+        compared.append(pairs.count())
+        return verified(pairs, docs)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_join(framed(rows)).collect()}
+    assert got == brute.linked(dict(rows))
+    assert len(compared) > 1 and sum(compared[1:]) < 2 * len(rows)
+
+
+def test_bits_and_places_lose_no_link(spark):
+    """What places and bits exclude cannot link: against all pairs, sets of many sizes around shared shingles."""
+    rng = np.random.default_rng(8)
+    core, sets = rng.integers(1, 2**62, 60).astype(np.uint64), {}
+    for k in range(120):
+        kept = core[rng.random(60) < rng.choice([0.8, 0.9, 1.0])]
+        sets[k] = np.unique(np.concatenate([kept, rng.integers(1, 2**62, int(rng.integers(0, 16))).astype(np.uint64)]))
+    each = spark.createDataFrame([(int(t), k) for k, own in sets.items() for t in own.view(np.int64)], "token bigint, label bigint")
+    named = spark.createDataFrame([(k, k, len(own), k) for k, own in sets.items()], "doc_id bigint, label bigint, n bigint, component bigint")
+    bits = spark.createDataFrame([(k, jaccard._bits(own).tolist()) for k, own in sets.items()], "label bigint, bits array<bigint>")
+    got = {tuple(r) for r in jaccard._prefix_pairs(each, named, bits).collect()}
+    every = [(x, y) for x in sets for y in sets if x < y]
+    links = {p for p in every if brute.link(frozenset(sets[p[0]].tolist()), frozenset(sets[p[1]].tolist()))}
+    assert links and links <= got and len(got) < 0.8 * len(every)
+
+
 def _repeating(rng, passage, repeats=40):
     """A passage between its own shingles in disorder, and foreign ones that keep the whole from being similar."""
     foreign = [rng.integers(1, 2**60, 900).astype(np.uint64) for _ in range(2)]

@@ -62,7 +62,7 @@ from stockledger.streaming import (  # noqa: E402
     keep_category_rows,
     keep_category_totals,
     keep_interval_join,
-    keep_interval_sums,
+    keep_interval_left_sums,
     keep_regrouped,
     keep_windows,
     latest_names,
@@ -536,8 +536,8 @@ _EVENT_SLICE = "CASE WHEN ts < '2024-01-09' THEN 0 WHEN ts < '2024-01-16' THEN 1
 _EVENTS_END = datetime(2030, 1, 1)
 
 
-def _live_clicks(t: OrderTables, start: Callable[[DataFrame, DataFrame, str], StreamingQuery]) -> None:
-    """Run a stream of clicks and purchases, the purchases a slice behind, until rows that close both feeds."""
+def _live_clicks(t: OrderTables, start: Callable[[DataFrame, DataFrame, str], StreamingQuery], closed: bool = True) -> None:
+    """Run a stream of clicks and purchases, the purchases a slice behind, until rows that close both feeds where it needs them."""
     clicks, purchases = _clicks_and_purchases(t)
     rows, work = {"clicks": clicks, "purchases": purchases}, _work_dir(t)
     slices = {"clicks": _EVENT_SLICE, "purchases": f"least({_EVENT_SLICE} + 1, {SLICES - 1})"}
@@ -548,6 +548,8 @@ def _live_clicks(t: OrderTables, start: Callable[[DataFrame, DataFrame, str], St
 
     for _ in _arrivals(rows, slices, f"{work}/in"):
         go_on()
+    if not closed:
+        return
     for n, df in rows.items():
         closing_row(df, _EVENTS_END, "user_id", -1).write.mode("append").parquet(f"{work}/in/{n}.parquet")
     go_on()
@@ -577,12 +579,11 @@ def stream_interval_sum(t: OrderTables) -> DataFrame:
     log, tables = BatchLog(t.spark, f"{_work_dir(t)}/log"), _new_tables(t)
 
     def start(clicks: DataFrame, purchases: DataFrame, checkpoint: str) -> StreamingQuery:
-        return keep_interval_sums(
-            clicks, purchases, "user_id", "cents", log, tables, "bought", checkpoint, late="1 hour",
-            before=_EVENTS_END, availableNow=True,
+        return keep_interval_left_sums(
+            clicks, purchases, "user_id", "cents", log, tables, "bought", checkpoint, late=timedelta(hours=1), availableNow=True
         )
 
-    _live_clicks(t, start)
+    _live_clicks(t, start, closed=False)
     return tables.view("bought").withColumnRenamed("key", "user_id")
 
 

@@ -1,6 +1,6 @@
 from stockledger.streaming.arrival import category_at_arrival
 from stockledger.streaming.batches import keep_category_rows, keep_category_totals
-from stockledger.streaming.interval import closing_row, keep_interval_join, keep_interval_sums
+from stockledger.streaming.interval import closing_row, keep_interval_join, keep_interval_left_sums, keep_interval_sums
 from stockledger.streaming.kept import add_to_kept, keep_regrouped, retractions
 from stockledger.streaming.late import BoundedWindows
 from stockledger.streaming.rejects import CheckedFeed
@@ -22,6 +22,7 @@ __all__ = [
     "keep_category_rows",
     "keep_category_totals",
     "keep_interval_join",
+    "keep_interval_left_sums",
     "keep_interval_sums",
     "keep_regrouped",
     "keep_windows",

@@ -3,6 +3,8 @@
 The join is Spark's stream-stream outer join under two watermarks: a right row may come long after its left row, and a
 left row without a match is let go once the watermark has passed its reach. Joined rows are written batch by batch,
 and a batch's sums are taken from what it wrote, so the join's state is read once.
+
+Where only the sums are wanted, ``keep_interval_left_sums`` makes no pairs and holds no join state.
 """
 
 from __future__ import annotations
@@ -10,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stockledger.functions import zero_fill
-from stockledger.operators.interval import REACH, interval_left_join
+from stockledger.operators.interval import REACH, interval_left_join, interval_left_sum
 from stockledger.sources.kept import BatchLog, KeptTables
 from stockledger.streaming.kept import add_to_kept
 from stockledger.streaming.state import use_rocksdb
@@ -85,6 +88,63 @@ def keep_interval_sums(
     return keep_interval_join(left, right, key, log, name, checkpoint, late, then=add, **more)
 
 
+def keep_interval_left_sums(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    value: str,
+    log: BatchLog,
+    tables: KeptTables,
+    name: str,
+    checkpoint: str,
+    late: timedelta,
+    ts: str = "ts",
+    reach: timedelta = REACH,
+    **trigger,
+) -> StreamingQuery:
+    """The sums of :func:`keep_interval_sums` without the pairs: a key's sum is kept from its first left row on, zero until something matches.
+
+    A batch adds what its left rows meet among all right rows still open, and what earlier left rows meet among its right rows, both
+    by ``interval_left_sum``, so the work is linear however dense a key is. Rows still open are written with the batch. As with Spark's watermarks
+    the clock is the newest time of the slower feed less ``late``: rows up to it come too late and count nowhere, rows more than the
+    reach behind it are let go, and rows without a time, or right rows without a key, do not count.
+    """
+    both = _side(left, key, ts, F.lit(None), True).unionByName(_side(right.where(F.col(key).isNotNull()), key, ts, F.col(value), False))
+    kept, added = f"{name}_open", f"{name}_added"
+    schema = T.StructType([*both.schema, T.StructField("fresh", T.BooleanType())])
+    sums = T.StructType([T.StructField("key", both.schema["key"].dataType), T.StructField(value, T.LongType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = log.batch(kept, batch_id - 1, schema).drop("fresh")
+        newest = [r["newest"] for r in before.groupBy("mine").agg(F.max(F.unix_micros("ts")).alias("newest")).take(2)]
+        rows = batch.where(F.col("ts").isNotNull())
+        if len(newest) == 2:  # no clock before both feeds have a row
+            clock = F.timestamp_micros(F.lit(min(newest))) - late
+            rows, before = rows.where(F.col("ts") > clock), before.where(F.col("ts") >= clock - reach)
+        marked = rows.withColumn("fresh", F.lit(True)).unionByName(before.withColumn("fresh", F.lit(False)))
+        log.write(kept, marked, batch_id)
+
+        now = log.batch(kept, batch_id, schema)
+        found = interval_left_sum(now.where("mine AND fresh"), now.where("NOT mine"), "key", "value", reach=reach)
+        more = interval_left_sum(now.where("mine AND NOT fresh"), now.where("NOT mine AND fresh"), "key", "value", reach=reach)
+        log.write(added, found.unionByName(more.where("value <> 0")).withColumnRenamed("value", value), batch_id)
+        add_to_kept(tables, name, log.batch(added, batch_id, sums), batch_id)
+
+    return (
+        both.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .start()
+    )
+
+
+def _side(feed: DataFrame, key: str, ts: str, value: Column, mine: bool) -> DataFrame:
+    return feed.select(
+        F.col(key).alias("key"), F.col(ts).alias("ts"), value.cast("bigint").alias("value"), F.lit(mine).alias("mine")
+    )
+
+
 def closing_row(feed: DataFrame, at: datetime, key: str, unused: int | str, ts: str = "ts") -> DataFrame:
     """One row of the feed's columns at an instant beyond all others, under a key no row has, the rest null.
 

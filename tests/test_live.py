@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from stockledger.functions import or_unknown, zero_fill
-from stockledger.operators import asof_lookup, interval_left_join, with_reason
+from stockledger.operators import asof_lookup, interval_left_join, interval_left_sum, with_reason
 from stockledger.plans import Ledger
 from stockledger.sources import reads
 from stockledger.sources.kept import BatchLog, KeptTables, changed
@@ -27,6 +27,7 @@ from stockledger.streaming import (
     category_at_arrival,
     closing_row,
     keep_category_rows,
+    keep_interval_left_sums,
     keep_interval_sums,
     keep_regrouped,
     retractions,
@@ -227,6 +228,45 @@ def test_interval_sums_survive_a_lost_commit(spark, run_dir):
     assert rows(joined, "k", "v", "ts", "right_v", "right_ts") == rows(pairs, "k", "v", "ts", "right_v", "right_ts")
 
 
+def test_live_interval_sums_make_no_pairs(spark, run_dir):
+    """A dense key, equal rows, null keys and times, right rows a slice late, a repeated batch, rows that come too late."""
+    rng = random.Random(5)
+    sides = {"l": [], "r": []}
+    log, tables = BatchLog(spark, f"{run_dir}/log"), KeptTables(spark, f"{run_dir}/kept", epoch=2)
+
+    def go_on(**values):
+        feeds = [_land(spark, f"{run_dir}/{s}", values.get(s, []), TIMED) for s in sides]
+        _finish(keep_interval_left_sums(
+            *feeds, "k", "v", log, tables, "sums", f"{run_dir}/c", timedelta(minutes=30), availableNow=True
+        ))
+
+    for n in range(4):
+        slices = {}
+        for side, lag in (("l", 0), ("r", 1)):
+            span = range((n - lag) * 300, (n - lag) * 300 + 300)
+            made = [(rng.choice([1, 1, 1, 2, 3, None]), _at(rng.choice(span)), rng.choice([None, *range(-3, 9)])) for _ in range(120)]
+            slices[side] = [*made, made[0]] if span.start >= 0 else []
+            sides[side] += slices[side]
+        go_on(**{s: [*v, (2, None, 5)] for s, v in slices.items()})
+        if n == 2:
+            _lose_last_commit(f"{run_dir}/c")
+    go_on(l=[(7, _at(5), 1)], r=[(1, _at(6), 1000)])  # far behind the clock of the right rows
+    l, r = (spark.createDataFrame(sides[s], TIMED) for s in ("l", "r"))
+    assert rows(tables.view("sums")) == rows(interval_left_sum(l, r, "k", "v"))
+    pairs = interval_left_join(l, r, "k").count()
+    written = log.read("sums_added", "key bigint").count() + log.read("sums_open", "key bigint").count()
+    assert written < pairs / 2
+    assert log.batch("sums_open", 4, "ts timestamp").where(F.col("ts") < F.lit(_at(600))).count() == 0
+
+
+def test_the_registered_interval_sum_logs_no_pairs(spark, data, monkeypatch):
+    def no_join(*_, **__):
+        raise AssertionError("pairs were made")
+
+    monkeypatch.setattr("stockledger.streaming.interval.interval_left_join", no_join)
+    assert registered.queries()["stream_interval_sum"](spark, data).count()
+
+
 def test_equal_left_rows_are_spread_over_the_salts(spark):
     left = spark.createDataFrame([(1, _at(0), 7)] * 400, TIMED)
     right = spark.createDataFrame([(1, _at(5), 9)], TIMED)

@@ -8,6 +8,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockledger.operators.spread import spread, tasks_for
+
 HOUR = timedelta(hours=1)
 
 
@@ -55,6 +57,7 @@ def asof_lookup(
     """
     asked, told = _asked(facts, key, ts, bucket), _told(changes, key, value, ts, seq, bucket)
     instants = _instants(asked().withColumn("__asked", F.lit(True)).unionByName(told, allowMissingColumns=True))
+    instants = spread(instants, tasks_for(facts, changes), "__key", "__bin")
     ordered = Window.partitionBy("__key", "__bin").orderBy("__at")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = instants.withColumn("__own", F.last("__told", ignorenulls=True).over(so_far)).where("__asked")
@@ -95,7 +98,8 @@ def asof_totals(
     sums = [F.sum(m).alias(m) for m in measures]
     asked = _asked(facts, key, ts, bucket)(*measures).withColumn("__asked", F.lit(True))
     told = _told(changes, key, value, ts, seq, bucket)
-    instants = _instants(asked.unionByName(told, allowMissingColumns=True), *sums)
+    tasks = tasks_for(facts, changes)
+    instants = spread(_instants(asked.unionByName(told, allowMissingColumns=True), *sums), tasks, "__key", "__bin")
     ordered = Window.partitionBy("__key", "__bin").orderBy("__at")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = (
@@ -111,7 +115,7 @@ def asof_totals(
     carried = F.max_by("__own", "__held_until").over(earlier)
     found = F.coalesce("__own", "__carried")["value"]
     return (
-        within.withColumn("__carried", carried)
+        spread(within, tasks, "__key").withColumn("__carried", carried)
         .where("__asked")
         .select(_or_default(found, default, changes.schema[value].dataType).alias(value), *measures)
         .groupBy(value)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockledger.functions import required
+from stockledger.operators.spread import spread, tasks_for
 from stockledger.plans.feeds import Feeds, GivenFeeds
 
 
@@ -189,6 +190,8 @@ def timed_feeds(
 
 def _lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines with their order's customer."""
+    tasks = tasks_for(lineitem, orders) if tasks_for(orders) else None  # few orders are broadcast
+    lineitem, orders = spread(lineitem, tasks, "l_orderkey"), spread(orders, tasks, "o_orderkey")
     joined = lineitem.join(orders, F.expr("l_orderkey = o_orderkey"))
     return joined.selectExpr("*", "l_partkey AS item_id", "o_custkey AS customer_id")
 

@@ -55,3 +55,16 @@ def test_asof_steps_are_dealt_by_size(spark, data, large, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     monkeypatch.undo()
     assert got == tuple(rows(registered.queries()[n](spark, data)) for n in ("asof_sale_by_category", "asof_sale_rows"))
+
+
+def test_lines_and_orders_are_dealt_by_size(spark, data, large, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        signed = registered.queries()["signed_retract_sum"](spark, data)
+        lines, orders = _dealt(signed, "l_orderkey"), _dealt(signed, "o_orderkey")
+        assert len(lines) == 2 and min(lines) > 16 and set(orders) == set(lines)
+        got = rows(signed)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.undo()
+    assert got == rows(registered.queries()["signed_retract_sum"](spark, data))

@@ -468,3 +468,17 @@ def test_arrivals_read_a_table_once(spark, run_dir):
     assert sizes == [34, 66, 99, 99]  # the row without a slice belongs to none
     assert spark.read.schema(rows.schema).parquet(f"{run_dir}/in/none.parquet").count() == 0
     assert made.value == 200  # one pass for each of the two tables
+
+
+def test_lines_arrive_without_columns_no_feed_reads(spark, data, monkeypatch):
+    seen, arrivals = {}, registered._arrivals
+
+    def watched(tables, *more):
+        seen.update({n: df.columns for n, df in tables.items()})
+        return arrivals(tables, *more)
+
+    monkeypatch.setattr(registered, "_arrivals", watched)
+    queries = registered.queries()
+    got = rows(queries["stream_items_at_hand"](spark, data), "key", "value")
+    assert seen["lineitem"] == list(registered._LINE)
+    assert got == rows(queries["q9_items_at_hand"](spark, data), "item_id", "quantity")

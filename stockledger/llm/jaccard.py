@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.components import components
-from stockledger.llm.shared import WordHashes, as_bytes, mixed, semi, shingles, slices, without, word_hashes, written
+from stockledger.llm.shared import WordHashes, as_bytes, mixed, semi, shingles, slices, without, word_hashes, written, written_in_slices
 
 # Sets with one signature all of whose pairs are looked at; in larger groups all pair with the first.
 CROWD = 8
@@ -185,9 +185,13 @@ def _grouped(table: pa.Table) -> pa.Table:
 
     labels, needed, counts = joined("owners", np.uint64), joined("needed", np.int32), joined("counts", np.uint32)
     owner = np.repeat(labels, counts)
-    sign = joined("signs", np.uint32).astype(np.uint64) | joined("ends", np.uint8).astype(np.uint64) << np.uint64(32)
+    sign = joined("ends", np.uint8).astype(np.uint64)
+    sign <<= np.uint64(32)
+    sign |= joined("signs", np.uint32)
     order = np.lexsort((owner, sign))
-    sign, owner = sign[order], owner[order]
+    sign = sign[order]
+    owner = owner[order]
+    del order
     again = np.concatenate([[False], (sign[1:] == sign[:-1]) & (owner[1:] == owner[:-1])])[: len(sign)]
     sign, owner = sign[~again], owner[~again]
     starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
@@ -258,7 +262,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     count as one document with all their sets. A row without an id is its own component, null. Other columns do not matter.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = written(shingle_sets(docs))
+    sets = written_in_slices(shingle_sets(docs))
     # One document stands for all with its set.
     label = F.conv(F.hex(F.substring("set_key", 1, 8)), 16, -10).cast("bigint")
     firsts = written(
@@ -284,7 +288,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     )
     signing = without(docs.where("doc_id IS NOT NULL"), copies, "doc_id")
     signed = as_bytes(signing).mapInArrow(sign, _SIGNED)
-    grouped = written(signed.groupBy("bucket").applyInArrow(_grouped, _GROUPED))
+    grouped = written_in_slices(signed.groupBy("bucket").applyInArrow(_grouped, _GROUPED))
     crowded = grouped.where("kind = 1").groupBy("x").agg(F.sum("n").alias("crowded"))
     needed = grouped.where("kind = 2").groupBy("x").agg(F.min("n").alias("needed"))
     known = needed.join(crowded, "x", "left").select("x", "needed", F.coalesce("crowded", F.lit(0)).alias("crowded"))
@@ -295,7 +299,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
         .where(F.col("n") + F.least("crowded", "crowded_y") >= F.greatest("needed", "needed_y"))
         .select(F.col("x").bitwiseAND(F.lit(-2)).alias("x"), F.col("y").bitwiseAND(F.lit(-2)).alias("y"))
     )
-    links = written(_verified(_documents(candidates, firsts), docs))
+    links = written_in_slices(_verified(_documents(candidates, firsts), docs))
     unsure = known.where("crowded >= needed").select(F.col("x").bitwiseAND(F.lit(-2)).alias("label")).distinct()
     return _classes(sets, firsts, _hidden(docs, firsts, unsure, links))
 
@@ -334,7 +338,7 @@ def _hidden(docs: DataFrame, firsts: DataFrame, unsure: DataFrame, links: DataFr
 
     ids = written(named.select("doc_id").distinct())
     each = as_bytes(semi(docs, ids, "doc_id")).mapInArrow(tokens, "label bigint, tokens array<bigint>, bits array<bigint>")
-    each = written(each.join(named.select("label"), "label", "left_semi").dropDuplicates(["label"]))
+    each = written_in_slices(each.join(named.select("label"), "label", "left_semi").dropDuplicates(["label"]))
     bits = each.select("label", "bits")
 
     def tied(rows: DataFrame) -> DataFrame:
@@ -343,7 +347,7 @@ def _hidden(docs: DataFrame, firsts: DataFrame, unsure: DataFrame, links: DataFr
         at, turn = named.select("doc_id", "component").distinct(), 0
         while _pairs_left(rows) > PAIRS_A_ROW * rows.count():
             hubs = _documents(_hub_pairs(rows, bits, turn), firsts)
-            more = written(_verified(hubs, docs))
+            more = written_in_slices(_verified(hubs, docs))
             if not more.take(1):
                 break
             ends = more.join(at.toDF("a", "p"), "a").join(at.toDF("b", "q"), "b")
@@ -353,7 +357,7 @@ def _hidden(docs: DataFrame, firsts: DataFrame, unsure: DataFrame, links: DataFr
 
     tokens_of = each.select(F.explode("tokens").alias("token"), "label")
     pairs = _documents(_prefix_pairs(tokens_of, named, bits, tied), firsts)
-    return links.unionByName(written(_verified(pairs, docs)))
+    return links.unionByName(written_in_slices(_verified(pairs, docs)))
 
 
 def _renamed(rows: DataFrame, now: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockledger.llm.shared import WordHashes, as_bytes, mixed, shingles, slices, without, word_hashes, written
+from stockledger.llm.shared import WordHashes, as_bytes, mixed, shingles, slices, without, word_hashes, written, written_in_slices
 
 # Words of a seed, which is also the shortest tile.
 SEED = 5
@@ -225,7 +225,7 @@ def seed_filter(seeds: DataFrame) -> SeedFilter:
 def _tiled(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
     """Rows of :func:`contaminated`, written, with the text_key of the document."""
     numbered = written(as_bytes(items, "item_id").withColumn("item", F.monotonically_increasing_id()))
-    known = written(numbered.mapInArrow(_items, _KNOWN))
+    known = written_in_slices(numbered.mapInArrow(_items, _KNOWN))
     seeds = written(known.mapInArrow(_item_seeds, "seed bigint, item bigint, times int, size int"))
     shortest = known.agg(F.min("size")).first()[0]
     spark = docs.sparkSession
@@ -252,7 +252,7 @@ def _tiled(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
                 lists = pa.array(named, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), lists], names=["doc_id", "text", "seeds"])
 
-    held = written(
+    held = written_in_slices(
         as_bytes(docs, "doc_id").mapInArrow(near, T.StructType(fields)).withColumn("row", F.monotonically_increasing_id())
     )
     met = written(
@@ -292,7 +292,7 @@ def _tiled(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
                 )
 
     texts = held.select("row", "doc_id", "text", F.xxhash64("text").alias("text_key"))
-    return written(texts.join(asked, "row").drop("row", "heap").mapInArrow(tile, out))
+    return written_in_slices(texts.join(asked, "row").drop("row", "heap").mapInArrow(tile, out))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, least: float = MIN_COVERAGE) -> DataFrame:
